@@ -160,8 +160,9 @@ TIER_COUNTS = ",\n         ".join(
 )
 HD_PCT = "round(count_if(definition = 'hd') * 1.0e0 / COUNT(video_id) * 100, 2) + 0e0"
 
-TRENDING = f"""
-trending AS (
+def trending_cte(name: str = "trending", src: str = "facts") -> str:
+    return f"""
+{name} AS (
   SELECT region, trending_date,
          CAST(COUNT(video_id) AS BIGINT) AS total_videos,
          CAST(SUM(views) AS BIGINT) AS total_views,
@@ -175,10 +176,13 @@ trending AS (
          CAST(COUNT(DISTINCT category_id) AS BIGINT) AS unique_categories,
          {HD_PCT} AS hd_percentage,
          {TIER_COUNTS}
-  FROM facts
+  FROM {src}
   GROUP BY region, trending_date
 )"""
 
+
+TRENDING = trending_cte()
+
 CHANNEL = f"""
 channel_agg AS (
   SELECT channel_title, region, trending_date,
@@ -422,6 +426,9 @@ SELECT momentum, CAST(COUNT(*) AS BIGINT) AS videos, MIN(view_growth_pct) AS min
        MAX(view_growth_pct) AS max_growth_pct
 FROM velocity GROUP BY momentum"""),
     }
+    o.update(_bronze_oracles())
+    o.update(_incremental_oracles())
+    o.update(_dq_oracles())
     for name, body in ANALYST.items():
         sql = with_ctes(*GOLD_ALL, GOLD_VIEWS, body=body)
         o[name] = sql
@@ -431,3 +438,139 @@ FROM velocity GROUP BY momentum"""),
 
 def oracle_queries() -> dict[str, str]:
     return _oracles()
+
+
+ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+
+
+def _bronze_oracles() -> dict[str, str]:
+    return {
+        "flatten_stats": with_ctes(LINES, RAW_STATS, body=f"""
+SELECT video_id, region, title, channel_title, category_id,
+       {ISO.format(c='publish_time')} AS publish_time, description, audio_language,
+       views, likes, dislikes, comment_count, favorite_count, duration, definition,
+       {ISO.format(c='ingestion_timestamp')} AS ingestion_timestamp, ingestion_id
+FROM raw_stats"""),
+        "flatten_categories": with_ctes(LINES, RAW_CATS, body=f"""
+SELECT category_id, category_name, assignable, etag, region,
+       {ISO.format(c='ingestion_timestamp')} AS ingestion_timestamp
+FROM raw_cats"""),
+        "land_roundtrip": with_ctes(*BASE, body="""
+SELECT * REPLACE (CAST(ingestion_timestamp AS DATE) AS trending_date) FROM clean_stats"""),
+    }
+
+
+SCENARIO = """
+bounds AS (SELECT MAX(trending_date) AS latest FROM facts),
+early AS (
+  SELECT f.* FROM facts f, bounds b
+  WHERE f.trending_date < b.latest - INTERVAL 3 MONTH
+     OR (f.trending_date = b.latest
+         AND f.ingestion_timestamp < CAST(b.latest + INTERVAL 14 DAY AS TIMESTAMP))
+),
+plan AS (
+  SELECT trending_date, bool_or(is_new) AS is_new, bool_or(is_today) AS is_today FROM (
+    SELECT trending_date, TRUE AS is_new, FALSE AS is_today FROM (
+      SELECT DISTINCT trending_date FROM facts
+      EXCEPT SELECT DISTINCT trending_date FROM early)
+    UNION ALL
+    SELECT DISTINCT f.trending_date, FALSE, TRUE FROM facts f, bounds b
+    WHERE f.trending_date = b.latest)
+  GROUP BY trending_date
+),
+planned_facts AS (SELECT * FROM facts WHERE trending_date IN (SELECT trending_date FROM plan))"""
+
+
+def _incremental_oracles() -> dict[str, str]:
+    return {
+        "incremental_dates": with_ctes(*GOLD_BASE, SCENARIO, body="SELECT * FROM plan"),
+        "incremental_gold": with_ctes(
+            *GOLD_BASE, SCENARIO, trending_cte("existing", "early"), trending_cte("updates", "planned_facts"),
+            body="""
+SELECT * FROM existing e
+WHERE NOT EXISTS (SELECT 1 FROM updates u
+                  WHERE u.region = e.region AND u.trending_date = e.trending_date)
+UNION ALL
+SELECT * FROM updates"""),
+    }
+
+
+FACT_CRITICAL = ("video_id", "title", "channel_title", "category_id", "views", "likes", "region",
+                 "trending_date", "engagement_rate", "views_tier")
+DIM_CRITICAL = ("category_id", "category_name", "region")
+ADAPTER_REGIONS = ("africa", "america", "asia", "europe", "middle east")
+CHECK_CLOCK = "2001-11-05 00:00:00"
+TIERS_SQL = ", ".join(f"'{t}'" for t in TIER_NAMES)
+REGIONS_SQL = ", ".join(f"'{r}'" for r in ADAPTER_REGIONS)
+
+
+def _dq_rows(table: str, src: str, critical, value_checks: bool, freshness: bool) -> str:
+    parts = [f"""SELECT 'row_count' AS "check", '{table}' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
+       CAST(COUNT(*) AS DOUBLE) AS value, 10.0 AS threshold, COUNT(*) >= 10 AS passed FROM {src}"""]
+    for c in critical:
+        pct = f"CASE WHEN COUNT(*) > 0 THEN count_if({c} IS NULL) * 1.0e0 / COUNT(*) * 100 ELSE 0.0 END"
+        parts.append(f"""SELECT 'null_pct', '{table}', '{c}', round({pct}, 2) + 0e0, 5.0, {pct} <= 5.0 FROM {src}""")
+    parts.append(f"SELECT 'schema', '{table}', NULL, 0.0, 0.0, TRUE")
+    if value_checks:
+        parts.append(f"""SELECT 'value_range', '{table}', 'views',
+       CAST(count_if(views < 0) + count_if(views > 50000000000) AS DOUBLE), 0.0,
+       count_if(views < 0) + count_if(views > 50000000000) = 0 FROM {src}""")
+        for c in ("engagement_rate", "like_ratio"):
+            parts.append(f"""SELECT 'value_range', '{table}', '{c}',
+       CAST(count_if({c} < 0 OR {c} > 100) AS DOUBLE), 0.0, count_if({c} < 0 OR {c} > 100) = 0 FROM {src}""")
+        bad = f"(views_tier IS NULL OR views_tier NOT IN ({TIERS_SQL}))"
+        parts.append(f"""SELECT 'value_range', '{table}', 'views_tier',
+       CAST(count_if({bad}) AS DOUBLE), 0.0, count_if({bad}) = 0 FROM {src}""")
+        parts.append(f"""SELECT 'value_range', '{table}', 'region',
+       CAST(COUNT(DISTINCT CASE WHEN region NOT IN ({REGIONS_SQL}) THEN region END) AS DOUBLE), 0.0,
+       COUNT(DISTINCT CASE WHEN region NOT IN ({REGIONS_SQL}) THEN region END) = 0 FROM {src}""")
+    if freshness:
+        now = f"TIMESTAMP '{CHECK_CLOCK}'"
+        parts.append(f"""SELECT 'freshness', '{table}', 'ingestion_timestamp',
+       round((epoch_us({now}) - epoch_us(MAX(ingestion_timestamp))) * 1.0e0 / 3600000000, 2) + 0e0, 48.0,
+       coalesce(MAX(ingestion_timestamp) >= {now} - INTERVAL 48 HOUR, FALSE) FROM {src}""")
+    else:
+        parts.append(f"SELECT 'freshness', '{table}', NULL, NULL, 48.0, TRUE")
+    return "\nUNION ALL\n".join(parts)
+
+
+DQ_ROWS = f"""
+dq AS (
+{_dq_rows('clean_statistics', 'silver_stats', FACT_CRITICAL, True, True)}
+UNION ALL
+{_dq_rows('clean_reference_data', 'silver_cats', DIM_CRITICAL, False, False)}
+)"""
+
+
+def _dq_oracles() -> dict[str, str]:
+    base = (*BASE, RAW_CATS, DQ_ROWS)
+    sel = 'SELECT "check", table_name, column_name, value, threshold, passed FROM dq WHERE '
+    return {
+        "dq_row_count": with_ctes(*base, body=sel + "\"check\" = 'row_count'"),
+        "dq_null_pct": with_ctes(*base, body=sel + "\"check\" = 'null_pct'"),
+        "dq_schema": with_ctes(*base, body=sel + "\"check\" = 'schema'"),
+        "dq_ranges": with_ctes(*base, body=sel + "\"check\" = 'value_range' AND column_name IN "
+                               "('views', 'engagement_rate', 'like_ratio')"),
+        "dq_enums": with_ctes(*base, body=sel + "\"check\" = 'value_range' AND column_name IN "
+                              "('views_tier', 'region')"),
+        "dq_freshness": with_ctes(*base, body=sel + "\"check\" = 'freshness'"),
+        "dq_verdict": with_ctes(*base, body="""
+SELECT coalesce(bool_and(passed), FALSE) AS quality_passed,
+       CAST(count_if(passed) AS BIGINT) AS checks_passed,
+       CAST(COUNT(*) AS BIGINT) AS checks_total
+FROM dq"""),
+        "dq_prewrite": with_ctes(*BASE, body="""
+SELECT CAST(count_if(video_id IS NULL) AS BIGINT) AS null_video_id,
+       CAST(count_if(title IS NULL) AS BIGINT) AS null_title,
+       CAST(count_if(channel_title IS NULL) AS BIGINT) AS null_channel_title,
+       CAST(count_if(views IS NULL) AS BIGINT) AS null_views,
+       CAST(count_if(views < 0) AS BIGINT) AS negative_views,
+       CAST(count_if(views = 0) AS BIGINT) AS zero_views
+FROM silver_stats"""),
+        "dq_staleness": with_ctes(*BASE, body=f"""
+SELECT region, MAX(ingestion_timestamp) AS latest,
+       round((epoch_us(TIMESTAMP '{CHECK_CLOCK}') - epoch_us(MAX(ingestion_timestamp))) * 1.0e0
+             / 3600000000, 2) + 0e0 AS hours_since,
+       MAX(ingestion_timestamp) < TIMESTAMP '{CHECK_CLOCK}' - INTERVAL 6 HOUR AS stale
+FROM silver_stats GROUP BY region"""),
+    }

@@ -13,12 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.operators import clean, dedup, gold, lookup
+from trendlake.operators import clean, dq, flatten, gold, incremental, landing, lookup
 from trendlake.plans import analyst
 from trendlake.plans.gold import build_gold, gold_facts
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, silver_run_metrics
 from trendlake.schemas import PROVENANCE_COLUMNS
-from trendlake.session import prepare_session
+from trendlake.session import prepare_session, scratch_dir
+from trendlake.sinks import writers
+from trendlake.sources import bronze
 from trendlake.sources import tpch_adapter as adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +176,92 @@ def q_momentum(spark, sf):
     )
 
 
+# ------------------------------------------------------------------ bronze
+# The five TPC-H region names are the adapter's configured regions.
+ADAPTER_REGIONS = ("africa", "america", "asia", "europe", "middle east")
+# Run clock of the registered DQ checks (fixed, so results are reproducible).
+CHECK_CLOCK = "2001-11-05 00:00:00"
+
+
+def q_flatten_stats(spark, sf):
+    env = landing.statistics_envelopes(raw_stats(spark, sf))
+    return flatten.flatten_statistics(env)
+
+
+def q_flatten_categories(spark, sf):
+    env = landing.category_envelopes(raw_cats(spark, sf))
+    return flatten.flatten_categories(env)
+
+
+def q_land_roundtrip(spark, sf):
+    """Land envelopes as JSON under the shared scratch folder, read the root back under
+    the explicit schema, flatten and clean: must equal the adapter rows (with
+    trending_date now derived from the ingestion day, as Bronze carries no month)."""
+    root = scratch_dir(spark, "bronze")
+    writers.write_bronze(landing.statistics_envelopes(raw_stats(spark, sf)), root, ["region", "date", "hour"])
+    back = bronze.read_bronze_statistics(spark, root, ADAPTER_REGIONS, multi_line=False)
+    return clean.clean_statistics(flatten.flatten_statistics(back))
+
+
+# ------------------------------------------------------------------ incremental
+def _scenario(spark, sf):
+    """Earlier state of Gold: built when Silver held every month up to three months
+    before the latest, plus the first half of the latest month (a stale "today")."""
+    f = facts(spark, sf)
+    latest = f.agg(F.max("trending_date")).first()[0]
+    cutoff = F.add_months(F.lit(latest), -3)
+    early = f.where(
+        (F.col("trending_date") < cutoff)
+        | ((F.col("trending_date") == F.lit(latest))
+           & (F.col("ingestion_timestamp") < F.date_add(F.lit(latest), 14).cast("timestamp")))
+    )
+    return f, early, latest
+
+
+def q_incremental_dates(spark, sf):
+    f, early, latest = _scenario(spark, sf)
+    plan = incremental.plan_dates(
+        incremental.distinct_dates(f), incremental.distinct_dates(early), latest
+    )
+    return plan
+
+
+def q_incremental_gold(spark, sf):
+    f, early, latest = _scenario(spark, sf)
+    existing = gold.trending_analytics(early)
+    plan = incremental.plan_dates(incremental.distinct_dates(f), incremental.distinct_dates(existing), latest)
+    updates = gold.trending_analytics(gold.restrict_dates(f, plan))
+    return _public(incremental.merge_partitions(existing, updates))
+
+
+# ------------------------------------------------------------------ data quality
+def _dq_results(spark, sf):
+    cfg = dq.DQConfig(valid_regions=ADAPTER_REGIONS)
+    tables = {dq.FACT_TABLE: silver_stats(spark, sf), dq.DIM_TABLE: silver_cats(spark, sf)}
+    return dq.run_checks(spark, tables, cfg, CHECK_CLOCK)
+
+
+def _dq(where):
+    def run(spark, sf):
+        r = _dq_results(spark, sf)
+        return r.where(where()).drop("message")
+
+    return run
+
+
+def q_dq_verdict(spark, sf):
+    return dq.verdict(_dq_results(spark, sf))
+
+
+def q_dq_prewrite(spark, sf):
+    s = silver_stats(spark, sf)
+    return s.agg(*dq.prewrite_warnings(s))
+
+
+def q_dq_staleness(spark, sf):
+    return dq.bronze_staleness(silver_stats(spark, sf), CHECK_CLOCK, 6)
+
+
 # ------------------------------------------------------------------ analyst queries
 def _analyst(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,6 +301,22 @@ def registry() -> dict[str, Query]:
         "category_rank": q_category_rank,
         "video_velocity": q_video_velocity,
         "momentum": q_momentum,
+        "flatten_stats": q_flatten_stats,
+        "flatten_categories": q_flatten_categories,
+        "land_roundtrip": q_land_roundtrip,
+        "incremental_dates": q_incremental_dates,
+        "incremental_gold": q_incremental_gold,
+        "dq_row_count": _dq(lambda: F.col("check") == "row_count"),
+        "dq_null_pct": _dq(lambda: F.col("check") == "null_pct"),
+        "dq_schema": _dq(lambda: F.col("check") == "schema"),
+        "dq_ranges": _dq(lambda: (F.col("check") == "value_range")
+                         & F.col("column_name").isin("views", "engagement_rate", "like_ratio")),
+        "dq_enums": _dq(lambda: (F.col("check") == "value_range")
+                        & F.col("column_name").isin("views_tier", "region")),
+        "dq_freshness": _dq(lambda: F.col("check") == "freshness"),
+        "dq_verdict": q_dq_verdict,
+        "dq_prewrite": q_dq_prewrite,
+        "dq_staleness": q_dq_staleness,
     }
     for i in range(1, 9):
         reg[f"q{i}"] = _analyst(f"q{i}")
