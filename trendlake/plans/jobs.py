@@ -94,10 +94,10 @@ def bronze_to_silver(
 
     flat = flatten.flatten_statistics(raw)
     silver = build_silver_statistics(flat, run_ts, job_name)
-    warn = Observation("silver_warnings")
+    warn = Observation(f"silver_warnings_{run_ts:%Y%m%d%H%M%S%f}")
     silver = silver.observe(warn, *dq.prewrite_warnings(silver))
     rows = writers.write_partitions(silver, paths.silver_stats, ["region", "trending_date"], "silver_stats")
-    metrics = {"silver_rows": rows, "warnings": warn.get, "regions": per_region}
+    metrics = {"silver_rows": rows, "warnings": _observed(warn), "regions": per_region}
 
     cats_raw = bronze.read_bronze_categories(spark, paths.bronze_cats, regions, multi_line, landing_dates)
     try:
@@ -177,6 +177,13 @@ def silver_to_gold(
     })
 
 
+def _observed(obs: Observation) -> dict:
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - nothing flowed (see writers.observed_rows)
+        return {}
+
+
 def _write_gold(paths: LakePaths, table: str, df: DataFrame) -> int:
     # An empty frame writes nothing and leaves every partition as it was.
     return writers.write_partitions(df, paths.gold(table), GOLD_PARTITION_KEYS, table)

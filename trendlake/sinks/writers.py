@@ -9,6 +9,7 @@ the write itself, not from an extra ``count()`` job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,7 +44,7 @@ def write_partitions(
     touched). Rows are clustered by the partition columns first so that each output
     partition directory gets files from few tasks (no small-file explosion).
     """
-    obs = Observation(f"write_{name}")
+    obs = Observation(f"write_{name}_{uuid.uuid4().hex[:8]}")  # names must be unique
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     (
         observed.repartition(*partition_cols)
@@ -53,7 +54,17 @@ def write_partitions(
         .partitionBy(*partition_cols)
         .parquet(path)
     )
-    return int(obs.get.get("rows", 0))
+    return observed_rows(obs)
+
+
+def observed_rows(obs: Observation, key: str = "rows") -> int:
+    """Row count from an observation. When AQE finds an upstream stage empty at runtime
+    it replaces the rest of the plan (metrics node included) with an empty relation, and
+    the observation comes back without values: that means no rows flowed."""
+    try:
+        return int((obs.get or {}).get(key) or 0)
+    except Exception:  # noqa: BLE001 - empty metrics row (see above)
+        return 0
 
 
 def read_parquet_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
@@ -67,15 +78,11 @@ def read_parquet_or_none(spark: SparkSession, path: str, schema=None) -> DataFra
         return None
 
 
-def register_table(
-    spark: SparkSession, name: str, path: str, partition_cols: Sequence[str], schema_ddl: str | None = None
-) -> None:
-    """Make a partitioned Parquet folder queryable by name and refresh its partitions
-    (the catalog-crawler step). Rows of new partitions are invisible until then."""
-    cols = f"({schema_ddl}) " if schema_ddl else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} {cols}USING parquet "
-        f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'"
-    )
+def register_table(spark: SparkSession, name: str, path: str) -> None:
+    """Make a partitioned Parquet folder queryable by name and register its partitions
+    (the catalog-crawler step). Schema and partition columns are taken from the files;
+    partitions written later stay invisible to the table until this runs again."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
     spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
