@@ -64,6 +64,29 @@ def plan_dates(
     )
 
 
+def plan_tables(
+    silver_dates: DataFrame,
+    existing: dict[str, DataFrame],
+    run_date: dt.date | str | None,
+    dates_override: Iterable | None = None,
+) -> dict[str, list[dt.date]]:
+    """Plan every table against its own existing dates in ONE job; returns the sorted
+    dates per table (bounded by the number of days in Silver)."""
+    plans = [
+        plan_dates(silver_dates, gold_dates, run_date, dates_override).select(
+            F.lit(table).alias("_table"), DATE
+        )
+        for table, gold_dates in existing.items()
+    ]
+    out: dict[str, list[dt.date]] = {t: [] for t in existing}
+    union = plans[0]
+    for p in plans[1:]:
+        union = union.unionByName(p)
+    for r in union.collect():
+        out[r["_table"]].append(r[DATE])
+    return {t: sorted(ds) for t, ds in out.items()}
+
+
 def collect_dates(plan: DataFrame) -> list[dt.date]:
     """The planned dates as a sorted Python list (bounded by the number of days in
     Silver), used as an ``IN`` list so the Parquet scan prunes partitions."""

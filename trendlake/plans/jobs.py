@@ -140,12 +140,8 @@ def silver_to_gold(
     cats = writers.read_parquet_or_none(spark, paths.silver_cats)
 
     silver_dates = incremental.distinct_dates(stats).persist(StorageLevel.MEMORY_AND_DISK)
-    plans = {}
-    for table in GOLD_BUILDERS:
-        existing = incremental.existing_dates(spark, paths.gold(table))
-        plans[table] = incremental.collect_dates(
-            incremental.plan_dates(silver_dates, existing, run_date, dates_override)
-        )
+    existing = {t: incremental.existing_dates(spark, paths.gold(t)) for t in GOLD_BUILDERS}
+    plans = incremental.plan_tables(silver_dates, existing, run_date, dates_override)
     silver_dates.unpersist()
     all_dates = sorted({d for ds in plans.values() for d in ds})
     if not all_dates:

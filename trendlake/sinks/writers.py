@@ -67,8 +67,18 @@ def observed_rows(obs: Observation, key: str = "rows") -> int:
         return 0
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
+
+
 def read_parquet_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """Read a Parquet table; ``None`` when the path does not exist yet."""
+    if not path_exists(spark, path):
+        return None
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         df = reader.parquet(path)
