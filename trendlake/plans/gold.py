@@ -11,16 +11,34 @@ from trendlake.operators import dedup, gold, lookup
 
 GOLD_BUILDERS = ("trending_analytics", "channel_analytics", "category_analytics", "video_velocity")
 
+# Silver columns the Gold builders read; everything else (descriptions, durations, ...)
+# is pruned at the Parquet scan.
+GOLD_INPUT_COLUMNS = (
+    "video_id", "region", "trending_date", "title", "channel_title", "category_id", "views",
+    "likes", "comment_count", "like_ratio", "engagement_rate", "views_tier", "definition",
+    "ingestion_timestamp", "ingestion_id",
+)
+
 
 def gold_facts(
     silver_stats: DataFrame,
     silver_categories: DataFrame | None,
     redup: bool = True,
     broadcast_lookup: bool | None = None,
+    cluster_by_video: bool = False,
 ) -> DataFrame:
     """Silver facts ready for the builders: (re-)deduplicated, category names joined,
-    rows with a null trending_date excluded (they can never be planned)."""
-    facts = silver_stats.where(F.col("trending_date").isNotNull())
+    rows with a null trending_date excluded (they can never be planned).
+
+    The re-dedup guards against duplicate Silver partitions. Its tie-break is total over
+    the columns read, and rows equal on all of them give the same Gold output, so only
+    ``GOLD_INPUT_COLUMNS`` are read. ``cluster_by_video`` hash-partitions by (video_id,
+    region) first: that distribution satisfies both the dedup window (video, region,
+    date) and velocity's LAG window (video, region), so the history shuffles once.
+    """
+    facts = silver_stats.select(*GOLD_INPUT_COLUMNS).where(F.col("trending_date").isNotNull())
+    if cluster_by_video:
+        facts = facts.repartition("video_id", "region")
     if redup:
         facts = dedup.dedup_statistics(facts)
     table = lookup.category_lookup(silver_categories) if silver_categories is not None else None

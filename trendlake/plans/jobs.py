@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.operators import dq, flatten, gold, incremental, landing
+from trendlake.operators import dq, flatten, gold, incremental, landing, lookup
 from trendlake.operators.ranking import WINDOW_MAX_GROUP_ROWS
 from trendlake.plans.gold import GOLD_BUILDERS, gold_facts
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics
@@ -147,7 +147,8 @@ def silver_to_gold(
     if not all_dates:
         return RunResult("silver_to_gold", "noop", {"planned": {}})
 
-    facts = gold_facts(stats, cats)
+    lookup_fits = lookup.fits_broadcast(lookup.category_lookup(cats)) if cats is not None else None
+    facts = gold_facts(stats, cats, broadcast_lookup=lookup_fits)
     # Facts of the planned days feed three builders: materialise them once.
     day_facts = gold.restrict_dates(facts, all_dates).persist(StorageLevel.MEMORY_AND_DISK)
     written = {}
@@ -164,7 +165,8 @@ def silver_to_gold(
     written["category_analytics"] = _write_gold(paths, "category_analytics", category)
     day_facts.unpersist()
 
-    velocity = gold.video_velocity(facts, plans["video_velocity"], run_ts)
+    history = gold_facts(stats, cats, broadcast_lookup=lookup_fits, cluster_by_video=True)
+    velocity = gold.video_velocity(history, plans["video_velocity"], run_ts)
     written["video_velocity"] = _write_gold(paths, "video_velocity", velocity)
     status = "ok" if any(written.values()) else "noop"
     return RunResult("silver_to_gold", status, {
