@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.sinks.writers import read_parquet_or_none
+from trendlake.sinks.writers import path_exists
 
 DATE = "trending_date"
 
@@ -26,15 +26,31 @@ def distinct_dates(df: DataFrame) -> DataFrame:
 
 
 def existing_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Dates already present in a partitioned table (files are the ground truth).
+    """Dates already present in a partitioned table (the directories are the ground
+    truth, as in the key listing the reference did).
 
-    Only the partition column is selected, so no column data is read. A missing table
-    has no dates.
+    One glob over ``*/trending_date=*`` directories through the table's Hadoop
+    FileSystem: no Spark job and no Parquet footer is read. The result is bounded by the
+    number of (region, day) partitions. A missing table has no dates.
     """
-    df = read_parquet_or_none(spark, path)
-    if df is None or DATE not in df.columns:
-        return spark.createDataFrame([], f"{DATE} date")
-    return distinct_dates(df)
+    empty = spark.createDataFrame([], f"{DATE} date")
+    if not path_exists(spark, path):
+        return empty
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + f"/*/{DATE}=*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = set()
+    for st in fs.globStatus(pattern) or []:
+        if not st.isDirectory():
+            continue
+        value = st.getPath().getName().split("=", 1)[1]
+        try:
+            found.add(dt.date.fromisoformat(value))
+        except ValueError:  # __HIVE_DEFAULT_PARTITION__ (null date) is never planned
+            continue
+    if not found:
+        return empty
+    return spark.createDataFrame([(d,) for d in sorted(found)], f"{DATE} date")
 
 
 def plan_dates(
