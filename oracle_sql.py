@@ -506,31 +506,31 @@ REGIONS_SQL = ", ".join(f"'{r}'" for r in ADAPTER_REGIONS)
 
 def _dq_rows(table: str, src: str, critical, value_checks: bool, freshness: bool) -> str:
     parts = [f"""SELECT 'row_count' AS "check", '{table}' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
-       CAST(COUNT(*) AS DOUBLE) AS value, 10.0 AS threshold, COUNT(*) >= 10 AS passed FROM {src}"""]
+       CAST(COUNT(*) AS DOUBLE) AS value, 10.0e0 AS threshold, COUNT(*) >= 10 AS passed FROM {src}"""]
     for c in critical:
         pct = f"CASE WHEN COUNT(*) > 0 THEN count_if({c} IS NULL) * 1.0e0 / COUNT(*) * 100 ELSE 0.0 END"
-        parts.append(f"""SELECT 'null_pct', '{table}', '{c}', round({pct}, 2) + 0e0, 5.0, {pct} <= 5.0 FROM {src}""")
-    parts.append(f"SELECT 'schema', '{table}', NULL, 0.0, 0.0, TRUE")
+        parts.append(f"""SELECT 'null_pct', '{table}', '{c}', round({pct}, 2) + 0e0, 5.0e0, {pct} <= 5.0 FROM {src}""")
+    parts.append(f"SELECT 'schema', '{table}', NULL, 0.0e0, 0.0e0, TRUE")
     if value_checks:
         parts.append(f"""SELECT 'value_range', '{table}', 'views',
-       CAST(count_if(views < 0) + count_if(views > 50000000000) AS DOUBLE), 0.0,
+       CAST(count_if(views < 0) + count_if(views > 50000000000) AS DOUBLE), 0.0e0,
        count_if(views < 0) + count_if(views > 50000000000) = 0 FROM {src}""")
         for c in ("engagement_rate", "like_ratio"):
             parts.append(f"""SELECT 'value_range', '{table}', '{c}',
-       CAST(count_if({c} < 0 OR {c} > 100) AS DOUBLE), 0.0, count_if({c} < 0 OR {c} > 100) = 0 FROM {src}""")
+       CAST(count_if({c} < 0 OR {c} > 100) AS DOUBLE), 0.0e0, count_if({c} < 0 OR {c} > 100) = 0 FROM {src}""")
         bad = f"(views_tier IS NULL OR views_tier NOT IN ({TIERS_SQL}))"
         parts.append(f"""SELECT 'value_range', '{table}', 'views_tier',
-       CAST(count_if({bad}) AS DOUBLE), 0.0, count_if({bad}) = 0 FROM {src}""")
+       CAST(count_if({bad}) AS DOUBLE), 0.0e0, count_if({bad}) = 0 FROM {src}""")
         parts.append(f"""SELECT 'value_range', '{table}', 'region',
-       CAST(COUNT(DISTINCT CASE WHEN region NOT IN ({REGIONS_SQL}) THEN region END) AS DOUBLE), 0.0,
+       CAST(COUNT(DISTINCT CASE WHEN region NOT IN ({REGIONS_SQL}) THEN region END) AS DOUBLE), 0.0e0,
        COUNT(DISTINCT CASE WHEN region NOT IN ({REGIONS_SQL}) THEN region END) = 0 FROM {src}""")
     if freshness:
         now = f"TIMESTAMP '{CHECK_CLOCK}'"
         parts.append(f"""SELECT 'freshness', '{table}', 'ingestion_timestamp',
-       round((epoch_us({now}) - epoch_us(MAX(ingestion_timestamp))) * 1.0e0 / 3600000000, 2) + 0e0, 48.0,
+       round((epoch_us({now}) - epoch_us(MAX(ingestion_timestamp))) * 1.0e0 / 3600000000, 2) + 0e0, 48.0e0,
        coalesce(MAX(ingestion_timestamp) >= {now} - INTERVAL 48 HOUR, FALSE) FROM {src}""")
     else:
-        parts.append(f"SELECT 'freshness', '{table}', NULL, NULL, 48.0, TRUE")
+        parts.append(f"SELECT 'freshness', '{table}', NULL, NULL, 48.0e0, TRUE")
     return "\nUNION ALL\n".join(parts)
 
 
