@@ -116,3 +116,24 @@ def test_whole_run_from_bronze(spark, tmp_lake):
     # gate closed: regions outside the configured list
     res = jobs.run_medallion(spark, paths, ("us", "gb"), run_ts, dq.DQConfig(valid_regions=("us",)))
     assert [r.status for r in res] == ["ok", "dq_failed"]
+
+
+def test_bronze_to_silver_region_isolation(spark, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    run_ts = dt.datetime(2026, 5, 18, 18)
+    # nothing landed at all: the run fails and writes nothing
+    r = jobs.bronze_to_silver(spark, paths, ("us", "gb"), run_ts)
+    assert r.status == "failed" and r.metrics["regions"]["us"]["missing"]
+    # only gb lands; kr is configured but missing: the run goes on without it
+    rows = [x for x in flat_rows(dt.date(2026, 5, 18)) if x[1] == "gb"]
+    jobs.land(spark, paths, spark.createDataFrame(rows, FLAT))
+    r = jobs.bronze_to_silver(spark, paths, ("gb", "kr"), run_ts)
+    assert r.status == "ok", r.metrics
+    assert r.metrics["regions"]["gb"]["items"] == 12 and r.metrics["regions"]["gb"]["documents"] == 2
+    assert r.metrics["regions"]["kr"]["missing"] and r.metrics["regions"]["kr"]["failed"]
+    assert r.metrics["silver_rows"] == 6
+    assert "category_error" in r.metrics  # no category feed landed: non-fatal
+    # every configured region missing -> failed, Silver untouched
+    r = jobs.bronze_to_silver(spark, paths, ("kr",), run_ts)
+    assert r.status == "failed"
+    assert spark.read.parquet(paths.silver_stats).count() == 6

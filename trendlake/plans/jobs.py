@@ -84,23 +84,27 @@ def bronze_to_silver(
     """C1 + C2. Aborts only when no configured region yields rows (facts); the category
     part is non-fatal."""
     prepare_session(spark)
+    if not writers.path_exists(spark, paths.bronze_stats):
+        missing = bronze.report_from_metrics({}, regions)
+        return RunResult("bronze_to_silver", "failed", {"regions": missing})
     raw = bronze.read_bronze_statistics(spark, paths.bronze_stats, regions, multi_line, landing_dates)
-    report = bronze.document_report(spark, raw, regions).cache()
-    per_region = {r["region"]: r.asDict() for r in report.collect()}  # one row per configured region
-    report.unpersist()
-    ok_regions = [r for r, m in per_region.items() if not m["failed"]]
-    if not ok_regions:
-        return RunResult("bronze_to_silver", "failed", {"regions": per_region})
-
-    flat = flatten.flatten_statistics(raw)
-    silver = build_silver_statistics(flat, run_ts, job_name)
+    # One parse of Bronze: the per-region report and the pre-write warnings are
+    # observations on the same plan that writes Silver.
+    docs = Observation(f"bronze_report_{run_ts:%Y%m%d%H%M%S%f}")
+    raw = raw.observe(docs, *bronze.report_exprs(regions))
+    silver = build_silver_statistics(flatten.flatten_statistics(raw), run_ts, job_name)
     warn = Observation(f"silver_warnings_{run_ts:%Y%m%d%H%M%S%f}")
     silver = silver.observe(warn, *dq.prewrite_warnings(silver))
     rows = writers.write_partitions(silver, paths.silver_stats, ["region", "trending_date"], "silver_stats")
+    per_region = bronze.report_from_metrics(_observed(docs), regions)
+    if rows == 0 or all(m["failed"] for m in per_region.values()):
+        # No region yielded rows: nothing was written (a zero-row dynamic overwrite
+        # touches no partition), and the run fails like the reference's abort.
+        return RunResult("bronze_to_silver", "failed", {"regions": per_region})
     metrics = {"silver_rows": rows, "warnings": _observed(warn), "regions": per_region}
 
-    cats_raw = bronze.read_bronze_categories(spark, paths.bronze_cats, regions, multi_line, landing_dates)
     try:
+        cats_raw = bronze.read_bronze_categories(spark, paths.bronze_cats, regions, multi_line, landing_dates)
         cats = build_silver_categories(flatten.flatten_categories(cats_raw), run_ts)
         metrics["category_rows"] = writers.write_partitions(cats, paths.silver_cats, ["region"], "silver_cats")
     except Exception as e:  # noqa: BLE001 - categories are non-fatal (Gold reads Unknown)
