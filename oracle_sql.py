@@ -484,6 +484,14 @@ planned_facts AS (SELECT * FROM facts WHERE trending_date IN (SELECT trending_da
 def _incremental_oracles() -> dict[str, str]:
     return {
         "incremental_dates": with_ctes(*GOLD_BASE, SCENARIO, body="SELECT * FROM plan"),
+        "incremental_velocity": with_ctes(*GOLD_BASE, SCENARIO, VELOCITY, body="""
+SELECT * FROM velocity WHERE trending_date IN (SELECT trending_date FROM plan)"""),
+        "backfill_dates": with_ctes(*GOLD_BASE, body="""
+SELECT DISTINCT trending_date, FALSE AS is_new, FALSE AS is_today
+FROM facts
+WHERE trending_date IN ((SELECT MIN(trending_date) FROM facts),
+                        (SELECT MAX(trending_date) FROM facts),
+                        (SELECT CAST(date_trunc('month', MIN(trending_date)) - INTERVAL 1 MONTH AS DATE) FROM facts))"""),
         "incremental_gold": with_ctes(
             *GOLD_BASE, SCENARIO, trending_cte("existing", "early"), trending_cte("updates", "planned_facts"),
             body="""

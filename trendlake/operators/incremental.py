@@ -63,7 +63,7 @@ def plan_dates(
     if dates_override is not None:
         spark = silver_dates.sparkSession
         rows = [(dt.date.fromisoformat(str(d)),) for d in dates_override]
-        forced = spark.createDataFrame(rows, f"{DATE} date")
+        forced = spark.createDataFrame(rows, f"{DATE} date").distinct()
         return forced.join(silver_dates, DATE, "left_semi").select(
             DATE, F.lit(False).alias("is_new"), F.lit(False).alias("is_today")
         )

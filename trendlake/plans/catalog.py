@@ -8,6 +8,7 @@ the result can be compared value for value with an independent SQL engine.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -234,6 +235,23 @@ def q_incremental_gold(spark, sf):
     return _public(incremental.merge_partitions(existing, updates))
 
 
+def q_incremental_velocity(spark, sf):
+    """Velocity for the planned dates only, with LAG over the whole history (I8)."""
+    f, early, latest = _scenario(spark, sf)
+    plan = incremental.plan_dates(incremental.distinct_dates(f), incremental.distinct_dates(early), latest)
+    return _public(gold.video_velocity(f, plan))
+
+
+def q_backfill_dates(spark, sf):
+    """Parametrised backfill (I9): the override replaces the plan; dates Silver does not
+    have are dropped. Override here: the first and last month, and the month before the
+    first (absent from Silver)."""
+    f = facts(spark, sf)
+    lo, hi = f.agg(F.min("trending_date"), F.max("trending_date")).first()
+    before = (lo.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    return incremental.plan_dates(incremental.distinct_dates(f), None, None, [before, lo, hi])
+
+
 # ------------------------------------------------------------------ data quality
 def _dq_results(spark, sf):
     cfg = dq.DQConfig(valid_regions=ADAPTER_REGIONS)
@@ -306,6 +324,8 @@ def registry() -> dict[str, Query]:
         "land_roundtrip": q_land_roundtrip,
         "incremental_dates": q_incremental_dates,
         "incremental_gold": q_incremental_gold,
+        "incremental_velocity": q_incremental_velocity,
+        "backfill_dates": q_backfill_dates,
         "dq_row_count": _dq(lambda: F.col("check") == "row_count"),
         "dq_null_pct": _dq(lambda: F.col("check") == "null_pct"),
         "dq_schema": _dq(lambda: F.col("check") == "schema"),
