@@ -25,17 +25,14 @@ def distinct_dates(df: DataFrame) -> DataFrame:
     return df.select(F.col(DATE).cast("date").alias(DATE)).where(F.col(DATE).isNotNull()).distinct()
 
 
-def existing_dates(spark: SparkSession, path: str) -> DataFrame:
-    """Dates already present in a partitioned table (the directories are the ground
-    truth, as in the key listing the reference did).
-
-    One glob over ``*/trending_date=*`` directories through the table's Hadoop
-    FileSystem: no Spark job and no Parquet footer is read. The result is bounded by the
-    number of (region, day) partitions. A missing table has no dates.
-    """
-    empty = spark.createDataFrame([], f"{DATE} date")
+def partition_dates(spark: SparkSession, path: str) -> set[dt.date]:
+    """Dates that have a partition directory in a table partitioned by (region,
+    trending_date). The directories are the ground truth, as in the key listing the
+    reference did: one glob through the table's Hadoop FileSystem, no Spark job and no
+    Parquet footer read. Bounded by the number of (region, day) partitions; a missing
+    table has none, and the null-date partition is never planned."""
     if not path_exists(spark, path):
-        return empty
+        return set()
     jvm = spark.sparkContext._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + f"/*/{DATE}=*")
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -46,10 +43,14 @@ def existing_dates(spark: SparkSession, path: str) -> DataFrame:
         value = st.getPath().getName().split("=", 1)[1]
         try:
             found.add(dt.date.fromisoformat(value))
-        except ValueError:  # __HIVE_DEFAULT_PARTITION__ (null date) is never planned
+        except ValueError:  # __HIVE_DEFAULT_PARTITION__ (null date)
             continue
-    if not found:
-        return empty
+    return found
+
+
+def existing_dates(spark: SparkSession, path: str) -> DataFrame:
+    """``partition_dates`` as a one-column DataFrame."""
+    found = partition_dates(spark, path)
     return spark.createDataFrame([(d,) for d in sorted(found)], f"{DATE} date")
 
 
@@ -80,27 +81,20 @@ def plan_dates(
     )
 
 
-def plan_tables(
-    silver_dates: DataFrame,
-    existing: dict[str, DataFrame],
+def plan_date_sets(
+    silver_dates: set[dt.date],
+    existing: dict[str, set[dt.date]],
     run_date: dt.date | str | None,
     dates_override: Iterable | None = None,
 ) -> dict[str, list[dt.date]]:
-    """Plan every table against its own existing dates in ONE job; returns the sorted
-    dates per table (bounded by the number of days in Silver)."""
-    plans = [
-        plan_dates(silver_dates, gold_dates, run_date, dates_override).select(
-            F.lit(table).alias("_table"), DATE
-        )
-        for table, gold_dates in existing.items()
-    ]
-    out: dict[str, list[dt.date]] = {t: [] for t in existing}
-    union = plans[0]
-    for p in plans[1:]:
-        union = union.unionByName(p)
-    for r in union.collect():
-        out[r["_table"]].append(r[DATE])
-    return {t: sorted(ds) for t, ds in out.items()}
+    """``plan_dates`` for every table when both sides are partition listings (small
+    driver-side sets bounded by the number of days): same rules, no Spark job."""
+    if dates_override is not None:
+        forced = {dt.date.fromisoformat(str(d)) for d in dates_override} & silver_dates
+        return {t: sorted(forced) for t in existing}
+    today = dt.date.fromisoformat(str(run_date)) if run_date is not None else None
+    todays = {today} & silver_dates if today else set()
+    return {t: sorted((silver_dates - have) | todays) for t, have in existing.items()}
 
 
 def collect_dates(plan: DataFrame) -> list[dt.date]:

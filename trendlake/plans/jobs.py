@@ -20,7 +20,7 @@ from trendlake.operators import dq, flatten, gold, incremental, landing, lookup
 from trendlake.operators.ranking import WINDOW_MAX_GROUP_ROWS
 from trendlake.plans.gold import GOLD_BUILDERS, gold_facts
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics
-from trendlake.schemas import GOLD_PARTITION_KEYS
+from trendlake.schemas import GOLD_PARTITION_KEYS, SILVER_CATS, SILVER_STATS
 from trendlake.session import prepare_session
 from trendlake.sinks import writers
 from trendlake.sources import bronze
@@ -138,18 +138,16 @@ def silver_to_gold(
     dates_override=None,
 ) -> RunResult:
     prepare_session(spark)
-    stats = writers.read_parquet_or_none(spark, paths.silver_stats)
-    if stats is None or stats.isEmpty():
+    silver_dates = incremental.partition_dates(spark, paths.silver_stats)
+    if not silver_dates:
         return RunResult("silver_to_gold", "failed", {"error": "clean_statistics is empty"})
-    cats = writers.read_parquet_or_none(spark, paths.silver_cats)
-
-    silver_dates = incremental.distinct_dates(stats).persist(StorageLevel.MEMORY_AND_DISK)
-    existing = {t: incremental.existing_dates(spark, paths.gold(t)) for t in GOLD_BUILDERS}
-    plans = incremental.plan_tables(silver_dates, existing, run_date, dates_override)
-    silver_dates.unpersist()
+    existing = {t: incremental.partition_dates(spark, paths.gold(t)) for t in GOLD_BUILDERS}
+    plans = incremental.plan_date_sets(silver_dates, existing, run_date, dates_override)
     all_dates = sorted({d for ds in plans.values() for d in ds})
     if not all_dates:
         return RunResult("silver_to_gold", "noop", {"planned": {}})
+    stats = spark.read.schema(SILVER_STATS).parquet(paths.silver_stats)
+    cats = writers.read_parquet_or_none(spark, paths.silver_cats, SILVER_CATS)
 
     lookup_fits = lookup.fits_broadcast(lookup.category_lookup(cats)) if cats is not None else None
     facts = gold_facts(stats, cats, broadcast_lookup=lookup_fits)

@@ -18,9 +18,12 @@ One order is one ingestion envelope (at most a handful of items), which keeps la
 JSON documents bounded however large the tables grow.
 
 Join plan: nation and region are fixed-size (25 and 5 rows by the TPC-H definition) and
-are broadcast; customer, orders, part and supplier grow with the scale factor and are
-joined by shuffle (or by AQE's runtime broadcast when they turn out small). Only the
-columns used are read, so every scan carries a pruned ReadSchema.
+are broadcast. lineitem -> orders and orders -> customer join two tables that both grow
+with the scale factor; they carry a ``merge`` hint so that neither the fact table nor
+orders is ever chosen as a broadcast build side (at small scale the size estimate would
+otherwise broadcast line items, collecting the fact table to the driver). part and
+supplier are left to the size-based choice. Only the columns used are read, so every
+scan carries a pruned ReadSchema.
 """
 
 from __future__ import annotations
@@ -60,7 +63,7 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_mktsegment", "region"
     )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    ords = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
+    ords = orders.join(cust.hint("merge"), orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "o_orderdate", "c_mktsegment", "region"
     )
     lines = read_table(spark, sf_dir, "lineitem").select(
@@ -70,7 +73,7 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     return (
-        lines.join(ords, lines.l_orderkey == ords.o_orderkey)
+        lines.join(ords.hint("merge"), lines.l_orderkey == ords.o_orderkey)
         .join(part, lines.l_partkey == part.p_partkey)
         .join(supplier, lines.l_suppkey == supplier.s_suppkey)
     )
