@@ -10,6 +10,7 @@ null trending dates are never planned.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from trendlake.sinks.writers import path_exists
 
 DATE = "trending_date"
+_DATE_DIR = re.compile(DATE + r"=([^/,\]\s]+)")
 
 
 def distinct_dates(df: DataFrame) -> DataFrame:
@@ -36,11 +38,13 @@ def partition_dates(spark: SparkSession, path: str) -> set[dt.date]:
     jvm = spark.sparkContext._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + f"/*/{DATE}=*")
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    statuses = fs.globStatus(pattern)
+    if statuses is None:
+        return set()
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
+    text = "\n".join(str(p) for p in paths)
     found = set()
-    for st in fs.globStatus(pattern) or []:
-        if not st.isDirectory():
-            continue
-        value = st.getPath().getName().split("=", 1)[1]
+    for value in _DATE_DIR.findall(text):
         try:
             found.add(dt.date.fromisoformat(value))
         except ValueError:  # __HIVE_DEFAULT_PARTITION__ (null date)
