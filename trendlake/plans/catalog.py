@@ -239,7 +239,7 @@ def q_incremental_velocity(spark, sf):
     """Velocity for the planned dates only, with LAG over the whole history (I8)."""
     f, early, latest = _scenario(spark, sf)
     plan = incremental.plan_dates(incremental.distinct_dates(f), incremental.distinct_dates(early), latest)
-    return _public(gold.video_velocity(f, plan))
+    return _public(gold.video_velocity(f, incremental.collect_dates(plan)))
 
 
 def q_backfill_dates(spark, sf):
