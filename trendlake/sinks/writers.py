@@ -22,9 +22,10 @@ def write_bronze(envelopes: DataFrame, root: str, partition_cols: Sequence[str])
 
     Appending is deliberate: re-landing the same hour adds a document and Silver's
     deduplication absorbs it. UTF-8 text is written as is (non-ASCII preserved).
+    ``REBALANCE`` clusters by directory and lets AQE split a hot hour across tasks.
     """
     (
-        envelopes.repartition(*partition_cols)
+        envelopes.hint("rebalance", *partition_cols)
         .write.mode("append")
         .partitionBy(*partition_cols)
         .option("compression", "none")
@@ -41,13 +42,15 @@ def write_partitions(
     """Dynamic-overwrite ``df`` into ``path`` partitioned by ``partition_cols``.
 
     Returns the number of rows written (0 means nothing was written and no partition was
-    touched). Rows are clustered by the partition columns first so that each output
-    partition directory gets files from few tasks (no small-file explosion).
+    touched). Rows are clustered by the partition columns with a ``REBALANCE`` hint: each
+    output directory gets files from few tasks (no small-file explosion), while AQE splits
+    a skewed partition (a hot region-day) into advisory-size pieces instead of giving it
+    to one task.
     """
     obs = Observation(f"write_{name}_{uuid.uuid4().hex[:8]}")  # names must be unique
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     (
-        observed.repartition(*partition_cols)
+        observed.hint("rebalance", *partition_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
