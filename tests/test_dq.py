@@ -102,3 +102,14 @@ def test_dimension_rules_and_verdict(spark):
     assert v.quality_passed is False and v.checks_total == len(rows) and v.checks_passed == len(rows) - 1
     # 19 fact checks (10 critical columns) + 6 dimension checks + 1 failed read
     assert len(rows) == 1 + 10 + 1 + 5 + 1 + (1 + 3 + 1 + 1) + 1
+
+
+def test_optional_sampling(spark):
+    facts = spark.createDataFrame([good(i) for i in range(2000)], SCHEMA)
+    full = dq.run_checks(spark, {dq.FACT_TABLE: facts}, dq.DQConfig(), NOW)
+    a = dq.run_checks(spark, {dq.FACT_TABLE: facts}, dq.DQConfig(), NOW, sample_fraction=0.1, seed=3)
+    b = dq.run_checks(spark, {dq.FACT_TABLE: facts}, dq.DQConfig(), NOW, sample_fraction=0.1, seed=3)
+    n_full = full.where("check = 'row_count'").first().value
+    n_a = a.where("check = 'row_count'").first().value
+    assert n_full == 2000 and 100 < n_a < 300
+    assert n_a == b.where("check = 'row_count'").first().value  # seeded: repeatable
