@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from oracle_sql import oracle_queries
+from trendlake.plans.catalog import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -38,7 +40,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_queries()) == set(registry())
 
 
 def test_entry_smoke(spark):
@@ -47,7 +49,7 @@ def test_entry_smoke(spark):
     assert "total_views" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     scols, srows = _canon(sdf.columns, [tuple(r) for r in sdf.collect()])

@@ -2,13 +2,14 @@
 
 The pipeline needs the session time zone pinned to UTC (trending dates and the run
 clock are UTC). Scratch output (checkpoints, landing round trips) goes under the shared
-folder the cluster names in ``spark.checkpoint.dir``; a local folder is created only when
-that setting is absent, as in tests.
+folder the cluster names in ``spark.checkpoint.dir``; a temp folder is created only for a
+local session without that setting, as in tests.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,18 +55,22 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
-    """Return a fresh sub-folder of the shared checkpoint folder.
+    """Return a fresh sub-folder of the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is only read.
-    When it is unset (local tests) a private temp folder is created and registered.
+    The setting is only read. Where it is unset, a folder set with ``setCheckpointDir`` is used;
+    failing that, a local session (driver and executors in one process) gets a temp folder of
+    its own, and any other master is refused, since its executors would not share that folder.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
+    set_dir = context._jsc.sc().getCheckpointDir()
+    if not root and set_dir.isDefined():
+        root = set_dir.get()
     if not root:
-        root = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = root.get() if root.isDefined() else None
-    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="trendlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not set_dir.isDefined():
+        context.setCheckpointDir(root)
     leaf = f"{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
     return root.rstrip("/") + "/" + leaf if "://" in root else os.path.join(root, leaf)
