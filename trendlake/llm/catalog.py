@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import common, decontam, quality, secret_scan
+from trendlake.llm import common, decontam, packing, quality, secret_scan, simhash
 from trendlake.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,11 +34,29 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def tokenizer_path() -> str:
+    """The public 50k byte-level tokenizer of the installed vocabulary package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_secret_scan": op3_secret_scan,
         "op4_decontamination": op4_decontamination,
         "op5_quality_rules": op5_quality_rules,
+        "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op9_best_fit_packing": op9_best_fit_packing,
     }
 
 
