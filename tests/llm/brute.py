@@ -28,3 +28,28 @@ def simhash(text, shingle=3):
     grams = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
     hashes = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def edit_distance(s, t):
+    row = list(range(len(t) + 1))
+    for i, a in enumerate(s, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(t, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def removed_lines(docs, edits=1, min_chars=20, min_copies=2):
+    """{doc_id: (removed line numbers, how many differ from the line that stays)} of (doc_id, text) with distinct ids."""
+    seen = sorted((d, i, x) for d, t in docs for i, x in enumerate((t or "").split("\n")) if len(x) >= min_chars)
+    lines = sorted({x for _, _, x in seen})
+    linked = [(a, b) for i, a in enumerate(lines) for b in lines[:i] if abs(len(a) - len(b)) <= edits and edit_distance(a, b) <= edits]
+    root, count, first, out = roots(lines, linked), {}, {}, {}
+    for _, _, x in seen:
+        count[root[x]] = count.get(root[x], 0) + 1
+    for d, i, x in seen:
+        if count[root[x]] >= min_copies and first.setdefault(root[x], x) is not None and (root[x], "kept") in out:
+            out.setdefault(d, []).append((i, x != first[root[x]]))
+        elif count[root[x]] >= min_copies:
+            out[root[x], "kept"] = True
+    return {d: ([i for i, _ in v], sum(e for _, e in v)) for d, v in out.items() if not isinstance(d, tuple)}

@@ -8,12 +8,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import common, decontam, packing, quality, secret_scan, simhash
+from trendlake.llm import common, decontam, line_dedup, packing, quality, secret_scan, simhash
 from trendlake.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    found = line_dedup.decisions(docs).alias("r")
+    rows = docs.select("doc_id", common.text_hash().alias(common.TEXT_HASH), F.size(F.split(common.whole_text(), "\n")).cast("long").alias("n_lines"))
+    return rows.alias("d").join(found, common.same_row("d", "r"), "left").select(
+        "d.doc_id", "n_lines",
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_edited", F.lit(0).cast("long")).alias("n_edited"),
+        F.coalesce(F.array_join("removed", ","), F.lit("")).alias("removed_lines"),
+    )
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_scan(common.table(spark, sf_dir, "documents"))
     named = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
@@ -52,6 +64,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_line_dedup": op2_line_dedup,
         "op3_secret_scan": op3_secret_scan,
         "op4_decontamination": op4_decontamination,
         "op5_quality_rules": op5_quality_rules,
