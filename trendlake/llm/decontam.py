@@ -141,3 +141,8 @@ def remove_spans(docs: DataFrame, hits: DataFrame) -> DataFrame:
     joined = joined.withColumn("words", F.expr(f"if(spans is null, null, regexp_extract_all(row.text, '{word}{gap}*', 0))"))
     text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(F.concat("head", F.expr(kept)))
     return joined.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+
+
+def remove_documents(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold a window of the benchmark."""
+    return common.keep_rows(docs, hits.where("n_hit > 0"), "left_anti")

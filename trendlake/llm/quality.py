@@ -165,3 +165,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     """Every document row with its counts, ``base_failed`` and ``kept``."""
     measured = common.materialize(measure(docs), "quality")
     return judge(measured, cutoffs(measured, labels, "lang", risk, delta))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """``docs`` without the documents that the rules reject."""
+    return common.keep_rows(docs, quality_rules(docs, labels, risk, delta).where(~F.col("kept")), "left_anti")
