@@ -8,12 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import common, decontam, line_dedup, packing, quality, secret_scan, simhash
+from trendlake.llm import common, decontam, line_dedup, packing, quality, secret_scan, simhash, warc
 from trendlake.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(common.table(spark, sf_dir, "pages"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     found = line_dedup.decisions(docs).alias("r")
@@ -64,6 +68,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_warc_chains": op1_warc_chains,
         "op2_line_dedup": op2_line_dedup,
         "op3_secret_scan": op3_secret_scan,
         "op4_decontamination": op4_decontamination,

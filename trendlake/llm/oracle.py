@@ -1,5 +1,14 @@
 """DuckDB SQL of the registered queries, written from the contracts with literal values."""
 
+OP1 = r"""
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS b, sha256(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, CASE WHEN b >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM p)
+SELECT page_id, b AS payload_bytes, h AS payload_digest,
+  CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
 OP3 = r"""
 WITH k(kind_no, kind, pattern, grp, least) AS (VALUES
   (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
@@ -111,6 +120,7 @@ FROM b LEFT JOIN bad USING (rid)
 """
 
 SQL: dict[str, str] = {
+    "op1_warc_chains": OP1,
     "op3_secret_scan": OP3,
     "op4_decontamination": OP4,
     "op5_quality_rules": OP5,
