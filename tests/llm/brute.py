@@ -53,3 +53,20 @@ def removed_lines(docs, edits=1, min_chars=20, min_copies=2):
         elif count[root[x]] >= min_copies:
             out[root[x], "kept"] = True
     return {d: ([i for i, _ in v], sum(e for _, e in v)) for d, v in out.items() if not isinstance(d, tuple)}
+
+
+def repeated_spans(docs, chunks, min_bytes):
+    """{(doc_id, start, stop, bytes, first_doc_id)} of (doc_id, text) with distinct ids; chunks(text) gives (start, stop, bytes, digest)."""
+    first, out = {}, set()
+    cut = {d: chunks(t or "") for d, t in docs}
+    for d in sorted(cut):
+        run = None
+        for start, stop, size, digest in [*cut[d], (None, None, 0, object())]:
+            holder = first.setdefault(digest, (d, start))
+            if holder == (d, start):
+                if run and run[2] >= min_bytes:
+                    out.add((d, *run))
+                run = None
+            else:
+                run = [run[0], stop, run[2] + size, run[3]] if run else [start, stop, size, holder[0]]
+    return out

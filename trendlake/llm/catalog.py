@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import common, decontam, line_dedup, packing, quality, secret_scan, simhash, warc
+from trendlake.llm import chunk_dedup, common, decontam, line_dedup, packing, quality, secret_scan, simhash, warc
 from trendlake.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunk_dedup.repeated_spans(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "stop", "bytes", "first_doc_id")
+
+
 def tokenizer_path() -> str:
     """The public 50k byte-level tokenizer of the installed vocabulary package."""
     import public_tokenizers
@@ -74,6 +79,7 @@ def queries() -> dict[str, Query]:
         "op4_decontamination": op4_decontamination,
         "op5_quality_rules": op5_quality_rules,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
+        "op8_chunk_dedup": op8_chunk_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
 
