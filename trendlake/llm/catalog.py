@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import chunk_dedup, common, decontam, line_dedup, packing, quality, secret_scan, simhash, warc
+from trendlake.llm import chat, chunk_dedup, common, decontam, line_dedup, packing, quality, secret_scan, simhash, token_rollup, warc
 from trendlake.llm.oracle import SQL
+from trendlake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as mails that quote each other, unquoted and linked again."""
+    linked = chat.link_conversations(chat.quoted_replies(common.table(spark, sf_dir, "conversations")))
+    return linked.select(
+        "conv_id", "turn", "role", F.sha2("text", 256).alias("text_sha256"), "parent_turn", "root_turn", "depth", "n_quoted", "n_linked",
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -71,6 +80,15 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches made from the documents, the second of them committed twice."""
+    root = scratch_dir(spark, "rollup")
+    batches = token_rollup.document_feed(common.table(spark, sf_dir, "documents"))
+    for number in (1, 2, 2, 3):
+        token_rollup.commit(spark, root, number, batches[number - 1])
+    return token_rollup.totals(spark, root)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc_chains": op1_warc_chains,
@@ -78,9 +96,11 @@ def queries() -> dict[str, Query]:
         "op3_secret_scan": op3_secret_scan,
         "op4_decontamination": op4_decontamination,
         "op5_quality_rules": op5_quality_rules,
+        "op6_quotation_linking": op6_quotation_linking,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_token_rollup": op10_token_rollup,
     }
 
 

@@ -119,9 +119,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN bad USING (rid)
 """
 
+OP6 = r"""
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations),
+p AS (
+  SELECT DISTINCT conv_id, turn, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS passage
+  FROM (SELECT conv_id, turn, unnest(regexp_split_to_array(t, '\n([ \t\r]*\n)+')) AS x FROM m)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+o AS (SELECT conv_id, passage, min(turn) AS first FROM p GROUP BY ALL),
+q AS (SELECT conv_id, turn + lv AS turn, lv, passage FROM p, (VALUES (1), (2)) AS l(lv) WHERE (conv_id, turn + lv) IN (SELECT (conv_id, turn) FROM m)),
+l AS (SELECT q.conv_id, q.turn, lv, first FROM q JOIN o USING (conv_id, passage)),
+parent AS (SELECT conv_id, turn, max(first) AS parent FROM l WHERE lv = 1 GROUP BY ALL),
+up AS (
+  SELECT conv_id, turn, parent AS root, 1 AS depth FROM parent
+  UNION ALL
+  SELECT u.conv_id, u.turn, n.parent, u.depth + 1 FROM up u JOIN parent n ON u.conv_id = n.conv_id AND u.root = n.turn),
+r AS (SELECT conv_id, turn, min(root) AS root, max(depth) AS depth FROM up GROUP BY ALL),
+c AS (SELECT conv_id, turn, count(*) AS n FROM l GROUP BY ALL)
+SELECT conv_id, turn, role,
+  sha256(CASE WHEN regexp_matches(t, '[^ \t\r\n]') THEN regexp_replace(regexp_replace(t, '^([ \t\r]*\n)+', ''), '(\n[ \t\r]*)+$', '') ELSE '' END) AS text_sha256,
+  parent AS parent_turn, coalesce(root, turn) AS root_turn, CAST(coalesce(depth, 0) AS BIGINT) AS depth, coalesce(n, 0) AS n_quoted, coalesce(n, 0) AS n_linked
+FROM m LEFT JOIN parent USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn) LEFT JOIN c USING (conv_id, turn)
+"""
+
+OP10 = r"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
+k AS (SELECT source, lang, t FROM (SELECT *, min(doc_id) OVER (PARTITION BY t) AS first FROM d) WHERE doc_id = first),
+c AS (
+  SELECT source, lang, len(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+    len(regexp_extract_all(t, '[A-Za-z0-9\x{80}-\x{10FFFF}]+|[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]')) AS pieces FROM k)
+SELECT source, lang, 'words-v1' AS tokenizer, count(*) AS documents, CAST(sum(words) AS BIGINT) AS tokens FROM c GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'pieces-v2', count(*), CAST(sum(pieces) AS BIGINT) FROM c GROUP BY ALL
+"""
+
 SQL: dict[str, str] = {
     "op1_warc_chains": OP1,
     "op3_secret_scan": OP3,
     "op4_decontamination": OP4,
     "op5_quality_rules": OP5,
+    "op6_quotation_linking": OP6,
+    "op10_token_rollup": OP10,
 }
