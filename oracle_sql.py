@@ -10,14 +10,12 @@ written as ``* 1.0e0 /``; ``+ 0e0`` after ``round`` removes negative zero; every
 
 from __future__ import annotations
 
-from trendlake.functions.metrics import (
-    DEFAULT_MOMENTUM,
-    DEFAULT_TIER,
-    MOMENTUM_BANDS,
-    TIER_NAMES,
-    VIEWS_TIERS,
-)
-from trendlake.sources.tpch_adapter import CATALOGUED_BRANDS_UP_TO
+# The thresholds are written out here, not taken from the code under test.
+VIEWS_TIERS = (("mega", 100_000_000), ("viral", 10_000_000), ("popular", 1_000_000), ("trending", 100_000))
+DEFAULT_TIER = "emerging"
+TIER_NAMES = ("mega", "viral", "popular", "trending", "emerging")
+MOMENTUM_BANDS = (("surging", 20), ("growing", 5), ("stable", -5), ("declining", -20))
+DEFAULT_MOMENTUM = "fading"
 
 STATS_KEYS = ("video_id", "region", "trending_date")
 # Column order of the fact rows when they are deduplicated (matches the Spark frame).
@@ -128,7 +126,6 @@ raw_cats AS (
          region,
          CAST(l_shipdate AS TIMESTAMP) AS ingestion_timestamp
   FROM lines
-  WHERE CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) <= {CATALOGUED_BRANDS_UP_TO}
 ),
 silver_cats AS (
   SELECT * EXCLUDE (_rn) FROM (
@@ -492,6 +489,9 @@ FROM facts
 WHERE trending_date IN ((SELECT MIN(trending_date) FROM facts),
                         (SELECT MAX(trending_date) FROM facts),
                         (SELECT CAST(date_trunc('month', MIN(trending_date)) - INTERVAL 1 MONTH AS DATE) FROM facts))"""),
+        "silver_write": with_ctes(*BASE, body="SELECT * FROM silver_stats"),
+        "category_write": with_ctes(LINES, RAW_CATS, body="SELECT * FROM silver_cats"),
+        "late_region": with_ctes(*GOLD_BASE, CATEGORY, body="SELECT * FROM category"),
         "incremental_gold": with_ctes(
             *GOLD_BASE, SCENARIO, trending_cte("existing", "early"), trending_cte("updates", "planned_facts"),
             body="""
@@ -567,6 +567,9 @@ SELECT coalesce(bool_and(passed), FALSE) AS quality_passed,
        CAST(count_if(passed) AS BIGINT) AS checks_passed,
        CAST(COUNT(*) AS BIGINT) AS checks_total
 FROM dq"""),
+        "dq_invalid_values": with_ctes(*BASE, body="""
+SELECT 'clean_statistics' AS table_name, 'region' AS column_name, region AS invalid_value, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM silver_stats WHERE region NOT IN ('africa', 'america') GROUP BY region"""),
         "dq_prewrite": with_ctes(*BASE, body="""
 SELECT CAST(count_if(video_id IS NULL) AS BIGINT) AS null_video_id,
        CAST(count_if(title IS NULL) AS BIGINT) AS null_title,

@@ -77,7 +77,8 @@ def test_enums(spark):
     assert r[("value_range", "region")].passed
     r = checks(spark, base + [good(11, region="xx")])
     assert not r[("value_range", "region")].passed
-    assert "xx" in r[("value_range", "region")].message
+    bad = dq.invalid_values(spark.createDataFrame(base + [good(11, region="xx"), good(12, region="xx", views_tier=None)], SCHEMA), "t", dq.DQConfig())
+    assert {(b.column_name, b.invalid_value, b.n_rows) for b in bad.collect()} == {("region", "xx", 2), ("views_tier", None, 1)}
 
 
 def test_freshness(spark):
@@ -104,12 +105,37 @@ def test_dimension_rules_and_verdict(spark):
     assert len(rows) == 1 + 10 + 1 + 5 + 1 + (1 + 3 + 1 + 1) + 1
 
 
-def test_optional_sampling(spark):
-    facts = spark.createDataFrame([good(i) for i in range(2000)], SCHEMA)
-    full = dq.run_checks(spark, {dq.FACT_TABLE: facts}, dq.DQConfig(), NOW)
-    a = dq.run_checks(spark, {dq.FACT_TABLE: facts}, dq.DQConfig(), NOW, sample_fraction=0.1, seed=3)
-    b = dq.run_checks(spark, {dq.FACT_TABLE: facts}, dq.DQConfig(), NOW, sample_fraction=0.1, seed=3)
-    n_full = full.where("check = 'row_count'").first().value
-    n_a = a.where("check = 'row_count'").first().value
-    assert n_full == 2000 and 100 < n_a < 300
-    assert n_a == b.where("check = 'row_count'").first().value  # seeded: repeatable
+def test_a_sample_checks_values_but_counts_all_rows(spark):
+    facts = spark.createDataFrame([good(i, title=None if i % 4 else "t") for i in range(2000)], SCHEMA)
+    a, b = (
+        {(r.check, r.column_name): r for r in dq.run_checks(spark, {dq.FACT_TABLE: facts}, dq.DQConfig(), NOW, sample_fraction=0.1, seed=3).collect()}
+        for _ in range(2)
+    )
+    assert a[("row_count", None)].value == 2000 and "sample" not in a[("row_count", None)].message
+    assert 60 < a[("null_pct", "title")].value < 90 and "sample" in a[("null_pct", "title")].message
+    assert a == b  # seeded: repeatable
+    small = spark.createDataFrame([good(i) for i in range(50)], SCHEMA)
+    assert dq.verdict(dq.run_checks(spark, {dq.FACT_TABLE: small}, dq.DQConfig(), NOW, sample_fraction=0.1)).first().quality_passed
+
+
+def test_times_that_cannot_be_read_pass(spark):
+    schema = SCHEMA.replace("ingestion_timestamp timestamp", "ingestion_timestamp string")
+    rows = [good(i, ingestion_timestamp="not a time") for i in range(10)]
+    r = checks(spark, rows, schema)[("freshness", "ingestion_timestamp")]
+    assert r.passed and "10 times" in r.message
+    old = checks(spark, [good(i, ingestion_timestamp="2020-01-01 00:00:00") for i in range(10)], schema)
+    assert not old[("freshness", "ingestion_timestamp")].passed
+
+
+def test_a_corrupt_file_fails_its_table_alone(spark, tmp_path):
+    dim = tmp_path / "dim"
+    spark.createDataFrame([(1, "Music", "us")], "category_id long, category_name string, region string").coalesce(1).write.parquet(str(dim))
+    for part in dim.glob("part-*"):
+        part.write_bytes(b"no parquet here")
+    for side in dim.glob(".*.crc"):
+        side.unlink()
+    facts = spark.createDataFrame([good(i) for i in range(10)], SCHEMA)
+    broken = spark.read.schema("category_id long, category_name string, region string").parquet(str(dim))
+    rows = dq.run_checks(spark, {dq.DIM_TABLE: broken, dq.FACT_TABLE: facts}, dq.DQConfig(), NOW).collect()
+    assert [r.check for r in rows if r.table_name == dq.DIM_TABLE] == ["read_table"]
+    assert all(r.passed for r in rows if r.table_name == dq.FACT_TABLE)

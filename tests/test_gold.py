@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trendlake.operators import dedup, gold, lookup, ranking
@@ -49,7 +50,7 @@ def test_lookup_and_unknown(spark):
     lk = {r.category_id: r.category_name for r in lookup.category_lookup(cats).collect()}
     assert lk == {10: "Musique", 20: "Gaming"}
     facts = spark.createDataFrame([("v1", 10), ("v2", 99), ("v3", None)], "video_id string, category_id long")
-    joined = lookup.join_categories(facts, lookup.category_lookup(cats), broadcast=None)
+    joined = lookup.join_categories(facts, lookup.category_lookup(cats))
     assert {r.video_id: r.category_name for r in joined.collect()} == {
         "v1": "Musique", "v2": "Unknown", "v3": "Unknown"}
     assert {r.category_name for r in lookup.join_categories(facts, None).collect()} == {"Unknown"}
@@ -105,7 +106,7 @@ def test_distributed_rank_equals_window_rank(spark):
     df = spark.createDataFrame(rows, "channel_title string, region string, trending_date date, total_views long")
     order = [F.col("total_views").desc(), F.col("channel_title").asc()]
     keys = ["region", "trending_date"]
-    w = ranking.window_row_number(df, keys, order, "rk").collect()
+    w = df.withColumn("rk", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).collect()
     d = ranking.distributed_row_number(df.repartition(5), keys, order, "rk").collect()
     assert sorted(tuple(r) for r in w) == sorted(tuple(r) for r in d)
     d2 = ranking.distributed_row_number(df, keys, order, "rk", num_partitions=13).collect()

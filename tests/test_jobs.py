@@ -137,3 +137,66 @@ def test_bronze_to_silver_region_isolation(spark, tmp_lake):
     r = jobs.bronze_to_silver(spark, paths, ("kr",), run_ts)
     assert r.status == "failed"
     assert spark.read.parquet(paths.silver_stats).count() == 6
+
+
+def categories(spark, ids, day):
+    rows = [(i, f"Cat{i}", True, "e", "us", dt.datetime(day.year, day.month, day.day, 6)) for i in ids]
+    return spark.createDataFrame(rows, "category_id long, category_name string, assignable boolean, etag string, region string, ingestion_timestamp timestamp")
+
+
+def test_bounded_landing_days_lose_nothing(spark, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    d18, d19 = dt.date(2026, 5, 18), dt.date(2026, 5, 19)
+    jobs.land(spark, paths, spark.createDataFrame(flat_rows(d18), FLAT), categories(spark, [10, 11], d18))
+    jobs.bronze_to_silver(spark, paths, ("us", "gb"), dt.datetime(2026, 5, 18, 18))
+    # half of the 18th's videos land again a day later, under the next landing day
+    late = [r[:8] + (r[8] + 5,) + r[9:] for r in flat_rows(d18, n=6)]
+    jobs.land(spark, paths, spark.createDataFrame(flat_rows(d19) + late, FLAT), categories(spark, [12], d19))
+    r = jobs.bronze_to_silver(spark, paths, ("us", "gb"), dt.datetime(2026, 5, 19, 18), landing_dates=(d19, d19))
+    assert r.status == "ok" and not r.metrics["regions"]["us"]["stale"]
+    silver = spark.read.parquet(paths.silver_stats)
+    assert silver.groupBy("trending_date").count().orderBy("trending_date").collect()[0]["count"] == 12
+    cats = spark.read.parquet(paths.silver_cats)
+    assert sorted(c.category_id for c in cats.collect()) == [10, 11, 12]
+
+
+def test_run_metrics(spark, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    rows = flat_rows(dt.date(2026, 5, 18))
+    rows.append((None, *rows[0][1:]))
+    jobs.land(spark, paths, spark.createDataFrame(rows, FLAT))
+    r = jobs.bronze_to_silver(spark, paths, ("us", "gb"), dt.datetime(2026, 5, 20))
+    assert {k: r.metrics[k] for k in ("raw_rows", "null_id_dropped", "duplicates_removed", "silver_rows")} == {
+        "raw_rows": 25, "null_id_dropped": 1, "duplicates_removed": 12, "silver_rows": 12}
+    assert r.metrics["regions"]["us"]["stale"]
+
+
+def test_a_late_region_is_built(spark, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    d18, d19, ts = dt.date(2026, 5, 18), dt.date(2026, 5, 19), dt.datetime(2026, 5, 19)
+    def write(region):
+        rows = [r for d in (d18, d19) for r in flat_rows(d) if r[1] == region]
+        writers.write_partitions(build_silver_statistics(spark.createDataFrame(rows, FLAT), ts), paths.silver_stats, ["region", "trending_date"])
+    write("us")
+    jobs.silver_to_gold(spark, paths, d19, ts)
+    write("gb")
+    r = jobs.silver_to_gold(spark, paths, dt.date(2026, 5, 25), ts)
+    assert r.metrics["planned"]["trending_analytics"] == ["2026-05-18", "2026-05-19"]
+    days = spark.read.parquet(paths.gold("trending_analytics")).select("region", "trending_date").collect()
+    assert len(days) == 4 and len(set(days)) == 4
+
+
+def test_gold_without_a_readable_dimension_is_unknown(spark, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    d18 = dt.date(2026, 5, 18)
+    write_silver(spark, paths, [d18])
+    for part in glob.glob(os.path.join(paths.silver_cats, "region=*", "part-*")):
+        with open(part, "wb") as f:
+            f.write(b"no parquet here")
+        os.unlink(os.path.join(os.path.dirname(part), f".{os.path.basename(part)}.crc"))
+    r = jobs.silver_to_gold(spark, paths, d18, dt.datetime(2026, 5, 18, 23))
+    assert r.status == "ok" and r.metrics["category_error"]
+    assert {c.category_name for c in spark.read.parquet(paths.gold("category_analytics")).collect()} == {"Unknown"}
+    gate = jobs.quality_gate(spark, paths, dq.DQConfig(valid_regions=("us", "gb")), dt.datetime(2026, 5, 18, 23))
+    assert gate.status == "dq_failed"
+    assert [x.table_name for x in gate.report.where("check = 'read_table'").collect()] == [dq.DIM_TABLE]

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from trendlake.operators import gold
-from trendlake.plans.gold import gold_facts
+from trendlake.plans.gold import build_velocity, gold_facts
 from trendlake.plans.silver import build_silver_statistics
 from trendlake.sinks import writers
 
@@ -30,8 +30,16 @@ def test_gold_day_filter_prunes_partitions_and_columns(spark, tmp_path):
     assert "WindowGroupLimit" in plan  # dedup is a partial + final top-1
 
 
-def test_velocity_history_shuffles_once(spark, tmp_path):
-    facts = gold_facts(_silver(spark, tmp_path), None, cluster_by_video=True)
-    plan = _plan(gold.video_velocity(facts))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "hashpartitioning(video_id" in plan
+def test_daily_velocity_cuts_histories_below_the_dedup(spark, tmp_path):
+    plan = _plan(build_velocity(_silver(spark, tmp_path), None, [dt.date(2026, 5, 19)]))
+    tops = [i for i, line in enumerate(plan.splitlines()) if "WindowGroupLimit" in line]
+    semi = next(i for i, line in enumerate(plan.splitlines()) if "LeftSemi" in line)
+    assert len(tops) == 2 and max(tops) < semi  # partial and final; the tree prints parents first
+    assert "(trending_date" in plan and "<= 2026-05-19" in plan
+
+
+def test_daily_builders_read_facts_once_without_distinct_or_objects(spark, tmp_path):
+    facts = gold_facts(_silver(spark, tmp_path), None)
+    plan = _plan(gold.day_cube(facts))
+    assert "Expand" not in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert "Expand" not in _plan(gold.trending_analytics(facts))

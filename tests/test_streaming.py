@@ -6,7 +6,7 @@ import os
 
 from trendlake.operators import flatten
 from trendlake.plans import jobs
-from trendlake.plans.silver import build_silver_statistics
+from trendlake.plans.silver import build_silver_statistics, merge_silver
 from trendlake.sources import bronze
 from trendlake.streaming.bronze_stream import start_bronze_stream
 
@@ -42,3 +42,17 @@ def test_stream_matches_batch(spark, tmp_lake):
     # nothing new: the checkpoint remembers the files, Silver is unchanged
     _run(spark, paths, ckpt)
     assert spark.read.parquet(paths.silver_stats).count() == 24
+
+
+def test_stream_keeps_rows_without_a_date_as_the_batch_does(spark, tmp_lake):
+    paths = jobs.LakePaths(tmp_lake)
+    rows = [r[:15] + (None, r[16]) if r[0] == "v1" else r for r in flat_rows(dt.date(2026, 5, 18), n=3)]
+    flat = spark.createDataFrame(rows, FLAT)
+    want = build_silver_statistics(flat)
+    merge_silver(spark, flat, paths.silver_stats, dt.datetime(2026, 5, 20), "t")
+    merge_silver(spark, flat, paths.silver_stats, dt.datetime(2026, 5, 20), "t")
+    got = spark.read.parquet(paths.silver_stats)
+    cols = [c for c in want.columns if not c.startswith("_")]
+    key = lambda r: tuple("" if x is None else str(x) for x in r)
+    assert sorted(map(key, got.select(*cols).collect())) == sorted(map(key, want.select(*cols).collect()))
+    assert got.where("trending_date is null").count() == 1

@@ -2,8 +2,7 @@
 
 The checks run on all rows (no 10,000-row sample). Each table is scanned once: one
 ``agg`` computes the row count, per-column null counts, range violations, enum
-violations, the distinct values needed for the messages and the newest timestamp. The
-single result row is then unpivoted into one row per check:
+violations and the newest timestamp. The single result row is then unpivoted into one row per check:
 
     check, table_name, column_name, value, threshold, passed, message
 
@@ -15,14 +14,13 @@ Boundaries (kept from the reference):
 * engagement_rate / like_ratio within [0, 100]; nulls pass;
 * views_tier: only the five tiers; a null tier is invalid;
 * region: only configured regions; nulls are ignored;
-* freshness: newest timestamp ``>= now - freshness_hours``; all-null fails; a table
-  without the column passes ("skipped"); the dimension is always skipped.
+* freshness: newest timestamp ``>= now - freshness_hours``; all-null fails; a column with
+  times that can't be read, a table without the column and the static dimension pass.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,121 +76,102 @@ class DQConfig:
     })
 
 
-def _row(check, table, column=None, value=None, threshold=None, passed=None, message=None) -> Column:
+def _row(check: str, table: str, column: str | None, value, threshold, passed, note=None) -> Column:
+    """One result row; the message is made of the row's own parts and an optional note."""
+    value = value if isinstance(value, Column) else F.lit(value)
+    number, limit = value.cast("double"), F.lit(threshold).cast("double")
+    passed = passed if isinstance(passed, Column) else F.lit(passed)
+    subject = table if column is None else f"{table}.{column}"
+    measured = F.when(number.isNotNull(), F.concat(F.lit("measured "), number.cast("string"), F.lit(", limit "), limit.cast("string")))
+    outcome = F.when(passed, "passed").otherwise("failed")
+    message = F.concat_ws("; ", F.concat(F.lit(f"{check} of {subject} "), outcome), measured, note if isinstance(note, Column) else F.lit(note).cast("string"))
     return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(table).cast("string").alias("table_name"),
-        (column if isinstance(column, Column) else F.lit(column)).cast("string").alias("column_name"),
-        (value if isinstance(value, Column) else F.lit(value)).cast("double").alias("value"),
-        (threshold if isinstance(threshold, Column) else F.lit(threshold)).cast("double").alias("threshold"),
-        (passed if isinstance(passed, Column) else F.lit(passed)).cast("boolean").alias("passed"),
-        (message if isinstance(message, Column) else F.lit(message)).cast("string").alias("message"),
+        F.lit(check).alias("check"), F.lit(table).alias("table_name"), F.lit(column).cast("string").alias("column_name"),
+        number.alias("value"), limit.alias("threshold"), passed.cast("boolean").alias("passed"), message.alias("message"),
     )
 
 
-def _set_text(c: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(F.array_sort(c), ", "), F.lit("]"))
+def _bad_tier(config: DQConfig) -> Column:
+    return F.col("views_tier").isNull() | ~F.col("views_tier").isin(*config.valid_tiers)
 
 
-def table_checks(
-    df: DataFrame,
-    table: str,
-    config: DQConfig,
-    now: dt.datetime | str,
-) -> DataFrame:
-    """All checks of one table from a single aggregate; returns RESULT_SCHEMA rows."""
+def _bad_region(config: DQConfig) -> Column:
+    return F.col("region").isNotNull() & ~F.col("region").isin(*config.valid_regions)
+
+
+def _out_of_range(column: str, config: DQConfig) -> Column:
+    number = F.col(column).try_cast("double")
+    return (number < 0) | (number > (config.max_views if column == "views" else 100))
+
+
+RANGES = ("views", "engagement_rate", "like_ratio")
+
+
+def table_checks(df: DataFrame, table: str, config: DQConfig, now: dt.datetime | str, note: str | None = None) -> DataFrame:
+    """All checks of one table from a single aggregate; returns RESULT_SCHEMA rows.
+
+    The aggregate holds counts and one maximum, whatever the values are; the invalid values
+    themselves come from ``invalid_values``.
+    """
     rules: TableRules = config.rules.get(table, TableRules(()))
-    cols = set(df.columns)
-    present = [c for c in rules.critical_columns if c in cols]
-    missing = [c for c in rules.critical_columns if c not in cols]
-
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in present]
-    value_checks = rules.value_checks
-    if value_checks:
-        if "views" in cols:
-            v = F.col("views").try_cast("double")
-            aggs += [F.count_if(v < 0).alias("views_neg"), F.count_if(v > config.max_views).alias("views_ext")]
-        for c in ("engagement_rate", "like_ratio"):
-            if c in cols:
-                x = F.col(c).try_cast("double")
-                aggs.append(F.count_if((x < 0) | (x > 100)).alias(f"oor__{c}"))
-        if "views_tier" in cols:
-            bad = F.col("views_tier").isNull() | ~F.col("views_tier").isin(*config.valid_tiers)
-            aggs += [
-                F.count_if(bad).alias("tier_bad"),
-                F.collect_set(F.when(bad, F.coalesce(F.col("views_tier"), F.lit("null")))).alias("tier_bad_set"),
-            ]
-        if "region" in cols:
-            aggs.append(F.collect_set("region").alias("regions"))
-    ts_col = next((c for c in config.freshness_columns if c in cols), None)
-    if rules.freshness and ts_col:
-        aggs.append(F.max(F.col(ts_col).cast("timestamp")).alias("latest"))
-
-    a = df.agg(*aggs)
+    have = set(df.columns)
+    missing = [c for c in rules.critical_columns if c not in have]
+    clock = next((c for c in config.freshness_columns if c in have), None) if rules.freshness else None
+    aggs = {"n": F.count(F.lit(1))}
+    aggs |= {f"null__{c}": F.count_if(F.col(c).isNull()) for c in rules.critical_columns if c in have}
+    checked = have if rules.value_checks else set()
+    aggs |= {f"range__{c}": F.count_if(_out_of_range(c, config)) for c in RANGES if c in checked}
+    if "views_tier" in checked:
+        aggs["tier_bad"] = F.count_if(_bad_tier(config))
+    if "region" in checked:
+        aggs["region_bad"] = F.count_distinct(F.when(_bad_region(config), F.col("region")))
+    if clock:
+        parsed = F.col(clock).try_cast("timestamp")
+        aggs |= {"latest": F.max(parsed), "unread": F.count_if(F.col(clock).isNotNull() & parsed.isNull())}
+
     n = F.col("n")
-    rows: list[Column] = [
-        _row("row_count", table, None, n, config.min_rows, n >= config.min_rows,
-             F.format_string("Row count: %d (min: %d)", n, F.lit(config.min_rows)))
-    ]
+    rows = [_row("row_count", table, None, n, config.min_rows, n >= config.min_rows)]
     for c in rules.critical_columns:
         if c in missing:
-            rows.append(_row("null_pct", table, c, None, config.max_null_pct, False,
-                             f"Column '{c}' missing - cannot check nulls"))
-            continue
-        pct = F.when(n > 0, F.col(f"null__{c}") / n * 100).otherwise(F.lit(0.0))
-        rows.append(_row("null_pct", table, c, F.round(pct, 2), config.max_null_pct,
-                         pct <= config.max_null_pct,
-                         F.format_string("%s null%%: %.2f%% (max: %s%%)", F.lit(c), F.round(pct, 2),
-                                         F.lit(str(config.max_null_pct)))))
-    rows.append(_row("schema", table, None, float(len(missing)), 0.0, not missing,
-                     f"Missing columns: {sorted(missing)}" if missing else "All expected columns present"))
-    if value_checks:
-        if "views" in cols:
-            neg, ext = F.col("views_neg"), F.col("views_ext")
-            rows.append(_row("value_range", table, "views", neg + ext, 0.0, (neg == 0) & (ext == 0),
-                             F.format_string("Views: %d negative, %d extreme (>%d)", neg, ext,
-                                             F.lit(config.max_views))))
-        for c, label in (("engagement_rate", "Engagement rate"), ("like_ratio", "Like ratio")):
-            if c in cols:
-                o = F.col(f"oor__{c}")
-                rows.append(_row("value_range", table, c, o, 0.0, o == 0,
-                                 F.format_string(f"{label}: %d values outside 0-100%%", o)))
-        if "views_tier" in cols:
-            bad = F.col("tier_bad")
-            rows.append(_row("value_range", table, "views_tier", bad, 0.0, bad == 0,
-                             F.when(bad == 0, F.lit("views_tier: all values valid")).otherwise(
-                                 F.concat(F.lit("views_tier invalid values: "), _set_text(F.col("tier_bad_set"))))))
-        if "region" in cols:
-            valid = F.array(*[F.lit(r) for r in config.valid_regions])
-            invalid = F.array_except(F.col("regions"), valid)
-            rows.append(_row("value_range", table, "region", F.size(invalid), 0.0, F.size(invalid) == 0,
-                             F.when(F.size(invalid) == 0,
-                                    F.concat(F.lit("Regions valid: "), _set_text(F.col("regions"))))
-                             .otherwise(F.concat(F.lit("Unexpected regions: "), _set_text(invalid)))))
-    if not rules.freshness:
-        rows.append(_row("freshness", table, None, None, float(config.freshness_hours), True,
-                         "Freshness check skipped - static reference data"))
-    elif ts_col is None:
-        rows.append(_row("freshness", table, None, None, float(config.freshness_hours), True,
-                         "No timestamp column found - skipping freshness check"))
+            rows.append(_row("null_pct", table, c, None, config.max_null_pct, False, "no such column"))
+        else:
+            share = F.when(n > 0, F.col(f"null__{c}") / n * 100).otherwise(F.lit(0.0))
+            rows.append(_row("null_pct", table, c, F.round(share, 2), config.max_null_pct, share <= config.max_null_pct, note))
+    rows.append(_row("schema", table, None, len(missing), 0, not missing, ", ".join(sorted(missing)) or None))
+    for c in RANGES:
+        if c in checked:
+            bad = F.col(f"range__{c}")
+            rows.append(_row("value_range", table, c, bad, 0, bad == 0, note))
+    for c, bad in (("views_tier", "tier_bad"), ("region", "region_bad")):
+        if c in checked:
+            rows.append(_row("value_range", table, c, F.col(bad), 0, F.col(bad) == 0, note))
+    hours = config.freshness_hours
+    if clock is None:
+        rows.append(_row("freshness", table, None, None, hours, True, "no clock to check" if rules.freshness else "a static table"))
     else:
-        cutoff = F.lit(str(now)).cast("timestamp") - F.make_dt_interval(hours=F.lit(config.freshness_hours))
-        latest = F.col("latest")
-        age_h = (F.unix_micros(F.lit(str(now)).cast("timestamp")) - F.unix_micros(latest)) / F.lit(3_600_000_000)
-        rows.append(_row("freshness", table, ts_col, F.round(age_h, 2), float(config.freshness_hours),
-                         F.coalesce(latest >= cutoff, F.lit(False)),
-                         F.when(latest.isNull(), F.lit(f"Timestamp column '{ts_col}' has no valid values"))
-                         .otherwise(F.concat(F.lit("Latest: "), latest.cast("string"), F.lit(" | Cutoff: "),
-                                             cutoff.cast("string")))))
-    return a.select(F.inline(F.array(*rows)))
+        at = F.lit(str(now)).cast("timestamp")
+        latest, unread = F.col("latest"), F.col("unread")
+        age = F.round((F.unix_micros(at) - F.unix_micros(latest)) / F.lit(3_600_000_000), 2)
+        fresh = F.coalesce(latest >= at - F.make_dt_interval(hours=F.lit(hours)), F.lit(False))
+        # times that can't be read pass, as the rule has it; their number is in the note
+        text = F.when(unread > 0, F.concat(unread.cast("string"), F.lit(" times can't be read")))
+        rows.append(_row("freshness", table, clock, age, hours, (unread > 0) | fresh, text))
+    return df.agg(*[v.alias(k) for k, v in aggs.items()]).select(F.inline(F.array(*rows)))
+
+
+def invalid_values(df: DataFrame, table: str, config: DQConfig) -> DataFrame:
+    """What the enum checks found, grouped: table_name, column_name, invalid_value, n_rows."""
+    found = F.array(
+        F.when(_bad_tier(config), F.struct(F.lit("views_tier").alias("column_name"), F.col("views_tier").alias("invalid_value"))),
+        F.when(_bad_region(config), F.struct(F.lit("region").alias("column_name"), F.col("region").alias("invalid_value"))),
+    )
+    each = df.select(F.explode(F.array_compact(found)).alias("x")).select("x.*")
+    counted = each.groupBy("column_name", "invalid_value").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(F.lit(table).alias("table_name"), "column_name", "invalid_value", "n_rows")
 
 
 def read_failure(spark: SparkSession, table: str, error: str) -> DataFrame:
-    return spark.createDataFrame(
-        [("read_table", table, None, None, None, False, f"Could not read table: {error[:500]}")],
-        RESULT_SCHEMA,
-    )
+    return spark.createDataFrame([("read_table", table, None, None, None, False, f"{table} can't be read: {error}")], RESULT_SCHEMA)
 
 
 def run_checks(
@@ -203,26 +182,32 @@ def run_checks(
     sample_fraction: float | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """Checks over every table; an unreadable table is one failed ``read_table`` row and
-    the remaining tables are still checked.
-
-    The whole table is checked by default. ``sample_fraction`` opts into a Bernoulli
-    sample (``TABLESAMPLE``-style percentage, seeded, no fixed row ceiling); the row-count
-    check then sees the sampled count."""
+    """Checks over every table, run one table at a time: one that can't be read, when it is
+    opened or while its rows are, gives one failed ``read_table`` row with the error's text,
+    and the others are still checked. What is gathered is one row per configured check.
+
+    The whole table is checked by default. ``sample_fraction`` opts into a seeded Bernoulli
+    sample for the checks on values, which then say so in their messages; the rows are
+    always counted in full.
+    """
     config = config or DQConfig()
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    parts = []
+    rows = []
     for name, df in tables.items():
-        if df is None or isinstance(df, Exception):
-            parts.append(read_failure(spark, name, str(df) if df is not None else "missing"))
-        else:
-            if sample_fraction is not None:
-                df = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
-            parts.append(table_checks(df, name, config, now))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        try:
+            if df is None or isinstance(df, Exception):
+                raise df or FileNotFoundError("missing")
+            if sample_fraction is None:
+                rows += table_checks(df, name, config, now).collect()
+            else:
+                part = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+                note = f"on a sample of {sample_fraction:g} of the rows"
+                total = df.agg(F.count(F.lit(1)).alias("n"))
+                counted = total.select(F.inline(F.array(_row("row_count", name, None, F.col("n"), config.min_rows, F.col("n") >= config.min_rows))))
+                rows += counted.collect() + table_checks(part, name, config, now, note).where("check <> 'row_count'").collect()
+        except Exception as error:  # noqa: BLE001 - any failure to read fails this table alone
+            rows += read_failure(spark, name, str(error)).collect()
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
 def verdict(results: DataFrame) -> DataFrame:
@@ -245,7 +230,15 @@ def prewrite_warnings(df: DataFrame) -> list[Column]:
     return exprs
 
 
-def bronze_staleness(df: DataFrame, now: dt.datetime | str, max_hours: int = 6) -> DataFrame:
+STALE_HOURS = 6
+
+
+def is_stale(latest: dt.datetime | None, now: dt.datetime, max_hours: int = STALE_HOURS) -> bool:
+    """Whether a region's newest landing is older than ``max_hours``, or there is none."""
+    return latest is None or latest < now - dt.timedelta(hours=max_hours)
+
+
+def bronze_staleness(df: DataFrame, now: dt.datetime | str, max_hours: int = STALE_HOURS) -> DataFrame:
     """Per region: newest ingestion and whether it is older than ``max_hours``."""
     now_ts = F.lit(str(now)).cast("timestamp")
     return df.groupBy("region").agg(F.max("ingestion_timestamp").alias("latest")).withColumns({
@@ -254,7 +247,3 @@ def bronze_staleness(df: DataFrame, now: dt.datetime | str, max_hours: int = 6)
         ),
         "stale": F.col("latest") < now_ts - F.make_dt_interval(hours=F.lit(max_hours)),
     })
-
-
-def region_list(values: Sequence[str]) -> tuple[str, ...]:
-    return tuple(v.strip().lower() for v in values)

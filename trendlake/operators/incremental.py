@@ -1,4 +1,4 @@
-"""Incremental date planning and partition merge, all as DataFrames.
+"""Incremental date planning.
 
 ``to_process = (silver_dates - gold_dates) UNION ({run_date} if run_date in silver)``,
 planned for each Gold table against its own partitions, so a run that died between two
@@ -10,8 +10,8 @@ null trending dates are never planned.
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from trendlake.sinks.writers import path_exists
 
 DATE = "trending_date"
-_DATE_DIR = re.compile(DATE + r"=([^/,\]\s]+)")
 
 
 def distinct_dates(df: DataFrame) -> DataFrame:
@@ -27,37 +26,27 @@ def distinct_dates(df: DataFrame) -> DataFrame:
     return df.select(F.col(DATE).cast("date").alias(DATE)).where(F.col(DATE).isNotNull()).distinct()
 
 
-def partition_dates(spark: SparkSession, path: str) -> set[dt.date]:
-    """Dates that have a partition directory in a table partitioned by (region,
-    trending_date). The directories are the ground truth, as in the key listing the
-    reference did: one glob through the table's Hadoop FileSystem, no Spark job and no
-    Parquet footer read. Bounded by the number of (region, day) partitions; a missing
-    table has none, and the null-date partition is never planned."""
+def partition_days(spark: SparkSession, path: str) -> set[tuple[str, dt.date]]:
+    """(region, date) partitions with data files in a table partitioned by (region,
+    trending_date). The files are the ground truth, as in the key listing the reference
+    did: one glob through the table's Hadoop FileSystem, no Spark job and no Parquet footer
+    read. A missing table has none, an empty directory counts as none, and the null-date
+    partition is never planned."""
     if not path_exists(spark, path):
         return set()
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + f"/*/{DATE}=*")
+    pattern = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + f"/region=*/{DATE}=*/part-*")
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    statuses = fs.globStatus(pattern)
-    if statuses is None:
-        return set()
-    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
-    text = "\n".join(str(p) for p in paths)
     found = set()
-    for value in _DATE_DIR.findall(text):
+    for status in fs.globStatus(pattern) or []:
+        region, day = (unquote(part.partition("=")[2]) for part in str(status.getPath()).split("/")[-3:-1])
         try:
-            found.add(dt.date.fromisoformat(value))
+            found.add((region, dt.date.fromisoformat(day)))
         except ValueError:  # __HIVE_DEFAULT_PARTITION__ (null date)
             continue
     return found
 
 
-def existing_dates(spark: SparkSession, path: str) -> DataFrame:
-    """``partition_dates`` as a one-column DataFrame."""
-    found = partition_dates(spark, path)
-    return spark.createDataFrame([(d,) for d in sorted(found)], f"{DATE} date")
-
-
 def plan_dates(
     silver_dates: DataFrame,
     gold_dates: DataFrame,
@@ -86,39 +75,27 @@ def plan_dates(
 
 
 def plan_date_sets(
-    silver_dates: set[dt.date],
-    existing: dict[str, set[dt.date]],
+    silver_days: set[tuple[str, dt.date]],
+    existing: dict[str, set[tuple[str, dt.date]]],
     run_date: dt.date | str | None,
     dates_override: Iterable | None = None,
 ) -> dict[str, list[dt.date]]:
     """``plan_dates`` for every table when both sides are partition listings (small
-    driver-side sets bounded by the number of days): same rules, no Spark job."""
+    driver-side sets bounded by the number of region-days): same rules, no Spark job.
+
+    A date is new to a table while any of its regions is: a region that arrives after its
+    date was built, or was lost with a run that died, is planned again.
+    """
+    have_dates = {d for _, d in silver_days}
     if dates_override is not None:
-        forced = {dt.date.fromisoformat(str(d)) for d in dates_override} & silver_dates
+        forced = {dt.date.fromisoformat(str(d)) for d in dates_override} & have_dates
         return {t: sorted(forced) for t in existing}
     today = dt.date.fromisoformat(str(run_date)) if run_date is not None else None
-    todays = {today} & silver_dates if today else set()
-    return {t: sorted((silver_dates - have) | todays) for t, have in existing.items()}
+    todays = {today} & have_dates if today else set()
+    return {t: sorted({d for _, d in silver_days - have} | todays) for t, have in existing.items()}
 
 
 def collect_dates(plan: DataFrame) -> list[dt.date]:
     """The planned dates as a sorted Python list (bounded by the number of days in
     Silver), used as an ``IN`` list so the Parquet scan prunes partitions."""
     return sorted(r[DATE] for r in plan.select(DATE).collect())
-
-
-def merge_partitions(
-    existing: DataFrame | None, updates: DataFrame, partition_cols=("region", DATE)
-) -> DataFrame:
-    """Table contents after a dynamic partition overwrite, as a DataFrame.
-
-    Every (region, date) partition present in ``updates`` comes wholly from it; all other
-    partitions stay as they were, exactly like the writer's dynamic overwrite on files.
-    This form lets the outcome be checked against SQL without I/O.
-    """
-    if existing is None:
-        return updates
-    keys = list(partition_cols)
-    touched = updates.select(*keys).distinct()
-    kept = existing.join(touched, keys, "left_anti")
-    return kept.unionByName(updates)

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from trendlake.functions.metrics import UNKNOWN_CATEGORY
 
-# A lookup at or below this many rows is broadcast; above it the join shuffles.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def category_lookup(categories: DataFrame) -> DataFrame:
     """category_id -> category_name across regions.
 
@@ -34,28 +30,14 @@ def category_lookup(categories: DataFrame) -> DataFrame:
     )
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check before a broadcast: counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_categories(
-    facts: DataFrame,
-    lookup: DataFrame | None,
-    broadcast: bool | None = None,
-) -> DataFrame:
+def join_categories(facts: DataFrame, lookup: DataFrame | None) -> DataFrame:
     """Left join facts to the lookup on category_id; a missing name is ``Unknown``.
 
-    ``lookup=None`` (dimension unreadable) still yields a ``category_name`` column.
-    ``broadcast=None`` checks the lookup's size first and broadcasts only when it fits;
-    otherwise the join is left to the planner (sort-merge, or AQE's runtime broadcast).
+    ``lookup=None`` (dimension unreadable) still yields a ``category_name`` column. There is
+    no hint: a lookup below the byte threshold is broadcast, by statistics or at run time,
+    and a larger one shuffles.
     """
     if lookup is None:
         return facts.withColumn("category_name", F.lit(UNKNOWN_CATEGORY))
-    if broadcast is None:
-        broadcast = fits_broadcast(lookup)
-    right = F.broadcast(lookup) if broadcast else lookup
-    joined = facts.join(right, on="category_id", how="left")
-    return joined.withColumn(
-        "category_name", F.coalesce(F.col("category_name"), F.lit(UNKNOWN_CATEGORY))
-    )
+    joined = facts.join(lookup, on="category_id", how="left")
+    return joined.withColumn("category_name", F.coalesce("category_name", F.lit(UNKNOWN_CATEGORY)))

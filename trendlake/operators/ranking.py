@@ -2,16 +2,16 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY k)`` sends a whole group to one task. That
 is fine when a group is bounded (categories per day), but channels per (region, day) grow
-with the data. ``distributed_row_number`` computes the same numbers with a global sort:
+with the data, at any size. ``distributed_row_number`` computes the same numbers with a global sort:
 
 1. ``orderBy(g..., k...)`` range-partitions on the *full* composite key, so one hot group
    is spread over many partitions (the sampler sees its rows like any others);
 2. each row gets its partition id and a per-partition consecutive id, and the result is
-   checkpointed (stable ids, lineage cut, survives executor loss);
+   written to the shared scratch folder (stable ids, lineage cut, survives executor loss);
 3. a tiny table of (group, partition) -> row count and first id gives each partition's
    offset inside its group (running sum over partitions);
-4. row_number = offset + (id - first id in partition) + 1, joined back by broadcast (the
-   table has at most #partitions + #groups rows and is size-checked).
+4. row_number = offset + (id - first id in partition) + 1, joined back (a table
+   of at most #partitions + #groups rows; Spark decides how).
 """
 
 from __future__ import annotations
@@ -21,17 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.operators.lookup import fits_broadcast
-
-# Above this many rows in the largest group, use the distributed path.
-WINDOW_MAX_GROUP_ROWS = 2_000_000
-
-
-def window_row_number(
-    df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], out_col: str
-) -> DataFrame:
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return df.withColumn(out_col, F.row_number().over(w))
+from trendlake.sinks.writers import write_scratch
 
 
 def distributed_row_number(
@@ -52,7 +42,8 @@ def distributed_row_number(
     tagged = ordered.withColumns({
         "_rn_pid": F.spark_partition_id(),
         "_rn_mid": F.monotonically_increasing_id(),
-    }).checkpoint(eager=True)
+    })
+    tagged = write_scratch(tagged, "ranked")
 
     before = Window.partitionBy(*group_cols).orderBy("_rn_pid").rowsBetween(
         Window.unboundedPreceding, -1
@@ -63,7 +54,6 @@ def distributed_row_number(
         .withColumn("_rn_off", F.coalesce(F.sum("_rn_n").over(before), F.lit(0)))
         .drop("_rn_n")
     )
-    spans = F.broadcast(spans) if fits_broadcast(spans) else spans
     t, s = tagged.alias("_t"), spans.alias("_s")
     cond = [F.col(f"_t.{c}").eqNullSafe(F.col(f"_s.{c}")) for c in group_cols]
     cond.append(F.col("_t._rn_pid") == F.col("_s._rn_pid"))
@@ -72,15 +62,3 @@ def distributed_row_number(
     )
     rn = (F.col("_rn_off") + (F.col("_rn_mid") - F.col("_rn_m0")) + 1).cast("int")
     return joined.withColumn(out_col, rn).drop("_rn_pid", "_rn_mid", "_rn_m0", "_rn_off")
-
-
-def group_row_number(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_cols: Sequence[Column],
-    out_col: str,
-    distributed: bool = False,
-) -> DataFrame:
-    if distributed:
-        return distributed_row_number(df, group_cols, order_cols, out_col)
-    return window_row_number(df, group_cols, order_cols, out_col)

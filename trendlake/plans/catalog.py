@@ -15,10 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.operators import clean, dq, flatten, gold, incremental, landing, lookup
-from trendlake.plans import analyst
-from trendlake.plans.gold import build_gold, gold_facts
+from trendlake.plans import analyst, jobs
+from trendlake.plans.gold import GOLD_BUILDERS, build_gold, build_velocity, gold_facts
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, silver_run_metrics
-from trendlake.schemas import PROVENANCE_COLUMNS
+from trendlake.schemas import (
+    CATEGORY_COLUMNS,
+    PROVENANCE_COLUMNS,
+    SILVER_CATS,
+    SILVER_CATS_COLUMNS,
+    SILVER_STATS,
+    SILVER_STATS_COLUMNS,
+    TRENDING_COLUMNS,
+)
 from trendlake.session import prepare_session, scratch_dir
 from trendlake.sinks import writers
 from trendlake.sources import bronze
@@ -63,8 +71,16 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
     return gold_facts(silver_stats(spark, sf), silver_cats(spark, sf))
 
 
-def gold_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return build_gold(facts(spark, sf))
+class GoldTables(dict):
+    """Gold tables over the adapter's Silver, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf: str) -> None:
+        super().__init__()
+        self.facts = facts(spark, sf)
+
+    def __missing__(self, table: str) -> DataFrame:
+        self[table] = build_gold(self.facts, tables=[table])[table]
+        return self[table]
 
 
 # ------------------------------------------------------------------ silver
@@ -182,6 +198,8 @@ def q_momentum(spark, sf):
 ADAPTER_REGIONS = ("africa", "america", "asia", "europe", "middle east")
 # Run clock of the registered DQ checks (fixed, so results are reproducible).
 CHECK_CLOCK = "2001-11-05 00:00:00"
+RUN_TS = dt.datetime(2001, 11, 5)
+LATE_REGION = "asia"
 
 
 def q_flatten_stats(spark, sf):
@@ -227,19 +245,73 @@ def q_incremental_dates(spark, sf):
     return plan
 
 
-def q_incremental_gold(spark, sf):
+def _lake(spark, sf, stats, cats):
+    """A lake in the shared scratch folder whose Silver the real writers have written."""
+    paths = jobs.LakePaths(scratch_dir(spark, "lake"))
+    _write_silver(paths, stats)
+    writers.write_partitions(clean.add_provenance(cats, RUN_TS).select(*SILVER_CATS_COLUMNS), paths.silver_cats, ["region"], "silver_cats")
+    return paths
+
+
+def _write_silver(paths, stats):
+    stamped = clean.add_provenance(stats, RUN_TS, "catalog").select(*SILVER_STATS_COLUMNS)
+    return writers.write_partitions(stamped, paths.silver_stats, ["region", "trending_date"], "silver_stats")
+
+
+def q_silver_write(spark, sf):
+    """Silver facts as the writer left them: partitions, column types and rows (K3, S5)."""
+    paths = _lake(spark, sf, silver_stats(spark, sf), silver_cats(spark, sf))
+    return _public(spark.read.schema(SILVER_STATS).parquet(paths.silver_stats))
+
+
+def q_category_write(spark, sf):
+    """The dimension through Bronze JSON, the reader and the writer (S2, K4, C2)."""
+    root = scratch_dir(spark, "bronze-cats")
+    writers.write_bronze(landing.category_envelopes(raw_cats(spark, sf)), root, ["region", "date"])
+    flat = flatten.flatten_categories(bronze.read_bronze_categories(spark, root, ADAPTER_REGIONS, multi_line=False))
+    path = scratch_dir(spark, "silver-cats")
+    writers.write_partitions(build_silver_categories(flat, RUN_TS), path, ["region"], "silver_cats")
+    return _public(spark.read.schema(SILVER_CATS).parquet(path))
+
+
+def _two_runs(spark, sf):
+    """Gold after two runs of the job: the first over the earlier state of Silver, the second
+    when all of it is there and the first's "today" has grown."""
     f, early, latest = _scenario(spark, sf)
-    existing = gold.trending_analytics(early)
-    plan = incremental.plan_dates(incremental.distinct_dates(f), incremental.distinct_dates(existing), latest)
-    updates = gold.trending_analytics(gold.restrict_dates(f, plan))
-    return _public(incremental.merge_partitions(existing, updates))
+    full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), writers.write_scratch(silver_cats(spark, sf), "cats")
+    keys = ["video_id", "region", "trending_date"]
+    paths = _lake(spark, sf, full.join(early.select(*keys), keys, "left_semi"), cats)
+    jobs.silver_to_gold(spark, paths, latest, RUN_TS)
+    _write_silver(paths, full)
+    second = jobs.silver_to_gold(spark, paths, latest, RUN_TS)
+    return paths, second
+
+
+def q_incremental_gold(spark, sf):
+    """trending_analytics after the second run, read back: planned dates are new, the others
+    are as the first run wrote them (K5, C4, I2)."""
+    paths, _ = _two_runs(spark, sf)
+    return _public(spark.read.parquet(paths.gold("trending_analytics")).select(*TRENDING_COLUMNS))
 
 
 def q_incremental_velocity(spark, sf):
-    """Velocity for the planned dates only, with LAG over the whole history (I8)."""
+    """Velocity for the planned dates only, built as the job does: the look back reads the
+    histories of the videos that trended on them (I8)."""
     f, early, latest = _scenario(spark, sf)
     plan = incremental.plan_dates(incremental.distinct_dates(f), incremental.distinct_dates(early), latest)
-    return _public(gold.video_velocity(f, incremental.collect_dates(plan)))
+    return _public(build_velocity(silver_stats(spark, sf), silver_cats(spark, sf), incremental.collect_dates(plan)))
+
+
+def q_late_region(spark, sf):
+    """A region that arrives after its dates were built is built by the next run, which reads
+    the partitions of both sides (region, date by region, date)."""
+    full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), writers.write_scratch(silver_cats(spark, sf), "cats")
+    paths = _lake(spark, sf, full.where(F.col("region") != LATE_REGION), cats)
+    latest = max(d for _, d in incremental.partition_days(spark, paths.silver_stats))
+    jobs.silver_to_gold(spark, paths, latest, RUN_TS)
+    _write_silver(paths, full.where(F.col("region") == LATE_REGION))
+    jobs.silver_to_gold(spark, paths, latest, RUN_TS)
+    return _public(spark.read.parquet(paths.gold("category_analytics")).select(*CATEGORY_COLUMNS))
 
 
 def q_backfill_dates(spark, sf):
@@ -271,6 +343,12 @@ def q_dq_verdict(spark, sf):
     return dq.verdict(_dq_results(spark, sf))
 
 
+def q_dq_invalid_values(spark, sf):
+    """Values outside the enums, with two of the five regions configured."""
+    cfg = dq.DQConfig(valid_regions=ADAPTER_REGIONS[:2])
+    return dq.invalid_values(silver_stats(spark, sf), dq.FACT_TABLE, cfg)
+
+
 def q_dq_prewrite(spark, sf):
     s = silver_stats(spark, sf)
     return s.agg(*dq.prewrite_warnings(s))
@@ -283,7 +361,7 @@ def q_dq_staleness(spark, sf):
 # ------------------------------------------------------------------ analyst queries
 def _analyst(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return _public(analyst.DATAFRAME[name](gold_tables(spark, sf)))
+        return _public(analyst.DATAFRAME[name](GoldTables(spark, sf)))
 
     run.__name__ = f"q_{name}"
     return run
@@ -291,7 +369,8 @@ def _analyst(name: str) -> Query:
 
 def _analyst_sql(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        analyst.register_gold_views(spark, gold_tables(spark, sf))
+        made = GoldTables(spark, sf)
+        analyst.register_gold_views(spark, {t: made[t] for t in GOLD_BUILDERS if t in analyst.SQL[name]})
         return _public(analyst.run_sql(spark, name))
 
     run.__name__ = f"q_{name}_sql"
@@ -323,7 +402,10 @@ def registry() -> dict[str, Query]:
         "flatten_categories": q_flatten_categories,
         "land_roundtrip": q_land_roundtrip,
         "incremental_dates": q_incremental_dates,
+        "silver_write": q_silver_write,
+        "category_write": q_category_write,
         "incremental_gold": q_incremental_gold,
+        "late_region": q_late_region,
         "incremental_velocity": q_incremental_velocity,
         "backfill_dates": q_backfill_dates,
         "dq_row_count": _dq(lambda: F.col("check") == "row_count"),
@@ -335,6 +417,7 @@ def registry() -> dict[str, Query]:
                         & F.col("column_name").isin("views_tier", "region")),
         "dq_freshness": _dq(lambda: F.col("check") == "freshness"),
         "dq_verdict": q_dq_verdict,
+        "dq_invalid_values": q_dq_invalid_values,
         "dq_prewrite": q_dq_prewrite,
         "dq_staleness": q_dq_staleness,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,46 +20,58 @@ GOLD_INPUT_COLUMNS = (
 )
 
 
-def gold_facts(
-    silver_stats: DataFrame,
-    silver_categories: DataFrame | None,
-    redup: bool = True,
-    broadcast_lookup: bool | None = None,
-    cluster_by_video: bool = False,
-) -> DataFrame:
+def gold_facts(silver_stats: DataFrame, silver_categories: DataFrame | None, redup: bool = True) -> DataFrame:
     """Silver facts ready for the builders: (re-)deduplicated, category names joined,
     rows with a null trending_date excluded (they can never be planned).
 
     The re-dedup guards against duplicate Silver partitions. Its tie-break is total over
     the columns read, and rows equal on all of them give the same Gold output, so only
-    ``GOLD_INPUT_COLUMNS`` are read. ``cluster_by_video`` hash-partitions by (video_id,
-    region) first: that distribution satisfies both the dedup window (video, region,
-    date) and velocity's LAG window (video, region), so the history shuffles once.
+    ``GOLD_INPUT_COLUMNS`` are read.
     """
     facts = silver_stats.select(*GOLD_INPUT_COLUMNS).where(F.col("trending_date").isNotNull())
-    if cluster_by_video:
-        facts = facts.repartition("video_id", "region")
     if redup:
         facts = dedup.dedup_statistics(facts)
     table = lookup.category_lookup(silver_categories) if silver_categories is not None else None
-    return lookup.join_categories(facts, table, broadcast=broadcast_lookup)
+    return lookup.join_categories(facts, table)
+
+
+def velocity_history(silver_stats: DataFrame, dates: Collection | None) -> DataFrame:
+    """The Silver rows that velocity of ``dates`` can depend on: up to the last of them, the
+    histories of the (video, region) pairs that trended on one of them.
+
+    Both cuts are on the scan's rows, below the dedup: a daily run reads the key columns of
+    its day, and shuffles and sorts the histories of that day's videos only.
+    """
+    if dates is None:
+        return silver_stats
+    past = silver_stats.where(F.col("trending_date") <= F.lit(max(dates)).cast("date"))
+    trended = gold.restrict_dates(silver_stats, dates).select("video_id", "region").distinct()
+    return past.join(trended, ["video_id", "region"], "left_semi")
+
+
+def build_velocity(
+    silver_stats: DataFrame, silver_categories: DataFrame | None, dates: Collection | None = None, run_ts=None
+) -> DataFrame:
+    """Velocity of ``dates`` (None = every date) straight from Silver, as the job builds it."""
+    if dates is not None and not dates:
+        silver_stats = silver_stats.limit(0)
+        dates = None
+    facts = gold_facts(velocity_history(silver_stats, dates), silver_categories)
+    return gold.video_velocity(facts, dates, run_ts)
 
 
-def build_gold(
-    facts: DataFrame,
-    dates: Iterable | DataFrame | None = None,
-    run_ts=None,
-    distributed_rank: bool = False,
-) -> dict[str, DataFrame]:
-    """The four Gold tables for ``dates`` (None = every date).
+def build_gold(facts: DataFrame, dates: Iterable | DataFrame | None = None, run_ts=None, tables: Iterable = GOLD_BUILDERS) -> dict[str, DataFrame]:
+    """The named Gold tables for ``dates`` (None = every date), from facts of all dates.
 
-    trending/channel/category read only the processed dates; velocity reads the whole
-    history and is restricted after its LAG.
+    trending/channel/category roll up one aggregate of the processed dates; velocity reads
+    the whole history and is restricted after its LAG.
     """
     day_facts = gold.restrict_dates(facts, dates)
-    return {
-        "trending_analytics": gold.trending_analytics(day_facts, run_ts),
-        "channel_analytics": gold.channel_analytics(day_facts, run_ts, distributed_rank),
-        "category_analytics": gold.category_analytics(day_facts, run_ts),
-        "video_velocity": gold.video_velocity(facts, dates, run_ts),
+    cube = gold.day_cube(day_facts)
+    makers = {
+        "trending_analytics": lambda: gold.trending_analytics(day_facts, run_ts, cube),
+        "channel_analytics": lambda: gold.channel_analytics(day_facts, run_ts, cube),
+        "category_analytics": lambda: gold.category_analytics(day_facts, run_ts, cube),
+        "video_velocity": lambda: gold.video_velocity(facts, dates, run_ts),
     }
+    return {t: makers[t]() for t in tables}

@@ -12,14 +12,12 @@ import datetime as dt
 import os
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.operators import dq, flatten, gold, incremental, landing, lookup
-from trendlake.operators.ranking import WINDOW_MAX_GROUP_ROWS
-from trendlake.plans.gold import GOLD_BUILDERS, gold_facts
-from trendlake.plans.silver import build_silver_categories, build_silver_statistics
+from trendlake.operators import clean, dq, flatten, gold, incremental, landing
+from trendlake.plans.gold import GOLD_BUILDERS, build_velocity, gold_facts
+from trendlake.plans.silver import build_silver_categories, build_silver_statistics, merge_silver
 from trendlake.schemas import GOLD_PARTITION_KEYS, SILVER_CATS, SILVER_STATS
 from trendlake.session import prepare_session
 from trendlake.sinks import writers
@@ -88,27 +86,41 @@ def bronze_to_silver(
         missing = bronze.report_from_metrics({}, regions)
         return RunResult("bronze_to_silver", "failed", {"regions": missing})
     raw = bronze.read_bronze_statistics(spark, paths.bronze_stats, regions, multi_line, landing_dates)
-    # One parse of Bronze: the per-region report and the pre-write warnings are
-    # observations on the same plan that writes Silver.
+    # One parse of Bronze: the per-region report and the run's counts are observations on the
+    # same plan that writes Silver.
     docs = Observation(f"bronze_report_{run_ts:%Y%m%d%H%M%S%f}")
-    raw = raw.observe(docs, *bronze.report_exprs(regions))
-    silver = build_silver_statistics(flatten.flatten_statistics(raw), run_ts, job_name)
+    flat = flatten.flatten_statistics(raw.observe(docs, *bronze.report_exprs(regions)))
+    counts = Observation(f"silver_counts_{run_ts:%Y%m%d%H%M%S%f}")
+    raw_rows, no_id = F.count(F.lit(1)).alias("raw_rows"), F.count_if(~clean.has_video_id()).alias("null_id_dropped")
+    flat = flat.observe(counts, raw_rows, no_id)
     warn = Observation(f"silver_warnings_{run_ts:%Y%m%d%H%M%S%f}")
-    silver = silver.observe(warn, *dq.prewrite_warnings(silver))
-    rows = writers.write_partitions(silver, paths.silver_stats, ["region", "trending_date"], "silver_stats")
-    per_region = bronze.report_from_metrics(_observed(docs), regions)
+    keys = ["region", "trending_date"]
+    if landing_dates is None:
+        silver = build_silver_statistics(flat, run_ts, job_name)
+        rows = writers.write_partitions(silver.observe(warn, *dq.prewrite_warnings(silver)), paths.silver_stats, keys, "silver_stats")
+    else:
+        # Landing days bound what is read, not what a partition holds: what other days landed
+        # for the touched partitions is in Silver, and competes with the new rows.
+        rows = merge_silver(spark, flat, paths.silver_stats, run_ts, job_name, warn)
+    per_region = bronze.report_from_metrics(writers.observed(docs), regions)
+    for region in per_region.values():  # of Bronze itself, from its documents' own clocks
+        region["stale"] = dq.is_stale(region["latest"], run_ts)
     if rows == 0 or all(m["failed"] for m in per_region.values()):
         # No region yielded rows: nothing was written (a zero-row dynamic overwrite
         # touches no partition), and the run fails like the reference's abort.
         return RunResult("bronze_to_silver", "failed", {"regions": per_region})
-    metrics = {"silver_rows": rows, "warnings": _observed(warn), "regions": per_region}
+    seen = writers.observed(counts)
+    metrics = {"silver_rows": rows, "warnings": writers.observed(warn), "regions": per_region, **seen}
+    if landing_dates is None:
+        metrics["duplicates_removed"] = seen["raw_rows"] - seen["null_id_dropped"] - rows
 
     try:
-        cats_raw = bronze.read_bronze_categories(spark, paths.bronze_cats, regions, multi_line, landing_dates)
+        # All category documents, whatever the landing days: a region's partition holds them all.
+        cats_raw = bronze.read_bronze_categories(spark, paths.bronze_cats, regions, multi_line)
         cats = build_silver_categories(flatten.flatten_categories(cats_raw), run_ts)
         metrics["category_rows"] = writers.write_partitions(cats, paths.silver_cats, ["region"], "silver_cats")
     except Exception as e:  # noqa: BLE001 - categories are non-fatal (Gold reads Unknown)
-        metrics["category_error"] = str(e)[:500]
+        metrics["category_error"] = str(e)
     return RunResult("bronze_to_silver", "ok", metrics)
 
 
@@ -122,8 +134,11 @@ def quality_gate(
     prepare_session(spark)
     tables = {}
     for name, path in ((dq.FACT_TABLE, paths.silver_stats), (dq.DIM_TABLE, paths.silver_cats)):
-        tables[name] = writers.read_parquet_or_none(spark, path)
-    results = dq.run_checks(spark, tables, config, now).cache()
+        try:
+            tables[name] = writers.read_parquet_or_none(spark, path)
+        except Exception as error:  # noqa: BLE001 - becomes the table's failed row
+            tables[name] = error
+    results = dq.run_checks(spark, tables, config, now)
     v = dq.verdict(results).first()
     status = "ok" if v["quality_passed"] else "dq_failed"
     return RunResult("quality_gate", status, v.asDict(), results)
@@ -138,50 +153,49 @@ def silver_to_gold(
     dates_override=None,
 ) -> RunResult:
     prepare_session(spark)
-    silver_dates = incremental.partition_dates(spark, paths.silver_stats)
-    if not silver_dates:
+    silver_days = incremental.partition_days(spark, paths.silver_stats)
+    if not silver_days:
         return RunResult("silver_to_gold", "failed", {"error": "clean_statistics is empty"})
-    existing = {t: incremental.partition_dates(spark, paths.gold(t)) for t in GOLD_BUILDERS}
-    plans = incremental.plan_date_sets(silver_dates, existing, run_date, dates_override)
-    all_dates = sorted({d for ds in plans.values() for d in ds})
-    if not all_dates:
+    existing = {t: incremental.partition_days(spark, paths.gold(t)) for t in GOLD_BUILDERS}
+    plans = incremental.plan_date_sets(silver_days, existing, run_date, dates_override)
+    if not any(plans.values()):
         return RunResult("silver_to_gold", "noop", {"planned": {}})
+    metrics: dict = {"planned": {k: [str(d) for d in v] for k, v in plans.items()}}
     stats = spark.read.schema(SILVER_STATS).parquet(paths.silver_stats)
-    cats = writers.read_parquet_or_none(spark, paths.silver_cats, SILVER_CATS)
-
-    lookup_fits = lookup.fits_broadcast(lookup.category_lookup(cats)) if cats is not None else None
-    facts = gold_facts(stats, cats, broadcast_lookup=lookup_fits)
-    # Facts of the planned days feed three builders: materialise them once.
-    day_facts = gold.restrict_dates(facts, all_dates).persist(StorageLevel.MEMORY_AND_DISK)
-    written = {}
-    trending = gold.trending_analytics(gold.restrict_dates(day_facts, plans["trending_analytics"]), run_ts)
-    written["trending_analytics"] = _write_gold(paths, "trending_analytics", trending)
-
-    biggest_day = day_facts.groupBy(*gold.DAY_KEYS).count().agg(F.max("count")).first()[0] or 0
-    channel = gold.channel_analytics(
-        gold.restrict_dates(day_facts, plans["channel_analytics"]), run_ts,
-        distributed_rank=biggest_day > WINDOW_MAX_GROUP_ROWS,
+    cats = _dimension(spark, paths, metrics)
+
+    written = metrics["rows_written"] = {}
+    daily = {
+        "trending_analytics": gold.trending_analytics,
+        "channel_analytics": gold.channel_analytics,
+        "category_analytics": gold.category_analytics,
+    }
+    dates = sorted({d for t in daily for d in plans[t]})
+    if dates:
+        # Facts of the planned days are aggregated once, to the rows the daily builders roll up.
+        facts = gold_facts(gold.restrict_dates(stats, dates), cats)
+        cube = writers.write_scratch(gold.day_cube(facts), "day-cube")
+        for table, build in daily.items():
+            rows = build(facts, run_ts, cube=gold.restrict_dates(cube, plans[table]))
+            written[table] = _write_gold(paths, table, rows)
+    written["video_velocity"] = _write_gold(
+        paths, "video_velocity", build_velocity(stats, cats, plans["video_velocity"], run_ts)
     )
-    written["channel_analytics"] = _write_gold(paths, "channel_analytics", channel)
-    category = gold.category_analytics(gold.restrict_dates(day_facts, plans["category_analytics"]), run_ts)
-    written["category_analytics"] = _write_gold(paths, "category_analytics", category)
-    day_facts.unpersist()
-
-    history = gold_facts(stats, cats, broadcast_lookup=lookup_fits, cluster_by_video=True)
-    velocity = gold.video_velocity(history, plans["video_velocity"], run_ts)
-    written["video_velocity"] = _write_gold(paths, "video_velocity", velocity)
     status = "ok" if any(written.values()) else "noop"
-    return RunResult("silver_to_gold", status, {
-        "planned": {k: [str(d) for d in v] for k, v in plans.items()},
-        "rows_written": written,
-    })
+    return RunResult("silver_to_gold", status, metrics)
 
 
-def _observed(obs: Observation) -> dict:
+def _dimension(spark: SparkSession, paths: LakePaths, metrics: dict) -> DataFrame | None:
+    """The category columns that Gold reads, copied out so that a file that can't be read
+    shows here: without the dimension, categories are Unknown and the run goes on."""
     try:
-        return dict(obs.get)
-    except Exception:  # noqa: BLE001 - nothing flowed (see writers.observed_rows)
-        return {}
+        cats = writers.read_parquet_or_none(spark, paths.silver_cats, SILVER_CATS)
+        if cats is None:
+            return None
+        return writers.write_scratch(cats.select("category_id", "category_name", "ingestion_timestamp", "region"), "categories")
+    except Exception as e:  # noqa: BLE001 - any failure to read is non-fatal
+        metrics["category_error"] = str(e)
+        return None
 
 
 def _write_gold(paths: LakePaths, table: str, df: DataFrame) -> int:
@@ -197,14 +211,17 @@ def run_medallion(
     run_ts: dt.datetime,
     dq_config: dq.DQConfig | None = None,
     multi_line: bool = False,
+    landing_dates: tuple | None = None,
+    dates_override=None,
 ) -> list[RunResult]:
-    """Silver, gate, Gold in order; stops at the first failure or a closed gate."""
-    out = [bronze_to_silver(spark, paths, regions, run_ts, multi_line)]
+    """Silver, gate, Gold in order; stops at the first failure or a closed gate. A backfill
+    gives the landing days to read, the dates to rebuild, or both."""
+    out = [bronze_to_silver(spark, paths, regions, run_ts, multi_line, landing_dates)]
     if out[-1].status != "ok":
         return out
     cfg = dq_config or dq.DQConfig(valid_regions=tuple(regions))
     out.append(quality_gate(spark, paths, cfg, run_ts))
     if out[-1].status != "ok":
         return out
-    out.append(silver_to_gold(spark, paths, run_ts.date(), run_ts))
+    out.append(silver_to_gold(spark, paths, run_ts.date(), run_ts, dates_override))
     return out

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from trendlake.session import scratch_dir
+
 
 def write_bronze(envelopes: DataFrame, root: str, partition_cols: Sequence[str]) -> None:
     """Append envelopes as JSON Lines under ``root/region=/date=[/hour=]``.
@@ -60,14 +62,23 @@ def write_partitions(
     return observed_rows(obs)
 
 
+def observed(obs: Observation) -> dict:
+    """Values of an observation; none if no rows flowed. When AQE finds an upstream stage
+    empty at run time it replaces the rest of the plan, metrics node included, with an empty
+    relation, and the observation comes back with an empty row."""
+    row = obs._jo.getRow() if obs._jo is not None else None
+    return dict(obs.get) if row is not None and row.length() else {}
+
+
 def observed_rows(obs: Observation, key: str = "rows") -> int:
-    """Row count from an observation. When AQE finds an upstream stage empty at runtime
-    it replaces the rest of the plan (metrics node included) with an empty relation, and
-    the observation comes back without values: that means no rows flowed."""
-    try:
-        return int((obs.get or {}).get(key) or 0)
-    except Exception:  # noqa: BLE001 - empty metrics row (see above)
-        return 0
+    return int(observed(obs).get(key) or 0)
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: one evaluation, no lineage."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

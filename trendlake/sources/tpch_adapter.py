@@ -35,11 +35,6 @@ from trendlake.session import prepare_session
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
-# Fixed fixture value: the category feed lists brands numbered up to this value; videos
-# of higher-numbered brands have no category entry and read "Unknown" after the join.
-CATALOGUED_BRANDS_UP_TO = 20
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -53,13 +48,13 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare_session(spark)
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey"), F.lower(F.col("r_name")).alias("region")
     )
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment"
     )
-    cust = customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey).select(
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "region"
     )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -119,10 +114,10 @@ def raw_statistics(spark: SparkSession, sf_dir: str, lines: DataFrame | None = N
 
 
 def raw_categories(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    """Category feed rows: (brand, customer region, ship day) for catalogued brands."""
+    """Category feed rows: (brand, customer region, ship day)."""
     lines = lines if lines is not None else snapshot_lines(spark, sf_dir)
     cid = _category_id()
-    return lines.where(cid <= CATALOGUED_BRANDS_UP_TO).select(
+    return lines.select(
         cid.alias("category_id"),
         F.col("p_brand").alias("category_name"),
         F.lit(True).alias("assignable"),

@@ -13,7 +13,8 @@ Each micro-batch:
    (partition-pruned);
 3. deduplicates new and existing rows together (a snapshot that arrives later in the day
    still competes with the one already in Silver);
-4. checkpoints the result (the write replaces files it was read from) and writes it with
+4. writes the result to the shared scratch folder (the write replaces files it was read
+   from) and from there with
    dynamic partition overwrite, so replaying an epoch leaves the same rows.
 """
 
@@ -26,42 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trendlake.operators import clean, dedup, flatten
-from trendlake.schemas import BRONZE_STATS, SILVER_STATS_COLUMNS, STATS_PARTITIONS
+from trendlake.operators import flatten
+from trendlake.plans.silver import merge_silver
+from trendlake.schemas import BRONZE_STATS, STATS_PARTITIONS
 from trendlake.session import prepare_session, scratch_dir
-from trendlake.sinks import writers
 from trendlake.sources.bronze import _with_partitions
 
-SILVER_KEYS = ("region", "trending_date")
-
-
-def merge_into_silver(
-    spark: SparkSession,
-    batch: DataFrame,
-    silver_path: str,
-    run_ts: dt.datetime,
-    job_name: str = "bronze_to_silver_stream",
-) -> int:
-    """Upsert one batch of Bronze documents into Silver; returns rows written."""
-    new = clean.add_metrics(clean.clean_statistics(flatten.flatten_statistics(batch)))
-    new = new.where(F.col("trending_date").isNotNull())
-    touched = [tuple(r) for r in new.select(*SILVER_KEYS).distinct().collect()]
-    if not touched:
-        return 0
-    merged = new
-    existing = writers.read_parquet_or_none(spark, silver_path)
-    if existing is not None:
-        days = sorted({d for _, d in touched})
-        regions = sorted({r for r, _ in touched})
-        prior = existing.where(F.col("trending_date").isin(days) & F.col("region").isin(regions))
-        prior = prior.join(new.select(*SILVER_KEYS).distinct(), list(SILVER_KEYS), "left_semi")
-        merged = new.unionByName(prior.drop("_processed_at", "_job_name"))
-    out = dedup.dedup_statistics(merged)
-    out = clean.add_provenance(out, run_ts, job_name).select(*SILVER_STATS_COLUMNS)
-    out = out.checkpoint(eager=True)  # cut lineage: the write replaces files read above
-    return writers.write_partitions(out, silver_path, list(SILVER_KEYS), "silver_stream")
-
-
 def start_bronze_stream(
     spark: SparkSession,
     bronze_root: str,
@@ -89,7 +60,7 @@ def start_bronze_stream(
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        merge_into_silver(batch.sparkSession, batch, silver_path, ts)
+        merge_silver(batch.sparkSession, flatten.flatten_statistics(batch), silver_path, ts, "bronze_to_silver_stream")
 
     return (
         docs.writeStream.foreachBatch(each_batch)
