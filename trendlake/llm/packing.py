@@ -17,6 +17,7 @@ Repeated rows and null ids are packed like others. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -32,16 +33,16 @@ from trendlake.llm import common
 
 LENGTH = 2048
 END_TOKEN = 0
-CACHED_WORDS = 300_000  # a worker's memory of token ids by word; it starts anew when full
 FIT_ROUNDS = 300
 PIECE = "pid long, doc_id long, piece int, start long, length long, ids_crc32 long, local long"
 
 
 class Ids:
-    """Token ids of texts as little-endian unsigned 32-bit bytes.
+    """Token ids of texts as little-endian unsigned 32-bit bytes, by the byte-level BPE file at ``path``.
 
-    Byte-level pre-tokenization never joins two words over a lone space or line end, so texts
-    whose white space is only that are put together from words' ids. Others are encoded whole.
+    Texts of Latin-1 characters, where both libraries split words alike, go through the faster
+    merge loop of ``tiktoken`` with the file's own vocabulary as ranks (an id is a merge's rank);
+    all others through ``tokenizers``. A file whose ids aren't its merges' ranks uses only the latter.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,25 +51,40 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.fast = _ranked(path)
 
-    def encode(self, text: str) -> bytes:
+    def of(self, text: str) -> bytes:
+        if self.fast:
+            try:
+                text.encode("latin-1")
+                return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+            except UnicodeEncodeError:
+                pass
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def word(self, word: str) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            ids = self.known[word] = self.encode(word)
-        return ids
 
-    def of(self, text: str) -> bytes:
-        if " ".join(text.split()) != text.replace("\n", " "):
-            return self.encode(text)
-        return self.word("\n").join(
-            b"".join(map(self.word, (first, *(" " + w for w in rest)))) for first, *rest in (line.split(" ") for line in text.split("\n"))
-        )
+def _byte_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write for bytes: printable ones stand for themselves."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def _ranked(path: str):
+    """A ``tiktoken`` encoding equal to the file, or None if its ids aren't in the order of its merges."""
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    letters, vocabulary = _byte_letters(), model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [vocabulary.get(a + b) for a, b in pairs]
+    if None in ids or ids != sorted(ids) or any(vocabulary.get(c, len(vocabulary)) >= ids[0] for c in letters):
+        return None
+    tokens = {*letters, *(a + b for a, b in pairs)}
+    ranks = {bytes(letters[c] for c in token): vocabulary[token] for token in tokens}
+    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @lru_cache(maxsize=4)
@@ -214,7 +230,8 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_token: int = END_
     keys, first, sequence, offset = slots(plan(counts, length), length)
     earlier = Window.partitionBy("length").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("length", "pid", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    ranked = made.join(bases, ["length", "pid"]).withColumn("rank", F.col("base") + F.col("local"))
+    # bases grow with the tasks, so they are not to be broadcast
+    ranked = made.join(bases.hint("merge"), ["length", "pid"]).withColumn("rank", F.col("base") + F.col("local"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
