@@ -12,7 +12,8 @@ Lines of at least ``min_chars`` code points take part; two are alike if they are
    segments, of which now all but ``max_edits`` must agree, and so on until groups are small or
    segments are single characters (when a group is as large as the alphabet allows). With more
    than one edit the second split is the last, and what it leaves is paired up whatever its size.
-4. Candidates are verified by edit distance with a banded bit-parallel recurrence.
+4. Candidates are verified by edit distance with a banded bit-parallel recurrence; for one edit,
+   those of which two or more of 17 segments differ leave before it.
 5. Of each class with at least ``min_copies`` lines the first (by doc_id, null last, then text
    hash and line number) stays; the others are removed.
 
@@ -111,6 +112,22 @@ def _pairs(grouped: DataFrame) -> DataFrame:
     return both.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
+def _agreeing(pairs: DataFrame, agree: int) -> DataFrame:
+    """Rows of ``pairs`` whose strings s and t can be one edit apart: all but one of ``agree`` + 1
+    segments of the shorter are in the longer. Comparing substrings is far cheaper than the
+    recurrence, and all that it drops are further apart."""
+    longer = F.length("s") > F.length("t")
+    ends = pairs.withColumns({"x": F.when(longer, F.col("t")).otherwise(F.col("s")), "y": F.when(longer, F.col("s")).otherwise(F.col("t"))})
+    sizes = ends.withColumns({"l": F.length("x"), "more": F.length("y") - F.length("x")}).where(F.col("more") <= 1)
+    parts = f"least({agree + 1}, l)"
+    head, tail = f"t * l div {parts}", f"(t + 1) * l div {parts} + 1"
+    same = (
+        f"substring(x, 1, cast({head} as int)) = substring(y, 1, cast({head} as int)) and "
+        f"substring(x, cast({tail} as int)) = substring(y, cast({tail} as int) + more)"
+    )
+    return sizes.where(F.expr(f"exists(sequence(0, {parts} - 1), t -> {same})")).select(*pairs.columns)
+
+
 def verified(pairs: DataFrame, edits: int) -> DataFrame:
     """The rows of ``pairs`` whose strings s and t are within ``edits`` edits (s longer than that).
 
@@ -120,16 +137,19 @@ def verified(pairs: DataFrame, edits: int) -> DataFrame:
     """
     width, ones = 2 * edits + 1, (1 << 2 * edits + 1) - 1
     near = pairs.where(F.abs(F.length("s") - F.length("t")) <= edits)
-    chars = near.withColumns({"sc": F.split("s", ""), "tc": F.split("t", "")})
+    # a generator of one row, or the filter below would split s again for every character of t
+    split = F.explode(F.array(F.struct(F.split("s", "").alias("sc"), F.split("t", "").alias("tc"))))
+    chars = near.select("*", split.alias("z")).select("*", "z.sc", "z.tc")
     # which rows of the band match each character of t; places outside s match nothing
     bits = " | ".join(f"if(coalesce(get(sc, i + {b - edits}), '') = c, {1 << b}L, 0L)" for b in range(width))
     matches = chars.withColumn("ys", F.expr(f"transform(tc, (c, i) -> struct({bits} as x, cast(i - size(sc) + {edits} as int) as past))"))
-    d0 = f"(((((y.x & a.p) + a.p) ^ a.p) | y.x | a.m) & {ones}L)"
-    up, down = f"(a.m | (~({d0} | a.p) & {ones}L))", f"({d0} & a.p)"
-    half = f"shiftright({d0}, 1)"
+    # z is the step's diagonal word, computed once per character
+    word = f"((((y.x & a.p) + a.p) ^ a.p) | y.x | a.m) & {ones}L"
+    up, down = f"(a.m | (~(z | a.p) & {ones}L))", "(z & a.p)"
     edge = f"shiftright({1 << max(0, 2 * edits - 1)}L, y.past)"
-    change = f"if(y.past < 0, if(({d0} & {1 << 2 * edits}L) = 0, 1, 0), if(({up} & {edge}) <> 0, 1, 0) - if(({down} & {edge}) <> 0, 1, 0))"
-    step = f"struct(({down} | (~({half} | {up}) & {ones}L)) as p, ({half} & {up}) as m, a.d + {change} as d)"
+    change = f"if(y.past < 0, if((z & {1 << 2 * edits}L) = 0, 1, 0), if(({up} & {edge}) <> 0, 1, 0) - if(({down} & {edge}) <> 0, 1, 0))"
+    after = f"struct(({down} | (~(shiftright(z, 1) | {up}) & {ones}L)) as p, (shiftright(z, 1) & {up}) as m, a.d + {change} as d)"
+    step = f"transform(array({word}), z -> {after})[0]"
     start = f"struct({ones ^ ((1 << edits) - 1)}L as p, 0L as m, {edits} as d)"
     distance = matches.withColumn("distance", F.expr(f"aggregate(ys, {start}, (a, y) -> {step}, a -> a.d)"))
     return distance.where(F.col("distance") <= edits).select(*pairs.columns)
@@ -137,7 +157,9 @@ def verified(pairs: DataFrame, edits: int) -> DataFrame:
 
 def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line that takes part: doc_id, text hash, no (from 0), id (128-bit digest), line, n (code points)."""
-    lines = docs.select("doc_id", common.text_hash().alias(TEXT_HASH), F.posexplode(F.split(common.whole_text(), "\n")).alias("no", "line"))
+    # beside a generator all else is computed per generated row, so the text's hash comes first
+    split = docs.select("doc_id", common.text_hash().alias(TEXT_HASH), F.split(common.whole_text(), "\n").alias("lines"))
+    lines = split.select("doc_id", TEXT_HASH, F.posexplode("lines").alias("no", "line"))
     return lines.select("*", F.length("line").alias("n")).where(F.col("n") >= min_chars).withColumn("id", F.unhex(F.md5("line")))
 
 
@@ -176,6 +198,8 @@ def links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHAR
         pairs = pairs.union(more)
     text = lines.select("id", "line")
     both = pairs.distinct().join(text.toDF("a", "s"), "a").join(text.toDF("b", "t"), "b")
+    if max_edits == 1:
+        both = _agreeing(both, FINER * FINER)
     return common.materialize(verified(both, max_edits).select("a", "b"), "links")
 
 
