@@ -58,6 +58,27 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.count() <= rows
 
 
+def hash_set(hashes: DataFrame, bits: int) -> Column:
+    """The hashes in column h as an array literal, a set of ``bits`` bits (a power of two).
+
+    What reaches the driver and every task is of this fixed size, however many hashes there
+    are; a full set only lets more through to the join that must follow.
+    """
+    slots = bits // 64
+    slot = F.shiftright("h", 6).bitwiseAND(F.lit(slots - 1))
+    found = {
+        r["slot"]: r["set"]
+        for r in hashes.groupBy(slot.alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("set")).collect()
+    }
+    return F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(slots))), ",").cast("array<bigint>")
+
+
+def may_be_in(hash_: Column, set_: Column, bits: int) -> Column:
+    """Whether ``hash_`` can be in the set; true for all that are."""
+    word = set_[F.shiftright(hash_, 6).bitwiseAND(F.lit(bits // 64 - 1)).cast("int")]
+    return F.call_function("shiftright", word, hash_.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def same_row(left: str, right: str) -> Column:
     """Join condition: the same document row in two aliased frames."""
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (

@@ -47,42 +47,23 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-def bitmap(windows: DataFrame) -> Column:
-    """The set of window hashes as an array literal of BITMAP_BITS / 64 longs.
-
-    What reaches the driver is at most that many rows, whatever the benchmark's size.
-    """
+def window_set(windows: DataFrame) -> Column:
+    """The set of the windows' hashes, hashed as ``scan`` does."""
     split = windows.select(F.split("window", " ").alias("x"), "n").select(F.transform("x", lambda v: F.xxhash64(v)).alias("w"), "n")
     each = F.coalesce(*[F.when(F.col("n") == k, F.expr(_hashes(k))[0]) for k in range(1, WINDOW + 1)])
-    sizes = split.select(each.alias("h")).where("h is not null")
-    slot = F.shiftright("h", 6).bitwiseAND(F.lit(BITMAP_BITS // 64 - 1))
-    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
-    rows = sizes.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).collect()
-    found = {r["slot"]: r["bits"] for r in rows}
-    return F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(BITMAP_BITS // 64))), ",").cast("array<bigint>")
+    return common.hash_set(split.select(each.alias("h")).where("h is not null"), BITMAP_BITS)
 
 
 def scan(docs: DataFrame, set_bits: Column, sizes: list[int]) -> DataFrame:
     """One row per document row: doc_id, text hash, n_words and the windows that may be in the set."""
     df = docs.select("doc_id", common.text_hash().alias(TEXT_HASH), words(common.whole_text()).alias("words"))
     df = df.withColumn("w", F.transform("words", lambda v: F.xxhash64(v)))
-    mask = BITMAP_BITS // 64 - 1
     for k in sizes:
         df = df.withColumn(f"h{k}", F.expr(_hashes(k)))
     df = df.drop("w")
     maybe = []
     for k in sizes:
-        at = F.array_compact(
-            F.transform(
-                f"h{k}",
-                lambda h, i: F.when(
-                    F.call_function(
-                        "shiftright", set_bits[F.shiftright(h, 6).bitwiseAND(F.lit(mask)).cast("int")], h.bitwiseAND(F.lit(63)).cast("int")
-                    ).bitwiseAND(F.lit(1)) == 1,
-                    i,
-                ),
-            )
-        )
+        at = F.array_compact(F.transform(f"h{k}", lambda h, i: F.when(common.may_be_in(h, set_bits, BITMAP_BITS), i)))
         df = df.withColumn(f"p{k}", at).drop(f"h{k}")
         words_of = f"array_join(slice(words, i + 1, {k}), ' ')"
         maybe.append(F.expr(f"transform(p{k}, i -> struct(cast(i as bigint) as at, {k}L as n, {words_of} as window))"))
@@ -103,7 +84,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Data
     """Every document row: doc_id, text hash, n_words, n_hit, spans (at, n in words), items (sorted ids)."""
     windows = common.materialize(benchmark_windows(benchmark, size), "windows")
     sizes = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most ``size`` values
-    scanned = common.materialize(scan(docs, bitmap(windows), sizes), "scanned")
+    scanned = common.materialize(scan(docs, window_set(windows), sizes), "scanned")
     few = common.small(windows)
     hint = F.broadcast if few else (lambda df: df)
     each = scanned.select("doc_id", TEXT_HASH, F.explode("maybe").alias("x")).select("doc_id", TEXT_HASH, "x.*")

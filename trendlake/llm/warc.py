@@ -38,11 +38,12 @@ from trendlake.session import scratch_dir
 MAGIC = "WARC/1."  # no proper end of it is a beginning of it, so splits agree wherever they start
 END = "\r\n\r\n"
 MIN_REVISIT = 100
+REPEAT_BITS = 1 << 20
 ID = "urn:page:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
 DATE = "2024-01-01T00:00:00Z"  # archives are made from undated pages
 
-SCANNED = "file string, block long, no long, at long, size long, next long, exit long, head string, skip long"
+SCANNED = "file string, block long, no long, at long, size long, next long, exit long"
 
 
 def _digested(pages: DataFrame) -> DataFrame:
@@ -58,8 +59,13 @@ def write_warc(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT) -> N
     again = page.where(F.col("bytes") >= min_revisit).groupBy("digest").agg(
         F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")
     )
-    again = again.where("n > 1").select("digest", "first")
-    joined = page.join(again, "digest", "left")
+    again = common.materialize(again.where("n > 1").select("digest", "first"), "again")
+    # a set of fixed size tells most payloads that come once; only the others meet the join
+    hash_ = F.xxhash64("digest")
+    known = common.hash_set(again.select(hash_.alias("h")), REPEAT_BITS)
+    maybe = common.may_be_in(hash_, known, REPEAT_BITS)
+    once = page.where(~maybe).withColumn("first", F.lit(None).cast("long"))
+    joined = once.unionByName(page.where(maybe).join(again, "digest", "left"))
     revisit = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
     name = F.concat(F.lit(ID), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))
     uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "")
@@ -115,7 +121,7 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
         now, rows, at = None, [], 0
 
         def done() -> pd.DataFrame:
-            return _exits(pd.DataFrame(rows, columns=["file", "block", "no", "at", "size", "next", "head", "skip"]))
+            return _exits(pd.DataFrame(rows, columns=["file", "block", "no", "at", "size", "next"]))
 
         for batch in batches:
             for file, block, piece in zip(batch["file"], batch["block"], batch["piece"]):
@@ -123,10 +129,10 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
                     if rows:
                         yield done()
                     now, rows, at = (file, block), [], 0
-                head, skip, length = _head(piece)
+                _, skip, length = _head(piece)
                 # the chain counts from the magic before the piece, the lengths from the piece
                 after = at + skip + length + len(END) if length >= 0 else -1
-                rows.append((file, block, len(rows), at - m, len(piece), after, head, skip))
+                rows.append((file, block, len(rows), at - m, len(piece), after))
                 at += len(piece) + m
         if rows:
             yield done()
@@ -140,8 +146,9 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def reachable(scanned: DataFrame) -> DataFrame:
-    """Of each piece: file, block, no, its offset, and ``owner``, the offset of the record it belongs to."""
+def entries(scanned: DataFrame) -> DataFrame:
+    """Per block: file, block, its ``base`` in the file, the offset of its ``entry`` (its first
+    reachable record, if any), and the last record before it with that one's successor."""
     m = len(MAGIC)
     lengths = scanned.groupBy("file", "block").agg(F.sum(F.col("size") + m).alias("length"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -170,61 +177,111 @@ def reachable(scanned: DataFrame) -> DataFrame:
         jump = common.materialize(twice.where("exit is not null"), "jump")
     entry = marked.withColumn("entry", F.lit(True))
     joined = placed.join(entry, ["file", "offset"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
-    walked = joined.groupBy("file", "block").applyInPandas(_walk, "file string, block long, no long, offset long, owner long, due long")
+    walked = joined.groupBy("file", "block").applyInPandas(_walk, "file string, block long, entry long, owner long, due long")
     # a block's first pieces may belong to the last record of an earlier block
-    last = walked.groupBy("file", "block").agg(F.max(F.struct("owner", "due")).alias("record"))
-    last = last.select("file", "block", F.when(F.col("record.owner").isNotNull(), F.col("record")).alias("record"))
-    carried = last.select("file", "block", F.last("record", True).over(before).alias("carried"))
-    before_entry = F.when(F.col("offset") < F.col("carried.due"), F.col("carried.owner"))
-    return walked.join(carried, ["file", "block"]).select("file", "block", "no", "offset", F.coalesce("owner", before_entry).alias("owner"))
+    record = F.when(F.col("owner").isNotNull(), F.struct("owner", "due"))
+    carried = walked.select("file", "block", "entry", F.last(record, True).over(before).alias("carried"))
+    return bases.join(carried, ["file", "block"]).select(
+        "file", "block", "base", "entry", F.col("carried.owner").alias("carried_owner"), F.col("carried.due").alias("carried_due")
+    )
 
 
 def _walk(block: pd.DataFrame) -> pd.DataFrame:
-    """Owners in one block of a file: from its entry, each record owns the pieces up to its successor."""
+    """Of one block: its entry and, from there, its last record with that one's successor."""
     block = block.sort_values("no")
-    owner = due = None
-    owners, dues = [], []
+    first = owner = due = last = None
     for offset, after, entry in zip(block["offset"], block["next"], block["entry"]):
         if entry or offset == due:
+            first = offset if entry else first
             owner, due = (None, None) if pd.isna(after) else (offset, int(after))
-        owners.append(owner)
-        dues.append(due)
-    return block[["file", "block", "no", "offset"]].assign(owner=pd.array(owners, dtype="Int64"), due=pd.array(dues, dtype="Int64"))
+            last = (owner, due) if owner is not None else last
+    owner, due = last or (None, None)
+    row = {"file": block["file"].iloc[0], "block": block["block"].iloc[0], "entry": first, "owner": owner, "due": due}
+    return pd.DataFrame([row]).astype({"entry": "Int64", "owner": "Int64", "due": "Int64"})
+
+
+def _records(pieces: list[bytes], file: str, base: int, entry: int | None, owner: int | None, due: int | None) -> list[tuple]:
+    """Rows of one block, from its pieces in order: whole records (part -1, the block as data) and
+    parts of records that lie in several pieces."""
+    rows, start, own, m = [], base, None, len(MAGIC)
+    due = -1 if due is None else due
+    for piece in pieces:
+        offset = start - m
+        if offset == entry or offset == due and own is not None:
+            head, skip, length = _head(piece)
+            own, due = (offset, start + skip + length + len(END)) if length >= 0 else (None, -1)
+            if own is not None and len(piece) >= skip + length:
+                rows.append((file, own, -1, head, skip, length, piece[skip : skip + length]))
+            elif own is not None:
+                rows.append((file, own, offset, head, skip, length, piece))
+        elif offset < due and (own if own is not None else owner) is not None:
+            rows.append((file, own if own is not None else owner, offset, None, None, None, MAGIC.encode() + piece))
+        start += len(piece) + m
+    return rows
+
+
+RECORD = "file string, owner long, part long, head string, skip long, length long, data binary"
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["file", "owner", "part", "head", "skip", "length", "data"])
+    return frame.astype({"skip": "Int64", "length": "Int64"})
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Every verified record: file, offset, head (text) and payload (the whole block)."""
-    scanned = common.materialize(scan(spark, path), "scanned")
-    owned = common.materialize(reachable(scanned), "owned")
-    m = len(MAGIC)
+    """Every verified record: file, offset, head (text) and payload (the whole block).
 
-    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, no = None, 0
-        for batch in batches:
-            numbers = []
-            for key in zip(batch["file"], batch["block"]):
-                now, no = key, (no + 1 if key == now else 0)
-                numbers.append(no)
-            yield batch.assign(no=numbers)
-
-    pieces = _pieces(spark, path).mapInPandas(numbered, "file string, block long, piece binary, no long")
-    at = ["file", "block", "no"]
-    held = owned.where("owner is not null")
-    parts = held.groupBy("file", "owner").agg(F.count(F.lit(1)).alias("parts"))
-    heads = scanned.select(*at, "head", "skip", (F.col("next") - F.col("at") - m - F.col("skip") - len(END)).alias("length"))
-    info = common.materialize(held.join(heads, at).join(parts, ["file", "owner"]), "info")
-    joined = pieces.join(info, at)
-    single = joined.where("parts = 1").select("file", "offset", "head", "length", _block("piece").alias("payload"))
-    first = F.col("offset") == F.col("owner")
-    text = F.when(first, F.col("piece")).otherwise(F.concat(F.lit(MAGIC).cast("binary"), F.col("piece")))
-    own = [F.max(F.when(first, F.col(c))).alias(c) for c in ("head", "skip", "length")]
+    Few entries (one per block of a file) go to all tasks, so no payload is shuffled but those
+    of records that hold the magic; if there are many, blocks are joined with them.
+    """
+    found = common.materialize(entries(common.materialize(scan(spark, path), "scanned")), "entries")
+    pieces = _pieces(spark, path)
+    if common.small(found):
+        known = {(r["file"], r["block"]): r[2:] for r in found.collect()}
+
+        def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            now, held = None, []
+            for batch in batches:
+                for file, block, piece in zip(batch["file"], batch["block"], batch["piece"]):
+                    if (file, block) != now and held:
+                        yield _frame(_records(held, now[0], *known[now]))
+                        held = []
+                    now = (file, block)
+                    held.append(piece)
+            if held:
+                yield _frame(_records(held, now[0], *known[now]))
+
+        records = pieces.mapInPandas(read, RECORD)
+    else:
+
+        def read_block(block: pd.DataFrame) -> pd.DataFrame:
+            block = block.sort_values("no")
+            values = [None if pd.isna(v) else int(v) for v in block[["base", "entry", "carried_owner", "carried_due"]].iloc[0]]
+            return _frame(_records(block["piece"].tolist(), block["file"].iloc[0], *values))
+
+        numbered = pieces.mapInPandas(_number, "file string, block long, piece binary, no long")
+        records = numbered.join(found, ["file", "block"]).groupBy("file", "block").applyInPandas(read_block, RECORD)
+    single = records.where("part = -1").select("file", F.col("owner").alias("offset"), "head", "length", F.col("data").alias("payload"))
     # one record's own pieces, so no more than its length
-    gathered = joined.where("parts > 1").groupBy("file", "owner").agg(F.array_sort(F.collect_list(F.struct("offset", text.alias("piece")))).alias("x"), *own)
-    whole = gathered.withColumn("piece", F.aggregate(F.col("x.piece"), F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p)))
+    gathered = records.where("part <> -1").groupBy("file", "owner").agg(
+        F.array_sort(F.collect_list(F.struct("part", "data"))).alias("x"), *[F.max(c).alias(c) for c in ("head", "skip", "length")]
+    )
+    whole = gathered.withColumn("piece", F.aggregate(F.col("x.data"), F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p)))
     rejoined = whole.select("file", F.col("owner").alias("offset"), "head", "length", _block("piece").alias("payload"))
     return single.union(rejoined).where("octet_length(payload) = length").drop("length")
 
 
+def _number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Numbers the pieces of each block."""
+    now, no = None, 0
+    for batch in batches:
+        numbers = []
+        for key in zip(batch["file"], batch["block"]):
+            now, no = key, (no + 1 if key == now else 0)
+            numbers.append(no)
+        yield batch.assign(no=numbers)
+
+
 def _block(piece: str) -> Column:
     """The block in a record's bytes: after the head, as long as the head says."""
     return F.substring(F.col(piece), (F.col("skip") + 1).cast("int"), F.col("length").cast("int"))
