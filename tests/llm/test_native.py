@@ -57,6 +57,55 @@ def test_cutoffs_hold_the_risk_and_strata_without_labels_keep_all(spark, docs_of
     assert not kept[10_000] and kept[10_001]
 
 
+def small_languages(spark, docs_of):
+    """Good documents of four languages too few for the query's split bound, two of them for any; every tenth unlabelled one is junk."""
+    sizes = {"en": 600, "de": 400, "fr": 150, "es": 120}
+    rnd, rows, labels = random.Random(3), [], []
+    for lang, n in sizes.items():
+        for i in range(2 * n + 40):
+            d = len(rows)
+            junk = i >= 2 * n or (i < n and i % 10 == 0)  # n unlabelled, n labelled good, 40 labelled bad
+            rows.append((d, " ".join(rnd.choice(["abc", "de", "fghi"]) + str(rnd.randrange(99)) + ("###" if junk else "") for _ in range(30)), lang, junk))
+            if i >= n:
+                labels.append((d, int(not junk), 0))
+    docs = docs_of([r[:2] for r in rows]).drop("lang").join(spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, lang string"), "doc_id")
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rows
+
+
+def test_small_languages_get_cutoffs_or_share_one(spark, docs_of):
+    docs, labels, rows = small_languages(spark, docs_of)
+    kept = {r.doc_id for r in quality.keep_good(docs, labels).collect()}
+    assert not kept & {d for d, _, _, junk in rows if junk}
+    assert len(kept) >= (1 - quality.RISK) * sum(not junk for *_, junk in rows)
+
+
+def test_nested_cutoffs_are_the_exact_bound(spark):
+    held = [("en", i % 150) for i in range(600)] + [("de", i) for i in range(300)] + [("fr", i) for i in range(100)] + [(None, i) for i in range(180)]
+    got = {(r.pooled, r.stratum): (r.held, r.allowed, r.cutoff) for r in quality.nested_cutoffs(spark.createDataFrame(held, "lang string, worst int")).collect()}
+
+    def want(ranks):
+        n = len(ranks)
+        cdf = [sum(comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1)) for k in range(40)]
+        allowed = max(k for k, p in enumerate(cdf) if p <= 0.05 / 5)
+        return n, allowed, min(c for c in ranks if sum(x > c for x in ranks) <= allowed)
+
+    assert got == {(False, x): want([w for s, w in held if s == x]) for x in ("en", "de")} | {(True, None): want([w for s, w in held if s in ("fr", None)])}
+
+
+def test_query_matches_sql_where_it_has_cutoffs(spark, docs_of):
+    import duckdb
+
+    from trendlake.llm.oracle import SQL
+
+    rows = [(i, " ".join(f"word{j}" for j in range(30)) + " #" * (i % 3 if i < 2000 else 40)) for i in range(2050)]
+    documents, labels = docs_of(rows).toPandas(), spark.createDataFrame([(i, 1, 0) for i in range(2000)], "doc_id long, quality int, toxic int")  # noqa: F841
+    con, judged = duckdb.connect(), quality.quality_rules(docs_of(rows), labels)
+    con.register("documents", documents)
+    con.register("labels", labels.toPandas())
+    want = dict(con.execute(f"SELECT doc_id, kept FROM ({SQL['op5_quality_rules']})").fetchall())
+    assert {r.doc_id: r.kept for r in judged.collect()} == want and sum(want.values()) == 2000
+
+
 def test_quality_of_empty_tables(spark, docs_of):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.quality_rules(docs_of([]), labels).count() == 0

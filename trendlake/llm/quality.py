@@ -10,8 +10,19 @@ failure, which needs no correction; over scores and strata ``delta`` is divided
 (Bonferroni) and ``risk`` by the number of scores, so that the union of the rules holds the
 bound too.
 
+That split is the contract of the query and its SQL (``quality_rules``); it leaves a language
+without any cutoff unless it has some 1,500 labelled good documents. ``keep_good``, the pipeline's
+stage, spends the bound once per stratum (``nested_rules``): a document's rank is the largest, over
+the scores, of the lift of its score, the logarithm of how much more often documents labelled bad
+reach that score than unlabelled ones do (both pass the base test; never less than the lift of a
+smaller score). Good documents choose no lift, so the ranks are one nested rule for them, tested at
+``risk``. ``delta`` is divided by the strata of the holdout plus one; strata too small for any
+cutoff form a pool with a bound of its own, which holds for the pool as a whole and also serves
+strata without labels. Without bad labels a lift tells how rare a score is; without unlabelled
+documents lifts tell nothing apart and nothing is rejected but by the base test.
+
 Defined results: a null or empty text has no words and fails the base test. Documents of a
-stratum (null included) without a cutoff are judged by the base test alone. Repeated document
+stratum (null included) without a cutoff, or pool, are judged by the base test alone. Repeated document
 rows are judged alike; a document with several label rows is good only if all of them say so.
 Labels of unknown documents and null label ids count nothing. Empty tables give no rows, or no
 cutoffs.
@@ -19,6 +30,8 @@ cutoffs.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -167,6 +180,77 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     return judge(measured, cutoffs(measured, labels, "lang", risk, delta))
 
 
+def label_kinds(labels: DataFrame) -> DataFrame:
+    """Per labelled document: ``good`` (see good_documents) and ``bad`` (a row of poor quality or toxic)."""
+    rows = labels.where("doc_id is not null").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("x"))
+    bad = rows.groupBy("doc_id").agg(F.max(F.coalesce("x", F.lit(False))).alias("bad"))
+    return bad.join(good_documents(labels).withColumn("good", F.lit(True)), "doc_id", "left").select(
+        "doc_id", F.coalesce("good", F.lit(False)).alias("good"), "bad"
+    )
+
+
+def lifts(measured: DataFrame, rules: dict[str, Column]) -> dict[str, list[int]]:
+    """For each rule the lift of every score, in thousandths, not negative and never falling.
+
+    ``measured`` has the columns of ``label_kinds``, null where a document has no label.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("score")) for k, v in rules.items()]))
+    seen = measured.where(~base_failed()).where("bad is null or bad").select(each.alias("x"), F.col("bad").isNotNull().alias("bad"))
+    # at most SCORE_MAX + 1 rows per rule
+    tally = seen.groupBy("x.rule", "x.score").agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("other")).collect()
+    found = {}
+    for rule in rules:
+        bad, other = [0] * (SCORE_MAX + 2), [0] * (SCORE_MAX + 2)
+        for r in tally:
+            if r["rule"] == rule:
+                bad[r["score"]], other[r["score"]] = r["bad"], r["other"]
+        for v in range(SCORE_MAX, -1, -1):  # documents with at least this score
+            bad[v] += bad[v + 1]
+            other[v] += other[v + 1]
+        lift, top = [], 0
+        for v in range(SCORE_MAX + 1):
+            if bad[v] + other[v]:
+                top = max(top, round(1000 * (log((bad[v] + 0.5) / (bad[0] + 1)) - log((other[v] + 0.5) / (other[0] + 1)))))
+            lift.append(top)
+        found[rule] = lift
+    return found
+
+
+def nested_cutoffs(ranked: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """From the holdout's ``stratum`` and ``worst``: pooled, stratum (null in the pool), held, allowed and cutoff."""
+    counts = common.materialize(ranked.groupBy(F.col(stratum).alias("stratum"), "worst").agg(F.count(F.lit(1)).alias("n")), "ranks")
+    sizes = counts.groupBy("stratum").agg(F.sum("n").alias("held"))
+    share = F.lit(delta / (sizes.count() + 1))
+    c, o = counts.alias("c"), sizes.select("stratum", (max_rejections(F.col("held"), risk, share) < 0).alias("pooled")).alias("o")
+    named = c.join(o, F.col("c.stratum").eqNullSafe(F.col("o.stratum"))).groupBy(
+        "pooled", F.when(~F.col("pooled"), F.col("c.stratum")).alias("stratum"), "worst"
+    ).agg(F.sum("n").alias("n"))
+    group = Window.partitionBy("pooled", "stratum")
+    above = group.orderBy(F.col("worst").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    tails = named.select(
+        "pooled", "stratum", "worst", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("rejected"), F.sum("n").over(group).alias("held")
+    )
+    tested = tails.groupBy("pooled", "stratum").agg(F.max("held").alias("held"), F.collect_list(F.struct("worst", "rejected")).alias("steps"))
+    allowed = tested.withColumn("allowed", max_rejections(F.col("held"), risk, share))
+    cutoff = F.array_min(F.transform(F.filter("steps", lambda x: x["rejected"] <= F.col("allowed")), lambda x: x["worst"]))
+    return allowed.select("pooled", "stratum", "held", "allowed", cutoff.alias("cutoff"))
+
+
+def nested_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """Every document row with its counts, ``good`` and ``bad``, ``base_failed``, ``worst`` (rank) and ``kept``."""
+    rules = scores()
+    measured = common.materialize(measure(docs).join(label_kinds(labels), "doc_id", "left"), "quality")
+    # of fixed size, whatever the corpus
+    tables = {k: F.split(F.lit(",".join(map(str, v))), ",").cast("array<int>") for k, v in lifts(measured, rules).items()}
+    ranked = measured.withColumn("worst", F.greatest(*[tables[k][rules[k]] for k in rules]))
+    chosen = nested_cutoffs(ranked.where(~base_failed() & F.col("good")), "lang", risk, delta)
+    pool = chosen.where("pooled").select(F.col("cutoff").alias("pool"))  # one row or none
+    r, c = ranked.alias("r"), chosen.where("not pooled").alias("c")
+    joined = r.join(c, F.col("r.lang").eqNullSafe(F.col("c.stratum")), "left").join(F.broadcast(pool), F.lit(True), "left")
+    beyond = F.coalesce(F.col("worst") > F.coalesce("c.cutoff", "pool"), F.lit(False))
+    return joined.select("r.*", base_failed().alias("base_failed"), (~base_failed() & ~beyond).alias("kept"))
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """``docs`` without the documents that the rules reject."""
-    return common.keep_rows(docs, quality_rules(docs, labels, risk, delta).where(~F.col("kept")), "left_anti")
+    """``docs`` without the documents that the nested rules reject."""
+    return common.keep_rows(docs, nested_rules(docs, labels, risk, delta).where(~F.col("kept")), "left_anti")
