@@ -106,6 +106,25 @@ def test_query_matches_sql_where_it_has_cutoffs(spark, docs_of):
     assert {r.doc_id: r.kept for r in judged.collect()} == want and sum(want.values()) == 2000
 
 
+def test_toxic_documents_go(spark, docs_of):
+    rnd, rows, labels = random.Random(4), [], []
+    for i in range(1500):  # every tenth document has two of four words, a third of those are labelled
+        words = [f"word{rnd.randrange(400)}" for _ in range(40)]
+        toxic = i % 10 == 0
+        if toxic:
+            words[5], words[30] = rnd.sample(["vile", "SCUMMY,", "rotten.", "hateful"], 2)
+        rows.append((i, " ".join(words)))
+        if i % 3 == 0:
+            labels.append((i, 1, int(toxic)))
+    docs, labels = docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert set(quality.lexicon(docs, labels)) == {"vile", "scummy", "rotten", "hateful"}
+    judged = quality.nested_rules(docs, labels).select("doc_id", "kept").collect()
+    assert not [r for r in judged if r.kept and r.doc_id % 10 == 0]
+    assert sum(not r.kept for r in judged if r.doc_id % 10) <= quality.RISK * 1350
+    none = quality.nested_rules(docs, labels.where("toxic is null"))
+    assert none.agg(F.max(quality.TOXICITY)).first()[0] == 0 and none.where("kept").count() == 1500
+
+
 def test_quality_of_empty_tables(spark, docs_of):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.quality_rules(docs_of([]), labels).count() == 0

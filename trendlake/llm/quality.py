@@ -16,7 +16,11 @@ stage, spends the bound once per stratum (``nested_rules``): a document's rank i
 the scores, of the lift of its score, the logarithm of how much more often documents labelled bad
 reach that score than unlabelled ones do (both pass the base test; never less than the lift of a
 smaller score). Good documents choose no lift, so the ranks are one nested rule for them, tested at
-``risk``. ``delta`` is divided by the strata of the holdout plus one; strata too small for any
+``risk``. One of its scores is toxicity: the sum, over the whole text, of the weights of the distinct
+words of a lexicon. A weight is the log-odds of a word in documents labelled toxic and of good
+quality against unlabelled ones; the lexicon is fitted on about FIT_DOCS of each at most, chosen by
+hash of the id, and holds the LEXICON words that tell most, of those more frequent in toxic documents
+than chance explains. Without toxic labels the score is 0. ``delta`` is divided by the strata of the holdout plus one; strata too small for any
 cutoff form a pool with a bound of its own, which holds for the pool as a whole and also serves
 strata without labels. Without bad labels a lift tells how rare a score is; without unlabelled
 documents lifts tell nothing apart and nothing is rejected but by the base test.
@@ -35,7 +39,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.llm import common
+from trendlake.llm import common, decontam
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -43,6 +47,10 @@ MAX_REPEAT_PERCENT = 30
 RISK = 0.02  # false rejections among good documents, at most, per stratum
 DELTA = 0.05  # chance that any stratum breaks that bound
 SCORE_MAX = 1000  # scores are whole thousandths, so a stratum has at most this many cutoffs
+LEXICON = 256
+FIT_DOCS = 20_000
+MIN_TOXIC = 5  # documents labelled toxic that a word of the lexicon is in, at least
+TOXICITY = "__toxicity"
 SCORES = ("symbols", "dup_lines", "repeats", "long_words", "short_words")
 
 
@@ -189,6 +197,39 @@ def label_kinds(labels: DataFrame) -> DataFrame:
     )
 
 
+def lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, int]:
+    """Words that tell toxic documents, at most LEXICON, with their weights in hundredths."""
+    rows = labels.where("doc_id is not null").groupBy("doc_id").agg(
+        F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"), F.min(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("well")
+    )
+    known = docs.select("doc_id", "text").join(rows, "doc_id", "left")
+    known = known.where("toxic is null or (toxic and well)").select("doc_id", "text", F.coalesce("toxic", F.lit(False)).alias("toxic"))
+    share = {bool(r["toxic"]): FIT_DOCS / r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = 1 << 30
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
+    chosen = known.where(F.when(F.col("toxic"), spot < int(share.get(True, 0) * parts)).otherwise(spot < int(share.get(False, 0) * parts)))
+    sets = common.materialize(chosen.select("toxic", F.array_distinct(decontam.words(common.whole_text())).alias("words")), "words")
+    size = {bool(r["toxic"]): r["n"] for r in sets.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, other = size.get(True, 0), size.get(False, 0)
+    seen = sets.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
+    rate = (F.col("b") + 0.5) / (other + 1)
+    weight = F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log(rate)
+    chance = rate * toxic + F.sqrt(rate * toxic) * 4 + 4
+    telling = seen.where((F.col("a") >= MIN_TOXIC) & (F.col("a") >= chance) & (weight >= 1))
+    top = telling.select("word", weight.alias("weight")).orderBy((weight * F.col("a")).desc(), "word").limit(LEXICON)
+    return {r["word"]: round(100 * r["weight"]) for r in top.collect()}
+
+
+def toxicity(found: dict[str, int]) -> Column:
+    """Sum of the weights of the text's distinct words in ``found``, at most SCORE_MAX."""
+    if not found:
+        return F.lit(0)
+    listed = F.split(F.lit(" ".join(found)), " ")
+    weights = F.map_from_arrays(listed, F.split(F.lit(" ".join(map(str, found.values()))), " ").cast("array<int>"))
+    each = F.transform(F.array_intersect(decontam.words(common.whole_text()), listed), lambda w: F.element_at(weights, w))
+    return F.least(F.aggregate(each, F.lit(0), lambda a, x: a + x), F.lit(SCORE_MAX))
+
+
 def lifts(measured: DataFrame, rules: dict[str, Column]) -> dict[str, list[int]]:
     """For each rule the lift of every score, in thousandths, not negative and never falling.
 
@@ -238,8 +279,9 @@ def nested_cutoffs(ranked: DataFrame, stratum: str = "lang", risk: float = RISK,
 
 def nested_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """Every document row with its counts, ``good`` and ``bad``, ``base_failed``, ``worst`` (rank) and ``kept``."""
-    rules = scores()
-    measured = common.materialize(measure(docs).join(label_kinds(labels), "doc_id", "left"), "quality")
+    rules = scores() | {"toxicity": F.col(TOXICITY)}
+    scored = docs.withColumn(TOXICITY, toxicity(lexicon(docs, labels)))
+    measured = common.materialize(measure(scored, ("doc_id", "lang", TOXICITY)).join(label_kinds(labels), "doc_id", "left"), "quality")
     # of fixed size, whatever the corpus
     tables = {k: F.split(F.lit(",".join(map(str, v))), ",").cast("array<int>") for k, v in lifts(measured, rules).items()}
     ranked = measured.withColumn("worst", F.greatest(*[tables[k][rules[k]] for k in rules]))
