@@ -161,6 +161,18 @@ def test_hits(spark, docs_of):
     assert got == {d: plain_hits(t, items) for d, t in rows}
 
 
+@pytest.mark.parametrize("size", [4, 13])
+def test_hits_of_other_window_sizes(spark, docs_of, size):
+    docs, items = spread(8, 40), []
+    for n, length in enumerate((2, 11, 12, 13, 20)):
+        items.append((n, " ".join(f"item{n}x{j}" for j in range(length))))
+        docs.append((100 + n, f"before it {items[-1][1]} and after it"))
+    found = decontam.find_hits(docs_of(docs), spark.createDataFrame(items, "item_id long, text string"), size)
+    want = {d: plain_hits(t, items, size) for d, t in docs}
+    assert all(want[100 + n][1] for n in range(5))
+    assert {r.doc_id: (r.n_words, r.n_hit, sorted(r["items"])) for r in found.collect()} == {d: (w, h, i) for d, (w, h, i) in want.items()}
+
+
 def test_hits_do_not_depend_on_the_broadcast(spark, docs_of, monkeypatch):
     items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     monkeypatch.setattr(decontam.common, "small", lambda df: False)

@@ -47,10 +47,10 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-def window_set(windows: DataFrame) -> Column:
-    """The set of the windows' hashes, hashed as ``scan`` does."""
+def window_set(windows: DataFrame, sizes: list[int]) -> Column:
+    """The set of the hashes of windows of ``sizes`` words, hashed as ``scan`` does."""
     split = windows.select(F.split("window", " ").alias("x"), "n").select(F.transform("x", lambda v: F.xxhash64(v)).alias("w"), "n")
-    each = F.coalesce(*[F.when(F.col("n") == k, F.expr(_hashes(k))[0]) for k in range(1, WINDOW + 1)])
+    each = F.coalesce(F.lit(None).cast("long"), *[F.when(F.col("n") == k, F.expr(_hashes(k))[0]) for k in sizes])
     return common.hash_set(split.select(each.alias("h")).where("h is not null"), BITMAP_BITS)
 
 
@@ -84,7 +84,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Data
     """Every document row: doc_id, text hash, n_words, n_hit, spans (at, n in words), items (sorted ids)."""
     windows = common.materialize(benchmark_windows(benchmark, size), "windows")
     sizes = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most ``size`` values
-    scanned = common.materialize(scan(docs, window_set(windows), sizes), "scanned")
+    scanned = common.materialize(scan(docs, window_set(windows, sizes), sizes), "scanned")
     few = common.small(windows)
     hint = F.broadcast if few else (lambda df: df)
     each = scanned.select("doc_id", TEXT_HASH, F.explode("maybe").alias("x")).select("doc_id", TEXT_HASH, "x.*")
