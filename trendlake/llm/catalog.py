@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import chat, chunk_dedup, common, decontam, line_dedup, packing, quality, secret_scan, simhash, token_rollup, warc
+from trendlake.llm import chat, chunk_dedup, common, conversation_repair, decontam, html_text, line_dedup, packing, quality, secret_scan, simhash, spelling, token_rollup, warc
 from trendlake.llm.oracle import SQL
 from trendlake.session import scratch_dir
 
@@ -89,6 +89,21 @@ def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rollup.totals(spark, root)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of every conversation, after some of its rows were damaged."""
+    rows = common.table(spark, sf_dir, "conversations")
+    return conversation_repair.audited(rows, conversation_repair.damaged(rows))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(common.table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants among the corpus's words, some of which lost a letter."""
+    return spelling.variant_groups(spelling.words(common.table(spark, sf_dir, "documents"), spoil=True))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc_chains": op1_warc_chains,
@@ -101,6 +116,9 @@ def queries() -> dict[str, Query]:
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_token_rollup": op10_token_rollup,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_html_text": op12_html_text,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
