@@ -38,6 +38,7 @@ SPOILT = 97  # one of so many runs loses a letter, in the query
 DISTANCE, PARTS, SUBPARTS = 2, 2, 3
 LEFT = -(-(DISTANCE + 1) // PARTS) - 1  # differing places in the part where there are fewest
 SIDES = 2
+BANDED = 64  # longer words are verified in linear time
 
 
 def spoilt(run: Column, doc_id: Column) -> Column:
@@ -89,6 +90,14 @@ def signed(counted: DataFrame) -> DataFrame:
     return counted.select("word", "n").mapInPandas(sign, "word string, n long, signatures array<long>")
 
 
+def _one_edit(a: Column, b: Column) -> Column:
+    """Whether ``b``, no longer than ``a``, differs from it by one edit, in linear time: from the first difference on, one is skipped."""
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x.eqNullSafe(y))
+    at = F.array_position(same, F.lit(False)).cast("int")
+    rest = F.when(F.length(a) == F.length(b), F.substr(b, at + 1)).otherwise(F.substr(b, at))
+    return F.substr(a, at + 1) == rest
+
+
 def near_pairs(counted: DataFrame) -> DataFrame:
     """Every pair of words one edit apart, once: a, a_n, b, b_n, where a is the longer or, of equal length, the smaller."""
     held = common.materialize(signed(counted), "signatures")
@@ -111,7 +120,7 @@ def near_pairs(counted: DataFrame) -> DataFrame:
     start = F.floor(F.length(a) / 2).cast("int")
     met = longer.join(other, (F.col("a.key") == F.col("b.key")) & ((F.length(b) < F.length(a)) | ((F.length(b) == F.length(a)) & (b > a))))
     met = met.where((F.col("a.side") == 0) | (F.left(a, start) != F.left(b, start)))  # else found by its beginning
-    met = met.where(F.levenshtein(a, b, 1) == 1)
+    met = met.where(F.when(F.length(a) <= BANDED, F.levenshtein(a, b, 1) == 1).otherwise(_one_edit(a, b)))
     return met.select(a.alias("a"), F.col("a.n").alias("a_n"), b.alias("b"), F.col("b.n").alias("b_n")).distinct()
 
 
