@@ -457,6 +457,36 @@ SELECT * REPLACE (CAST(ingestion_timestamp AS DATE) AS trending_date) FROM clean
     }
 
 
+ORDER_KIND = "CAST(string_split(ingestion_id, '_')[-1] AS BIGINT) % 10"
+FIRST_VERSION = "year(ingestion_timestamp) < 1995"
+
+
+def _whole_run() -> str:
+    """Long rows: item, name, value."""
+    one = "CAST({v} AS BIGINT) AS value"
+    row = lambda item, name, v, rest="": f"SELECT '{item}' AS item, '{name}' AS name, {one.format(v=v)} {rest}"
+    parts = [
+        row("silver", "raw_rows", "COUNT(*)", "FROM raw_stats"),
+        row("silver", "null_id_dropped", "count_if(video_id IS NULL OR video_id = '')", "FROM raw_stats"),
+        row("silver", "duplicates_removed", "(SELECT COUNT(*) FROM clean_stats) - (SELECT COUNT(*) FROM silver_stats)"),
+        row("silver", "silver_rows", "COUNT(*)", "FROM silver_stats"),
+        row("silver", "quarantined", 2 * len(ADAPTER_REGIONS)),
+        row("gate", "open", 1), row("gold", "ok", 1), row("second run", "noop", 1), row("gate without a region", "open", 0),
+        row("gate without tables", "unread", 2), row("velocity of the first day", "rows", 0),
+    ]
+    for region in (*ADAPTER_REGIONS, "atlantis"):
+        here = f"FROM raw_stats WHERE region = '{region}'"
+        known = int(region in ADAPTER_REGIONS)
+        parts += [
+            row(f"region {region}", "documents", f"COUNT(DISTINCT ingestion_id) + {2 * known}", here), row(f"region {region}", "bad_documents", 2 * known),
+            row(f"region {region}", "items", "COUNT(*)", here), row(f"region {region}", "missing", 1 - known), row(f"region {region}", "failed", 1 - known),
+        ]
+    for table, src, column in (("trending_analytics", "trending", "total_views"), ("channel_analytics", "channel", "total_views"),
+                               ("category_analytics", "category", "total_views"), ("video_velocity", "velocity", "view_delta")):
+        parts += [row(table, "rows", "COUNT(*)", f"FROM {src}"), row(table, column, f"SUM({column})", f"FROM {src}"), row(table, "written", "COUNT(*)", f"FROM {src}")]
+    return with_ctes(*GOLD_ALL, body="\nUNION ALL\n".join(parts))
+
+
 SCENARIO = """
 bounds AS (SELECT MAX(trending_date) AS latest FROM facts),
 early AS (
@@ -489,6 +519,35 @@ FROM facts
 WHERE trending_date IN ((SELECT MIN(trending_date) FROM facts),
                         (SELECT MAX(trending_date) FROM facts),
                         (SELECT CAST(date_trunc('month', MIN(trending_date)) - INTERVAL 1 MONTH AS DATE) FROM facts))"""),
+        "whole_run": _whole_run(),
+        "quarantine_replay": with_ctes(LINES, RAW_STATS, body=f"""
+SELECT stage, region, CAST(count_if(read) AS BIGINT) AS n_rows, CAST(COUNT(DISTINCT CASE WHEN read THEN video_id END) AS BIGINT) AS n_videos,
+       CAST(COUNT(DISTINCT CASE WHEN NOT read THEN ingestion_id END) AS BIGINT) AS n_dead
+FROM (SELECT *, {ORDER_KIND} AS kind FROM raw_stats) r,
+     LATERAL (SELECT 'before' AS stage, kind > 1 AS read UNION ALL SELECT 'after', kind <> 1) s
+GROUP BY stage, region"""),
+        "schema_versions": with_ctes(LINES, RAW_STATS.replace("raw_stats AS", "all_stats AS"), f"""
+raw_stats AS (
+  SELECT * REPLACE (CASE WHEN {FIRST_VERSION} THEN NULL ELSE duration END AS duration,
+                    CASE WHEN {FIRST_VERSION} THEN NULL ELSE definition END AS definition,
+                    CASE WHEN {FIRST_VERSION} THEN NULL ELSE favorite_count END AS favorite_count)
+  FROM all_stats)""", CLEAN_STATS, body="""
+SELECT * REPLACE (CAST(ingestion_timestamp AS DATE) AS trending_date) FROM clean_stats"""),
+        "velocity_daily": with_ctes(*GOLD_BASE, VELOCITY, body="SELECT * FROM velocity"),
+        "velocity_late_day": with_ctes(*GOLD_BASE, VELOCITY, body="SELECT * FROM velocity"),
+        "channel_with_lifetime": with_ctes(*GOLD_BASE, CHANNEL, body=f"""
+SELECT p.*, l.times_trending AS lifetime_times_trending, l.first_trending_date AS lifetime_first_date,
+       l.last_trending_date AS lifetime_last_date
+FROM ({_channel_public()}) p
+JOIN (SELECT channel_title, region, CAST(COUNT(DISTINCT trending_date) AS BIGINT) AS times_trending,
+             MIN(trending_date) AS first_trending_date, MAX(trending_date) AS last_trending_date
+      FROM facts GROUP BY channel_title, region) l
+  ON p.channel_title IS NOT DISTINCT FROM l.channel_title AND p.region = l.region"""),
+        "distinct_over_days": with_ctes(*GOLD_BASE, body="""
+SELECT region, CAST(COUNT(DISTINCT channel_title) AS BIGINT) AS channels, CAST(COUNT(DISTINCT video_id) AS BIGINT) AS videos,
+       TRUE AS channels_within, TRUE AS videos_within
+FROM facts WHERE trending_date > (SELECT MAX(trending_date) FROM facts) - INTERVAL 12 MONTH
+GROUP BY region"""),
         "silver_write": with_ctes(*BASE, body="SELECT * FROM silver_stats"),
         "category_write": with_ctes(LINES, RAW_CATS, body="SELECT * FROM silver_cats"),
         "late_region": with_ctes(*GOLD_BASE, CATEGORY, body="SELECT * FROM category"),

@@ -21,9 +21,10 @@ Boundaries (kept from the reference):
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,7 +183,7 @@ def run_checks(
     sample_fraction: float | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """Checks over every table, run one table at a time: one that can't be read, when it is
+    """Checks over every table, each a job of its own, side by side: one that can't be read, when it is
     opened or while its rows are, gives one failed ``read_table`` row with the error's text,
     and the others are still checked. What is gathered is one row per configured check.
 
@@ -192,21 +193,24 @@ def run_checks(
     """
     config = config or DQConfig()
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = []
-    for name, df in tables.items():
+
+    def checked(item: tuple[str, DataFrame | None | Exception]) -> list[Row]:
+        name, df = item
         try:
             if df is None or isinstance(df, Exception):
                 raise df or FileNotFoundError("missing")
             if sample_fraction is None:
-                rows += table_checks(df, name, config, now).collect()
-            else:
-                part = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
-                note = f"on a sample of {sample_fraction:g} of the rows"
-                total = df.agg(F.count(F.lit(1)).alias("n"))
-                counted = total.select(F.inline(F.array(_row("row_count", name, None, F.col("n"), config.min_rows, F.col("n") >= config.min_rows))))
-                rows += counted.collect() + table_checks(part, name, config, now, note).where("check <> 'row_count'").collect()
+                return table_checks(df, name, config, now).collect()
+            part = df.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+            note = f"on a sample of {sample_fraction:g} of the rows"
+            total = df.agg(F.count(F.lit(1)).alias("n"))
+            counted = total.select(F.inline(F.array(_row("row_count", name, None, F.col("n"), config.min_rows, F.col("n") >= config.min_rows))))
+            return counted.collect() + table_checks(part, name, config, now, note).where("check <> 'row_count'").collect()
         except Exception as error:  # noqa: BLE001 - any failure to read fails this table alone
-            rows += read_failure(spark, name, str(error)).collect()
+            return read_failure(spark, name, str(error)).collect()
+
+    with ThreadPoolExecutor(max(1, len(tables))) as pool:  # a job per table, at the same time
+        rows = [row for found in pool.map(checked, tables.items()) for row in found]
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 

@@ -47,6 +47,14 @@ def partition_days(spark: SparkSession, path: str) -> set[tuple[str, dt.date]]:
     return found
 
 
+def dated_regions(spark: SparkSession, path: str) -> set[tuple[str, dt.date]]:
+    """(region, date) pairs in a table of a row per pair, partitioned by trending_date alone."""
+    if not path_exists(spark, path):
+        return set()
+    pairs = spark.read.parquet(path).select("region", DATE).distinct().collect()  # bounded by the days
+    return {(r["region"], r[DATE]) for r in pairs}
+
+
 def plan_dates(
     silver_dates: DataFrame,
     gold_dates: DataFrame,

@@ -13,23 +13,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trendlake.operators import clean, dq, flatten, gold, incremental, landing, lookup
-from trendlake.plans import analyst, jobs
+from trendlake.operators import clean, dq, evolution, flatten, gold, incremental, landing, lookup
+from trendlake.plans import analyst, jobs, lifetime, sketches, velocity
 from trendlake.plans.gold import GOLD_BUILDERS, build_gold, build_velocity, gold_facts
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, silver_run_metrics
 from trendlake.schemas import (
+    BRONZE_STATS,
     CATEGORY_COLUMNS,
     PROVENANCE_COLUMNS,
     SILVER_CATS,
     SILVER_CATS_COLUMNS,
     SILVER_STATS,
     SILVER_STATS_COLUMNS,
+    STATS_PARTITIONS,
     TRENDING_COLUMNS,
+    VELOCITY_COLUMNS,
 )
 from trendlake.session import prepare_session, scratch_dir
 from trendlake.sinks import writers
-from trendlake.sources import bronze
+from trendlake.sources import bronze, quarantine
 from trendlake.sources import tpch_adapter as adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,6 +318,63 @@ def q_late_region(spark, sf):
     return _public(spark.read.parquet(paths.gold("category_analytics")).select(*CATEGORY_COLUMNS))
 
 
+def _velocity_runs(spark, sf, *states):
+    """Velocity as written after a run for each state of Silver (a filter on its full rows, and the planned days)."""
+    full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), silver_cats(spark, sf)
+    gold_path, state_path = scratch_dir(spark, "velocity"), scratch_dir(spark, "snapshots")
+    for held, planned in states:
+        stats = full.where(held)
+        pairs = {(r.region, r.trending_date) for r in stats.select("region", "trending_date").distinct().collect()}  # bounded by the days
+        days = sorted({d for _, d in pairs if planned(d)})
+        velocity.run_velocity(spark, gold_path, state_path, stats, cats, days, pairs, RUN_TS)
+    return _public(spark.read.parquet(gold_path).select(*VELOCITY_COLUMNS))
+
+
+def _latest(spark, sf):
+    return raw_stats(spark, sf).agg(F.max("trending_date")).first()[0]
+
+
+def q_velocity_daily(spark, sf):
+    """Velocity after the latest day came to an earlier state, by the last-snapshot table: the run
+    reads that day only (I8, W7)."""
+    latest = _latest(spark, sf)
+    return _velocity_runs(spark, sf, (F.col("trending_date") < F.lit(latest), lambda d: True), (F.lit(True), lambda d: d == latest))
+
+
+def q_velocity_late_day(spark, sf):
+    """The same when a day in the middle arrives last, after the days that look back to it."""
+    latest = _latest(spark, sf)
+    late = (latest.replace(day=1) - dt.timedelta(days=62)).replace(day=1)
+    return _velocity_runs(spark, sf, (F.col("trending_date") != F.lit(late), lambda d: True), (F.lit(True), lambda d: d == late))
+
+
+def q_channel_with_lifetime(spark, sf):
+    """channel_analytics with its lifetime columns, from the day bitmaps of three runs: all days but
+    two, then a late one, then the latest (A13)."""
+    rows = writers.write_scratch(gold.channel_analytics(facts(spark, sf)), "channels")
+    held = rows.select("region", "trending_date", "channel_title")
+    days = sorted({r.trending_date for r in rows.select("trending_date").distinct().collect()})  # bounded by the days
+    late, path = days[len(days) // 2], scratch_dir(spark, "channel-days")
+    for part in ([d for d in days if d not in (late, days[-1])], [late], [days[-1]]):
+        some = held.where(F.col("trending_date").isin(part))
+        pairs = {(r.region, r.trending_date) for r in some.select("region", "trending_date").distinct().collect()}
+        lifetime.merge_days(spark, path, some, pairs)
+    return _public(lifetime.with_lifetime(rows, spark.read.schema(lifetime.STATE).parquet(path)))
+
+
+def q_distinct_over_days(spark, sf):
+    """Distinct channels and videos per region over the last year, from daily sketches alone, each
+    with whether it is within four standard errors of the exact count, which is given (A8, A16)."""
+    stats, latest = silver_stats(spark, sf), _latest(spark, sf)
+    path = scratch_dir(spark, "sketches")
+    writers.write_partitions(sketches.daily_sketches(stats), path, sketches.PARTITIONS, "daily_sketches")
+    since = F.col("trending_date") > F.add_months(F.lit(latest), -12)
+    counted = sketches.distinct_over(spark.read.parquet(path).where(since))
+    exact = stats.where(since).groupBy("region").agg(F.count_distinct("channel_title").alias("channels"), F.count_distinct("video_id").alias("videos"))
+    near = [(F.abs(F.col(f"unique_{c}") - F.col(c)) <= F.greatest(F.lit(1.0), 4 * sketches.RELATIVE_ERROR * F.col(c))).alias(f"{c}_within") for c in sketches.COUNTED]
+    return counted.join(exact, "region").select("region", *sketches.COUNTED, *near)
+
+
 def q_backfill_dates(spark, sf):
     """Parametrised backfill (I9): the override replaces the plan; dates Silver does not
     have are dropped. Override here: the first and last month, and the month before the
@@ -324,6 +385,94 @@ def q_backfill_dates(spark, sf):
     return incremental.plan_dates(incremental.distinct_dates(f), None, None, [before, lo, hi])
 
 
+# ------------------------------------------------------------------ runs from Bronze
+def _coarse_envelopes(spark, sf):
+    """Statistics envelopes in one landing folder per region and year (the data spans 2,500 days)."""
+    env = landing.statistics_envelopes(raw_stats(spark, sf))
+    return env.withColumns({"date": F.trunc("date", "year"), "hour": F.lit(0)})
+
+
+def q_quarantine_replay(spark, sf):
+    """Good and broken documents in one root: a tenth of the orders lost its last character, a tenth
+    came as an error body. Rows, videos and dead letters per region before and after a replay that
+    mends the first kind, run twice (S1, S3, S4)."""
+    root, path = scratch_dir(spark, "bronze-broken"), scratch_dir(spark, "dead")
+    env = _coarse_envelopes(spark, sf)
+    doc, name = F.to_json(F.struct("items", "_pipeline_metadata")), F.col("_pipeline_metadata.ingestion_id")
+    kind = F.substring_index(name, "_", -1).cast("long") % 10
+    body = F.concat(F.lit('{"error": {"code": 403}, "id": "'), name, F.lit('"}'))
+    text = F.when(kind == 0, F.substr(doc, F.lit(1), F.length(doc) - 1)).when(kind == 1, body).otherwise(doc)
+    env.select(text.alias("value"), "region", "date", "hour").write.partitionBy("region", "date", "hour").text(root)
+    quarantine.collect(spark, root, path, BRONZE_STATS, STATS_PARTITIONS, ADAPTER_REGIONS, multi_line=False)
+
+    def state(stage):
+        docs = bronze.read_bronze_statistics(spark, root, ADAPTER_REGIONS, multi_line=False)
+        docs = docs.unionByName(quarantine.read_replayed(spark, path, BRONZE_STATS, STATS_PARTITIONS, ADAPTER_REGIONS))
+        rows = flatten.flatten_statistics(docs).groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("video_id").alias("n_videos"))
+        dead = quarantine.outstanding(spark, path).groupBy("region").agg(F.count(F.lit(1)).alias("n_dead"))
+        both = rows.join(dead, "region", "left").select(F.lit(stage).alias("stage"), "region", "n_rows", "n_videos", F.coalesce("n_dead", F.lit(0).cast("long")).alias("n_dead"))
+        return writers.write_scratch(both, "replay-state")
+
+    before = state("before")
+    for _ in range(2):
+        quarantine.replay(spark, path, BRONZE_STATS, lambda raw, reason: F.when(reason == quarantine.MALFORMED, F.concat(raw, F.lit("}"))))
+    return before.union(state("after"))
+
+
+def q_schema_versions(spark, sf):
+    """Silver rows from one root with two versions of its documents: until 1994 counters were 32-bit
+    numbers and details and favourites missing, later documents have tags (U1)."""
+    root = scratch_dir(spark, "bronze-versions")
+    env = writers.write_scratch(_coarse_envelopes(spark, sf), "envelopes")
+    old = F.transform("items", lambda x: x.dropFields("contentDetails", "statistics.favoriteCount").withField(
+        "statistics.viewCount", x["statistics.viewCount"].cast("int")).withField("statistics.likeCount", x["statistics.likeCount"].cast("int")))
+    new = F.transform("items", lambda x: x.withField("snippet.tags", F.array(x["snippet.title"])))
+    env.where("date < '1995-01-01'").drop("hour").withColumn("items", old).write.parquet(f"{root}/version=1")
+    env.where("date >= '1995-01-01'").withColumn("items", new).write.parquet(f"{root}/version=2")
+    wanted = T.StructType([f for f in BRONZE_STATS.fields if f.name != "_corrupt_record"] + list(STATS_PARTITIONS.fields))
+    return clean.clean_statistics(flatten.flatten_statistics(evolution.read_versions(spark, root, wanted)))
+
+
+def _monthly(df):
+    """Landing times as minutes of the month's first day, in the order of their days."""
+    ts = F.col("ingestion_timestamp")
+    return df.withColumn("ingestion_timestamp", F.date_trunc("month", ts) + F.make_dt_interval(mins=F.dayofmonth(ts) - 1))
+
+
+def q_whole_run(spark, sf):
+    """Bronze to Gold by the job, with broken documents and a missing region, then what else a run
+    can end in: item, name and value of each report and of the tables read back (C1, C5, S3, S4, S9, K6, I6, D12)."""
+    paths = jobs.LakePaths(scratch_dir(spark, "whole-run"))
+    jobs.land(spark, paths, _monthly(raw_stats(spark, sf)), _monthly(raw_cats(spark, sf)))
+    names = spark.createDataFrame([(r,) for r in ADAPTER_REGIONS], "region string")
+    bodies = F.explode(F.array(F.concat(F.lit("{not json, of "), "region"), F.concat(F.lit('{"error": {"code": 403}, "of": "'), "region", F.lit('"}'))))
+    broken = names.select(bodies.alias("value"), "region", F.lit(dt.date(1992, 1, 1)).alias("date"), F.lit(0).alias("hour"))
+    broken.write.mode("append").partitionBy("region", "date", "hour").text(paths.bronze_stats)
+
+    latest = _latest(spark, sf)
+    run_ts = dt.datetime(latest.year, latest.month, 1, 6)
+    config = dq.DQConfig(valid_regions=ADAPTER_REGIONS)
+    silver, gate, made = jobs.run_medallion(spark, paths, (*ADAPTER_REGIONS, "atlantis"), run_ts, config)
+    rows = [("silver", k, silver.metrics[k]) for k in ("raw_rows", "null_id_dropped", "duplicates_removed", "silver_rows", "quarantined")]
+    for region, report in silver.metrics["regions"].items():
+        rows += [(f"region {region}", k, int(report[k])) for k in ("documents", "bad_documents", "items", "missing", "failed")]
+    rows += [("gate", "open", int(gate.status == "ok")), ("gold", "ok", int(made.status == "ok"))]
+    for table, column in (("trending_analytics", "total_views"), ("channel_analytics", "total_views"), ("category_analytics", "total_views"), ("video_velocity", "view_delta")):
+        n, total = spark.read.parquet(paths.gold(table)).agg(F.count(F.lit(1)), F.sum(column)).first()
+        rows += [(table, "rows", n), (table, column, total), (table, "written", made.metrics["rows_written"][table])]
+    again = jobs.silver_to_gold(spark, paths, dt.date(2030, 1, 1), run_ts)
+    rows.append(("second run", "noop", int(again.status == "noop")))
+    closed = jobs.quality_gate(spark, paths, dq.DQConfig(valid_regions=ADAPTER_REGIONS[:4]), run_ts)
+    rows.append(("gate without a region", "open", int(closed.status == "ok")))
+    unread = jobs.quality_gate(spark, jobs.LakePaths(paths.root + "/none"), config, run_ts).report
+    rows.append(("gate without tables", "unread", unread.where("check = 'read_table' and not passed").count()))
+    stats = spark.read.schema(SILVER_STATS).parquet(paths.silver_stats)
+    first = min(d for _, d in incremental.partition_days(spark, paths.silver_stats))
+    empty = writers.write_partitions(build_velocity(stats, None, [first]), scratch_dir(spark, "empty"), ["region", "trending_date"])
+    rows.append(("velocity of the first day", "rows", empty))
+    return spark.createDataFrame(rows, "item string, name string, value long")
+
+
 # ------------------------------------------------------------------ data quality
 def _dq_results(spark, sf):
     cfg = dq.DQConfig(valid_regions=ADAPTER_REGIONS)
@@ -408,6 +557,13 @@ def registry() -> dict[str, Query]:
         "late_region": q_late_region,
         "incremental_velocity": q_incremental_velocity,
         "backfill_dates": q_backfill_dates,
+        "quarantine_replay": q_quarantine_replay,
+        "schema_versions": q_schema_versions,
+        "whole_run": q_whole_run,
+        "velocity_daily": q_velocity_daily,
+        "velocity_late_day": q_velocity_late_day,
+        "channel_with_lifetime": q_channel_with_lifetime,
+        "distinct_over_days": q_distinct_over_days,
         "dq_row_count": _dq(lambda: F.col("check") == "row_count"),
         "dq_null_pct": _dq(lambda: F.col("check") == "null_pct"),
         "dq_schema": _dq(lambda: F.col("check") == "schema"),

@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.operators import clean, dq, flatten, gold, incremental, landing
-from trendlake.plans.gold import GOLD_BUILDERS, build_velocity, gold_facts
+from trendlake.plans import lifetime, sketches, velocity
+from trendlake.plans.gold import GOLD_BUILDERS, gold_facts
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, merge_silver
-from trendlake.schemas import GOLD_PARTITION_KEYS, SILVER_CATS, SILVER_STATS
+from trendlake.schemas import BRONZE_STATS, GOLD_PARTITION_KEYS, SILVER_CATS, SILVER_STATS, STATS_PARTITIONS
 from trendlake.session import prepare_session
 from trendlake.sinks import writers
-from trendlake.sources import bronze
+from trendlake.sources import bronze, quarantine
 
 
 @dataclass(frozen=True)
@@ -47,9 +48,15 @@ class LakePaths:
     def silver_cats(self) -> str:
         return self._p("silver", "reference_data")
 
+    def quarantine(self, feed: str) -> str:
+        return self._p("quarantine", feed)
+
     def gold(self, table: str) -> str:
         return self._p("gold", table)
 
+    def state(self, table: str) -> str:
+        return self._p("state", table)
+
 
 @dataclass
 class RunResult:
@@ -86,6 +93,9 @@ def bronze_to_silver(
         missing = bronze.report_from_metrics({}, regions)
         return RunResult("bronze_to_silver", "failed", {"regions": missing})
     raw = bronze.read_bronze_statistics(spark, paths.bronze_stats, regions, multi_line, landing_dates)
+    if quarantine.batches(spark, paths.quarantine("statistics")):
+        mended = quarantine.read_replayed(spark, paths.quarantine("statistics"), BRONZE_STATS, STATS_PARTITIONS, regions, landing_dates)
+        raw = raw.unionByName(mended)
     # One parse of Bronze: the per-region report and the run's counts are observations on the
     # same plan that writes Silver.
     docs = Observation(f"bronze_report_{run_ts:%Y%m%d%H%M%S%f}")
@@ -105,12 +115,14 @@ def bronze_to_silver(
     per_region = bronze.report_from_metrics(writers.observed(docs), regions)
     for region in per_region.values():  # of Bronze itself, from its documents' own clocks
         region["stale"] = dq.is_stale(region["latest"], run_ts)
+    bad = [region for region, m in per_region.items() if m["bad_documents"]]
+    dead = quarantine.collect(spark, paths.bronze_stats, paths.quarantine("statistics"), BRONZE_STATS, STATS_PARTITIONS, bad, multi_line) if bad else 0
     if rows == 0 or all(m["failed"] for m in per_region.values()):
         # No region yielded rows: nothing was written (a zero-row dynamic overwrite
         # touches no partition), and the run fails like the reference's abort.
-        return RunResult("bronze_to_silver", "failed", {"regions": per_region})
+        return RunResult("bronze_to_silver", "failed", {"regions": per_region, "quarantined": dead})
     seen = writers.observed(counts)
-    metrics = {"silver_rows": rows, "warnings": writers.observed(warn), "regions": per_region, **seen}
+    metrics = {"silver_rows": rows, "warnings": writers.observed(warn), "regions": per_region, "quarantined": dead, **seen}
     if landing_dates is None:
         metrics["duplicates_removed"] = seen["raw_rows"] - seen["null_id_dropped"] - rows
 
@@ -157,10 +169,14 @@ def silver_to_gold(
     if not silver_days:
         return RunResult("silver_to_gold", "failed", {"error": "clean_statistics is empty"})
     existing = {t: incremental.partition_days(spark, paths.gold(t)) for t in GOLD_BUILDERS}
+    existing |= {
+        "channel_days": lifetime.merged_days(spark, paths.state("channel_days")),
+        "daily_sketches": incremental.dated_regions(spark, paths.state("daily_sketches")),
+    }
     plans = incremental.plan_date_sets(silver_days, existing, run_date, dates_override)
-    if not any(plans.values()):
+    if not any(plans[t] for t in GOLD_BUILDERS):
         return RunResult("silver_to_gold", "noop", {"planned": {}})
-    metrics: dict = {"planned": {k: [str(d) for d in v] for k, v in plans.items()}}
+    metrics: dict = {"planned": {t: [str(d) for d in plans[t]] for t in GOLD_BUILDERS}}
     stats = spark.read.schema(SILVER_STATS).parquet(paths.silver_stats)
     cats = _dimension(spark, paths, metrics)
 
@@ -170,7 +186,7 @@ def silver_to_gold(
         "channel_analytics": gold.channel_analytics,
         "category_analytics": gold.category_analytics,
     }
-    dates = sorted({d for t in daily for d in plans[t]})
+    dates = sorted({d for t in (*daily, "channel_days") for d in plans[t]})
     if dates:
         # Facts of the planned days are aggregated once, to the rows the daily builders roll up.
         facts = gold_facts(gold.restrict_dates(stats, dates), cats)
@@ -178,13 +194,29 @@ def silver_to_gold(
         for table, build in daily.items():
             rows = build(facts, run_ts, cube=gold.restrict_dates(cube, plans[table]))
             written[table] = _write_gold(paths, table, rows)
-    written["video_velocity"] = _write_gold(
-        paths, "video_velocity", build_velocity(stats, cats, plans["video_velocity"], run_ts)
-    )
+        channels = gold.restrict_dates(cube, plans["channel_days"]).select("region", "trending_date", "channel_title").distinct()
+        rebuilt = {(r, d) for r, d in silver_days if d in plans["channel_days"]}
+        lifetime.merge_days(spark, paths.state("channel_days"), channels, rebuilt)
+    if plans["daily_sketches"]:
+        made = sketches.daily_sketches(gold.restrict_dates(stats, plans["daily_sketches"]))
+        writers.write_partitions(made, paths.state("daily_sketches"), sketches.PARTITIONS, "daily_sketches")
+    written["video_velocity"] = _run_velocity(spark, paths, stats, cats, plans["video_velocity"], existing["video_velocity"], silver_days, run_date, run_ts, dates_override, metrics)
     status = "ok" if any(written.values()) else "noop"
     return RunResult("silver_to_gold", status, metrics)
 
 
+def _run_velocity(spark, paths, stats, cats, planned, existing, silver_days, run_date, run_ts, dates_override, metrics) -> int:
+    state = velocity.snapshot_state(spark, paths.state("last_snapshots"))
+    forced = planned if dates_override is not None else {run_date}
+    todo = velocity.plan_velocity(planned, silver_days, state.applied(), existing, forced)
+    if not todo:
+        return 0
+    rows, metrics["velocity"] = velocity.run_velocity(
+        spark, paths.gold("video_velocity"), paths.state("last_snapshots"), stats, cats, todo, silver_days, run_ts
+    )
+    return rows
+
+
 def _dimension(spark: SparkSession, paths: LakePaths, metrics: dict) -> DataFrame | None:
     """The category columns that Gold reads, copied out so that a file that can't be read
     shows here: without the dimension, categories are Unknown and the run goes on."""
