@@ -425,8 +425,8 @@ def q_schema_versions(spark, sf):
     root = scratch_dir(spark, "bronze-versions")
     env = writers.write_scratch(_coarse_envelopes(spark, sf), "envelopes")
     old = F.transform("items", lambda x: x.dropFields("contentDetails", "statistics.favoriteCount").withField(
-        "statistics.viewCount", x["statistics.viewCount"].cast("int")).withField("statistics.likeCount", x["statistics.likeCount"].cast("int")))
-    new = F.transform("items", lambda x: x.withField("snippet.tags", F.array(x["snippet.title"])))
+        "statistics.viewCount", x["statistics"]["viewCount"].cast("int")).withField("statistics.likeCount", x["statistics"]["likeCount"].cast("int")))
+    new = F.transform("items", lambda x: x.withField("snippet.tags", F.array(x["snippet"]["title"])))
     env.where("date < '1995-01-01'").drop("hour").withColumn("items", old).write.parquet(f"{root}/version=1")
     env.where("date >= '1995-01-01'").withColumn("items", new).write.parquet(f"{root}/version=2")
     wanted = T.StructType([f for f in BRONZE_STATS.fields if f.name != "_corrupt_record"] + list(STATS_PARTITIONS.fields))
