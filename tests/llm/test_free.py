@@ -1,5 +1,6 @@
 """WARC, SimHash, chunks, packing, chat and rollups on awkward rows and against plain versions."""
 
+import os
 import random
 import zlib
 
@@ -132,13 +133,37 @@ def chunk_docs():
     return docs + [(30, docs[0][1]), (31, docs[1][1][:300] + " inserted " + docs[1][1][300:]), (40, None), (41, ""), (42, "é" * 5000), (43, "a" * 3000)], passage
 
 
+def plain_chunks(text):
+    """(start, stop, bytes, content) by the rule: a chunk begins where the hash of 16 bytes is less than at the 16 places
+    before and at most that at the 16 after, or 1024 bytes on, at the next whole letter."""
+    gear = []
+    for i in range(256):
+        x = (i + 1) * 0x9E3779B97F4A7C15 % 2**64
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        gear.append(x >> 32)
+    data = text.encode()
+    padded = bytes(64) + data + bytes(64)
+    h = [sum(gear[padded[i - k]] << k for k in range(16)) % 2**32 for i in range(16, len(padded))]  # h[j] ends at padded[16 + j]
+    at = lambda i: h[i + 64 - 16]
+    whole = lambda i: next(j for j in range(i, i + 5) if j >= len(data) or data[j] & 0xC0 != 0x80)
+    cuts = {whole(i) for i in range(len(data)) if at(i) < min(at(i - k) for k in range(1, 17)) and at(i) <= min(at(i + k) for k in range(1, 17))}
+    cuts = sorted((cuts | {0}) - {len(data)})
+    found = []
+    for a, b in zip(cuts, [*cuts[1:], len(data)]):
+        found += [a, *(whole(c) for c in range(a + 1024, b, 1024))]
+    ends = [*found[1:], len(data)]
+    return [(len(data[:a].decode()), len(data[:b].decode()), b - a, data[a:b]) for a, b in zip(found, ends)]
+
+
 def test_repeated_spans(docs_of):
     docs, passage = chunk_docs()
-    cut = lambda t: list(zip(*(x.tolist() for x in chunk_dedup.chunk_batch([t])[1:]))) if t else []
+    docs += [(50, "tiny"), (51, "tiny"), (52, "tiny one"), (53, "é"), (54, "é")]
+    cut = lambda t: plain_chunks(t) if t else []
     want = brute.repeated_spans(docs, cut, chunk_dedup.MIN_BYTES)
     got = {(r.doc_id, r.start, r.stop, r.bytes, r.first_doc_id) for r in chunk_dedup.repeated_spans(docs_of(docs)).collect()}
     assert got == want
-    assert {21, 22, 23, 24, 30, 31} <= {g[0] for g in got} <= {21, 22, 23, 24, 30, 31, 42, 43}
+    assert {21, 22, 23, 24, 30, 31, 51, 54} <= {g[0] for g in got} <= {21, 22, 23, 24, 30, 31, 42, 43, 51, 54}
     frame = docs_of(docs)
     out = chunk_dedup.dedup_substrings(frame)
     assert out.columns == frame.columns
@@ -160,6 +185,15 @@ def test_chunks_do_not_depend_on_what_is_around_a_text():
             assert (together[4][mine] == chunk_dedup.chunk_batch([t])[4]).all()
 
 
+def test_chunks_of_a_text_beyond_a_piece(docs_of, monkeypatch):
+    rnd = random.Random(13)
+    text = "".join(rnd.choice("abcdé \n") for _ in range(9000))
+    monkeypatch.setattr(chunk_dedup, "PIECE", 1 << 11)
+    owner, start, stop, size, _ = chunk_dedup.chunk_batch([text, "x", text])
+    mine = owner == 2
+    assert list(zip(start[mine].tolist(), stop[mine].tolist(), size[mine].tolist())) == [c[:3] for c in plain_chunks(text)]
+
+
 def test_repeated_rows_are_no_copies(docs_of):
     docs, _ = chunk_docs()
     assert chunk_dedup.repeated_spans(docs_of([docs[0], docs[0]])).count() == 0
@@ -171,7 +205,6 @@ def encoded(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(catalog.tokenizer_path())
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -182,13 +215,15 @@ def test_token_ids_are_the_file_s_own():
     for _ in range(3000):
         text = "".join(rnd.choice(letters) if rnd.random() < 0.5 else rnd.choice(" \n\t'abcs1") for _ in range(rnd.randrange(30)))
         assert ids.of(text) == np.array(ids.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    assert ids.of("<|endoftext|>") == np.array(encoded("<|endoftext|>"), "<u4").tobytes()
+    for text in ("<|endoftext|>", "a<|endoftext|> b <|endoftext|", "é<|endoftext|>漢", "<|endoftext|>\n<|endoftext|>"):
+        assert ids.of(text) == np.array(encoded(text), "<u4").tobytes()
+    assert encoded("<|endoftext|>") == [50256]
 
 
 def test_pack(docs_of):
     rnd = random.Random(2)
     docs = [(i, " ".join(rnd.choice("of the and spark plan ésprit".split()) for _ in range(rnd.randrange(0, 90)))) for i in range(200)]
-    docs += [(500, None), (501, ""), (502, "word " * 700), (None, "no id"), (3, docs[3][1])]
+    docs += [(500, None), (501, ""), (503, "plain<|endoftext|>text"), (502, "word " * 700), (None, "no id"), (3, docs[3][1])]
     rows = packing.pack(docs_of(docs), catalog.tokenizer_path(), length=64).collect()
     pieces, places = {}, {}
     for r in rows:
@@ -268,12 +303,12 @@ CHANGE = "doc_id long, kind string, source string, lang string, tokenizer string
 
 def test_rollup_follows_signed_changes(spark):
     root = scratch_dir(spark, "rollup")
-    batch = lambda *rows: spark.createDataFrame(list(rows), CHANGE)
+    batch = lambda *rows: spark.createDataFrame(list(rows), CHANGE).withColumn("text_hash", F.lit(7).cast("long"))
     state = lambda: {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in token_rollup.totals(spark, root).collect()}
     assert state() == {}
     one = batch((1, "insert", "a", "en", "v1", 10), (2, "insert", "a", None, "v1", 5), (2, "insert", "a", None, "v1", 5), (3, "insert", "b", "en", "v1", None), (None, "insert", "b", "en", "v1", 2))
     assert token_rollup.commit(spark, root, 1, one) and not token_rollup.commit(spark, root, 1, one)
-    assert state() == {("a", "en", "v1"): (1, 10), ("a", None, "v1"): (1, 5), ("b", "en", "v1"): (2, 2)}
+    assert state() == {("a", "en", "v1"): (1, 10), ("a", None, "v1"): (2, 10), ("b", "en", "v1"): (2, 2)}
     two = batch((1, "revise", "a", "en", "v1", 12), (2, "delete", None, None, None, None), (9, "delete", None, None, None, None), (3, "insert", "c", "en", "v1", 4), (1, "insert", "a", "en", "v2", 6))
     # a run that died before its commit leaves rows that a second one replaces
     token_rollup.deltas(two, token_rollup._held(token_rollup._ledger(spark, root, [1]))).limit(1).write.parquet(f"{root}/ledger/2")
@@ -292,9 +327,44 @@ def test_rollup_follows_signed_changes(spark):
         token_rollup.commit(spark, root, 3, one)
 
 
-def test_feed_of_awkward_documents(spark, docs_of):
+def plain_totals(rows):
+    """Totals after the feed's three batches of (doc_id, text, source, lang)."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    first = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(x.split()[0]): int(x.split()[1]) for x in file}
+    second = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    least, found = {}, {}
+    for d, t, *_ in rows:
+        least[t or ""] = min((d is None, d or 0), least.get(t or "", (True, 0)))
+    for d, t, source, lang in rows:
+        if (d is None, d or 0) == least[t or ""]:
+            for name, n in (("byte_bpe_50k", len(first.encode(t or "", add_special_tokens=False).ids) + 1), ("byte_bpe_multi_50k", len(second.encode_ordinary(t or "")))):
+                docs, tokens = found.get((source, lang, name), (0, 0))
+                found[source, lang, name] = docs + 1, tokens + n
+    return found
+
+
+def test_feed_of_documents_is_the_sum_of_its_rows(spark, docs_of):
+    rows = [(1, None), (2, ""), (3, "a b"), (4, "a b"), (None, "a b"), (5, "é! x<|endoftext|>"), (5, "shared id"), (5, "shared id"), (None, "no id"), (None, "no id"), (None, "none"), (6, "x" * 70_000)]
+    docs = docs_of(rows).withColumn("source", F.when(F.col("doc_id") > 3, "s"))
     root = scratch_dir(spark, "rollup")
-    docs = docs_of([(1, None), (2, ""), (3, "a b"), (4, "a b"), (5, "é! x")]).withColumn("source", F.lit(None).cast("string"))
-    for number, changes in enumerate(token_rollup.document_feed(docs)):
+    for number, changes in enumerate(token_rollup.document_feed(docs, catalog.tokenizers())):
         token_rollup.commit(spark, root, number, changes)
-    assert {r.tokenizer: (r.documents, r.tokens) for r in token_rollup.totals(spark, root).collect()} == {"words-v1": (3, 4), "pieces-v2": (3, 5)}
+    got = {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in token_rollup.totals(spark, root).collect()}
+    assert got == plain_totals([(r.doc_id, r.text, r.source, r.lang) for r in docs.collect()])
+    assert got[None, "en", "byte_bpe_50k"][0] == 5 and got["s", "en", "byte_bpe_50k"][0] == 4
+
+
+def test_totals_of_the_corpus(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.exists(folder):
+        pytest.skip("driver test data not present")
+    rows = [(r.doc_id, r.text, r.source, r.lang) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    got = {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in catalog.op10_token_rollup(spark, folder).collect()}
+    assert got == plain_totals(rows)

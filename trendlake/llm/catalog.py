@@ -76,6 +76,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def tokenizers() -> dict[str, str]:
+    """Two versions of a byte-level tokenizer: the one above, and one made for many languages."""
+    import public_tokenizers
+
+    return {"byte_bpe_50k": tokenizer_path(), "byte_bpe_multi_50k": public_tokenizers.path("byte_bpe_multi_50k.tiktoken")}
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -83,7 +90,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after three batches made from the documents, the second of them committed twice."""
     root = scratch_dir(spark, "rollup")
-    batches = token_rollup.document_feed(common.table(spark, sf_dir, "documents"))
+    batches = token_rollup.document_feed(common.table(spark, sf_dir, "documents"), tokenizers())
     for number in (1, 2, 2, 3):
         token_rollup.commit(spark, root, number, batches[number - 1])
     return token_rollup.totals(spark, root)

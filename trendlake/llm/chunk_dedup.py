@@ -8,9 +8,9 @@
 2. Chunks are deduplicated over the corpus by 64-bit digest: of equal chunks the first (by
    doc_id, null last, then text hash and place) stays. Digests are counted before any chunk is
    joined, and only repeated ones are.
-3. Neighbouring repeated chunks of a document merge into spans; spans of ``min_bytes`` or more
-   are reported, so that single short chunks that are equal by chance, or by a collision of
-   digests, are left alone.
+3. Neighbouring repeated chunks of a document merge into spans; spans of ``min_bytes`` or more, and
+   those that are whole documents, are reported, so that single short chunks that are equal by
+   chance, or by a collision of digests, are left alone.
 
 Defined results: a null or empty text has no chunk. Repeated document rows are judged alike (so
 none of them is a copy of the other). Texts of any length are chunked whole, a piece at a time.
@@ -37,7 +37,7 @@ MAX_CHUNK = 1024
 MIN_BYTES = 150
 PAD = 64  # zero bytes around each text, more than any boundary looks at
 PIECE = 1 << 20  # bytes hashed at a time
-CHUNK = f"doc_id long, {TEXT_HASH} long, no int, start int, stop int, bytes int, digest long"
+CHUNK = f"doc_id long, {TEXT_HASH} long, no int, start int, stop int, bytes int, last boolean, digest long"
 
 
 def _gear() -> np.ndarray:
@@ -99,7 +99,7 @@ def chunk_batch(texts: list[str]) -> tuple[np.ndarray, ...]:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """Every chunk: doc_id, text hash, its number, code points [start, stop), bytes and digest."""
+    """Every chunk: doc_id, text hash, its number, code points [start, stop), bytes, whether it ends its text, and digest."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -109,7 +109,8 @@ def chunks(docs: DataFrame) -> DataFrame:
                 first = np.searchsorted(owner, owner, side="left")
                 yield pd.DataFrame({
                     "doc_id": rows["doc_id"].astype("Int64").array[owner], TEXT_HASH: rows[TEXT_HASH].to_numpy()[owner],
-                    "no": np.arange(len(owner)) - first, "start": start, "stop": stop, "bytes": size, "digest": digest,
+                    "no": np.arange(len(owner)) - first, "start": start, "stop": stop, "bytes": size,
+                    "last": np.append(owner[1:] != owner[:-1], True)[: len(owner)], "digest": digest,
                 })
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_hash().alias(TEXT_HASH), common.whole_text().alias("t"))
@@ -123,16 +124,17 @@ def repeated_spans(docs: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     again = each.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     copies = common.materialize(each.join(again.hint("merge"), "digest"), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(TEXT_HASH), F.col("no"))
-    first = copies.groupBy("digest").agg(F.min(place).alias("first"))
+    # written, so that the join has an exchange of its own and a digest of very many chunks is split among tasks
+    first = common.materialize(copies.groupBy("digest").agg(F.min(place).alias("first")), "firsts")
     later = copies.join(first, "digest").where(place != F.col("first")).select(
-        "doc_id", TEXT_HASH, "no", "start", "stop", "bytes", F.col("first.doc_id").alias("first_doc_id")
+        "doc_id", TEXT_HASH, "no", "start", "stop", "bytes", "last", F.col("first.doc_id").alias("first_doc_id")
     )
     inside = Window.partitionBy("doc_id", TEXT_HASH).orderBy("no")  # one document's chunks
     runs = later.distinct().withColumn("run", F.col("no") - F.row_number().over(inside))
     return (
         runs.groupBy("doc_id", TEXT_HASH, "run")
-        .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("bytes").alias("bytes"), F.min_by("first_doc_id", "no").alias("first_doc_id"))
-        .where(F.col("bytes") >= min_bytes).drop("run")
+        .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("bytes").alias("bytes"), F.min_by("first_doc_id", "no").alias("first_doc_id"), F.max("last").alias("last"))
+        .where((F.col("bytes") >= min_bytes) | ((F.col("start") == 0) & F.col("last"))).drop("run", "last")
     )
 
 

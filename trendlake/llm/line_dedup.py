@@ -1,7 +1,7 @@
 """Line dedup by a segment-partition edit join (DataFrame functions only).
 
-Lines of at least ``min_chars`` code points take part; two are alike if they are equal or within
-``max_edits`` edits, and classes are closed over such links.
+Two lines are alike if they are equal or, both being of at least ``min_chars`` code points, within
+``max_edits`` edits; classes are closed over such links. Lines of white space alone don't take part.
 
 1. Equal lines collapse to one id, so copies never pair up.
 2. A line of length l is split into ``max_edits + 1`` segments. Of two lines within that many
@@ -17,7 +17,7 @@ Lines of at least ``min_chars`` code points take part; two are alike if they are
 5. Of each class with at least ``min_copies`` lines the first (by doc_id, null last, then text
    hash and line number) stays; the others are removed.
 
-Defined results: a null or empty text has no such line. Blank and short lines always stay.
+Defined results: a null or empty text has no such line. Blank lines always stay.
 Repeated document rows are judged alike. Lines are compared whole, whatever their length. Empty
 tables give no rows.
 """
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from itertools import combinations, product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlake.llm import common
@@ -37,6 +37,7 @@ MAX_EDITS = 1
 MIN_CHARS = 20
 MIN_COPIES = 2
 GROUP = 64
+SHOWN = r"[^\x20\x09-\x0D]"
 FINER = 4  # the next split has this many times as many segments that must agree
 
 
@@ -155,12 +156,13 @@ def verified(pairs: DataFrame, edits: int) -> DataFrame:
     return distance.where(F.col("distance") <= edits).select(*pairs.columns)
 
 
-def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per line that takes part: doc_id, text hash, no (from 0), id (128-bit digest), line, n (code points)."""
+def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
+    """One row per line of ``min_chars`` or more that isn't blank: doc_id, text hash, no (from 0), id (128-bit digest), line, n (code points)."""
     # beside a generator all else is computed per generated row, so the text's hash comes first
     split = docs.select("doc_id", common.text_hash().alias(TEXT_HASH), F.split(common.whole_text(), "\n").alias("lines"))
     lines = split.select("doc_id", TEXT_HASH, F.posexplode("lines").alias("no", "line"))
-    return lines.select("*", F.length("line").alias("n")).where(F.col("n") >= min_chars).withColumn("id", F.unhex(F.md5("line")))
+    taken = (F.col("n") >= min_chars) & F.col("line").rlike(SHOWN)
+    return lines.select("*", F.length("line").alias("n")).where(taken).withColumn("id", F.unhex(F.md5("line")))
 
 
 def _texts(docs: DataFrame, ids: DataFrame, min_chars: int) -> DataFrame:
@@ -209,8 +211,9 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
 
 
 def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_copies: int = MIN_COPIES) -> DataFrame:
-    """Every line to remove: doc_id, text hash, no, and whether it differs from the line that stays (``edited``)."""
-    found = occurrences(docs, min_chars).select("doc_id", TEXT_HASH, "no", "id")
+    """Every line to remove: doc_id, text hash, no, whether it differs from the line that stays (``edited``), its class
+    (``root``) and the document row of the line that stays (``source``)."""
+    found = occurrences(docs).select("doc_id", TEXT_HASH, "no", "id")
     counts = found.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     rooted = counts.join(line_classes(docs, max_edits, min_chars), "id", "left").select("id", F.coalesce("root", "id").alias("root"), "n")
     # ids of classes with too few lines leave here, before the occurrences are joined
@@ -219,23 +222,54 @@ def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     each = found.join(member, "id")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(TEXT_HASH), F.col("no"))
     first = each.groupBy("root").agg(F.min(F.struct(place.alias("place"), F.col("id").alias("id"))).alias("first"))
+    # written, so that the join has an exchange of its own and the lines of a large class are split among tasks
+    first = common.materialize(first, "firsts")
+    source = F.struct("first.place.none", "first.place.doc_id", f"first.place.{TEXT_HASH}")
     return (
         each.join(first, "root").where(place != F.col("first.place"))
-        .select("doc_id", TEXT_HASH, "no", (F.col("id") != F.col("first.id")).alias("edited"))
+        .select("doc_id", TEXT_HASH, "no", (F.col("id") != F.col("first.id")).alias("edited"), "root", source.alias("source"))
     )
 
 
-def decisions(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_copies: int = MIN_COPIES) -> DataFrame:
-    """Per document row that loses lines, once: doc_id, text hash, ``removed`` (sorted line numbers) and n_edited."""
-    gone = repeated_lines(docs, max_edits, min_chars, min_copies).groupBy("doc_id", TEXT_HASH, "no").agg(F.max("edited").alias("edited"))
+def _without_copies(docs: DataFrame, gone: DataFrame, share: float) -> DataFrame:
+    """``gone`` without the lines of near copies that stay in them: of a document that has at least ``share`` of its lines
+    from one other, those lines, each where it comes first. What the other loses too goes from both, so they stay alike."""
+    main = gone.groupBy("doc_id", TEXT_HASH, "source").agg(F.count(F.lit(1)).alias("n"))
+    main = main.groupBy("doc_id", TEXT_HASH).agg(F.max(F.struct("n", "source")).alias("x")).alias("m")
+    lines = F.size(F.filter(F.split(common.whole_text(), "\n"), lambda x: x.rlike(SHOWN)))
+    sizes = docs.select("doc_id", common.text_hash().alias(TEXT_HASH), lines.alias("lines")).distinct().alias("s")
+    alike = main.join(sizes, common.same_row("m", "s")).where(F.col("x.n") >= F.col("lines") * share)
+    alike = alike.select("m.doc_id", f"m.{TEXT_HASH}", F.col("x.source").alias("main")).alias("a")
+    here = Window.partitionBy("doc_id", TEXT_HASH, "root")  # lines of one document
+    rows = gone.withColumn("first_here", F.min("no").over(here)).alias("g")
+    joined = rows.join(alike, common.same_row("g", "a"), "left")
+    stays = F.col("source").eqNullSafe(F.col("main")) & (F.col("no") == F.col("first_here"))
+    return joined.where(~F.coalesce(stays, F.lit(False))).select("g.*")
+
+
+def decisions(
+    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_copies: int = MIN_COPIES, spare: float | None = None
+) -> DataFrame:
+    """Per document row that loses lines, once: doc_id, text hash, ``removed`` (sorted line numbers) and n_edited.
+
+    With ``spare``, documents that have at least this share of their lines from one other document are near copies of
+    it, and are left as it is for a near-duplicate stage to find.
+    """
+    gone = repeated_lines(docs, max_edits, min_chars, min_copies).groupBy("doc_id", TEXT_HASH, "no").agg(
+        F.max("edited").alias("edited"), F.first("root").alias("root"), F.first("source").alias("source")  # equal in repeated rows
+    )
+    if spare is not None:
+        gone = _without_copies(docs, common.materialize(gone, "gone"), spare)
     return gone.groupBy("doc_id", TEXT_HASH).agg(
         F.sort_array(F.collect_list("no")).alias("removed"), F.count_if("edited").alias("n_edited")
     )
 
 
-def dedup_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_copies: int = MIN_COPIES) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_copies: int = MIN_COPIES, spare: float | None = None
+) -> DataFrame:
     """``docs`` without the repeated lines; a text that loses lines gets a new n_chars, if there is that column."""
-    found = common.materialize(decisions(docs, max_edits, min_chars, min_copies), "removed").alias("r")
+    found = common.materialize(decisions(docs, max_edits, min_chars, min_copies, spare), "removed").alias("r")
     rows = docs.select(F.struct("*").alias("row"), "doc_id", common.text_hash().alias(TEXT_HASH)).alias("d")
     joined = rows.join(found, common.same_row("d", "r"), "left").select("d.row", "r.removed").withColumn(
         "lines", F.when(F.col("removed").isNotNull(), F.split("row.text", "\n"))

@@ -93,30 +93,56 @@ b AS (
     least(1000 * n_repeat_words // greatest(n_words, 1), 1000) AS s3,
     least(1000 * word_chars // greatest(100 * n_words, 1), 1000) AS s4
   FROM m),
+lr AS (
+  SELECT doc_id, bool_or(coalesce(toxic = 1, false)) AS toxic, bool_and(coalesce(quality = 1, false)) AS well,
+    bool_or(coalesce(quality = 0 OR toxic = 1, false)) AS bad, bool_and(coalesce(quality = 1 AND coalesce(toxic, 0) = 0, false)) AS good
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+kn AS (SELECT rid, coalesce(toxic, false) AS toxic FROM d LEFT JOIN lr USING (doc_id) WHERE toxic IS NULL OR (toxic AND well)),
+dw AS (
+  SELECT rid, unnest(list_distinct(list_filter(regexp_split_to_array(
+    translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> ''))) AS word
+  FROM d),
+sz AS (SELECT count(*) FILTER (toxic) AS tn, count(*) FILTER (NOT toxic) AS o FROM kn),
+sn AS (SELECT word, count(*) FILTER (toxic) AS a, count(*) FILTER (NOT toxic) AS b FROM dw JOIN kn USING (rid) GROUP BY word),
+wt AS (SELECT word, a, (b + 0.5e0) / (o + 1) * tn AS chance, ln((a + 0.5e0) / (tn + 1)) - ln((b + 0.5e0) / (o + 1)) AS weight FROM sn, sz),
+lx AS (
+  SELECT word, CAST(round(100 * weight) AS INTEGER) AS w FROM wt
+  WHERE a >= 5 AND a >= chance + sqrt(chance) * 4 + 4 AND weight >= 1 ORDER BY weight * a DESC, word LIMIT 256),
+tx AS (SELECT rid, least(sum(w), 1000) AS s6 FROM dw JOIN lx USING (word) GROUP BY rid),
 sc AS (
-  SELECT rid, doc_id, lang, base_failed, unnest([1, 2, 3, 4, 5]) AS rule, unnest([s1, s2, s3, s4, 1000 - s4]) AS score FROM b),
-good AS (
-  SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
-  HAVING min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) = 1),
-h AS (SELECT lang, rule, score FROM sc JOIN good USING (doc_id) WHERE NOT base_failed),
-held AS (SELECT lang, rule, count(*) AS n FROM h GROUP BY ALL),
-strata AS (SELECT count(*) AS n_strata FROM (SELECT DISTINCT lang FROM h)),
+  SELECT rid, lang, base_failed, bad, coalesce(good, false) AS good, unnest([1, 2, 3, 4, 5, 6]) AS rule,
+    unnest([s1, s2, s3, s4, 1000 - s4, coalesce(s6, 0)]) AS score
+  FROM b LEFT JOIN tx USING (rid) LEFT JOIN lr USING (doc_id)),
+ty AS (
+  SELECT rule, score, count(*) FILTER (bad) AS bad, count(*) FILTER (bad IS NULL) AS other
+  FROM sc WHERE NOT base_failed AND (bad IS NULL OR bad) GROUP BY ALL),
+gr AS (SELECT * FROM (SELECT unnest([1, 2, 3, 4, 5, 6]) AS rule), (SELECT unnest(range(0, 1001)) AS v)),
+ge AS (
+  SELECT gr.rule, v, coalesce(sum(bad), 0) AS bad, coalesce(sum(other), 0) AS other
+  FROM gr LEFT JOIN ty ON ty.rule = gr.rule AND ty.score >= v GROUP BY ALL),
+fl AS (
+  SELECT g.rule, g.v, CASE WHEN g.bad + g.other > 0
+    THEN round(1000 * (ln((g.bad + 0.5e0) / (z.bad + 1)) - ln((g.other + 0.5e0) / (z.other + 1)))) ELSE 0 END AS f
+  FROM ge g JOIN (SELECT * FROM ge WHERE v = 0) z ON g.rule = z.rule),
+li AS (SELECT rule, v, greatest(max(f) OVER (PARTITION BY rule ORDER BY v), 0) AS lift FROM fl),
+wo AS (
+  SELECT rid, any_value(lang) AS lang, any_value(base_failed) AS base_failed, any_value(good) AS good, max(lift) AS worst
+  FROM sc JOIN li ON sc.rule = li.rule AND sc.score = li.v GROUP BY rid),
+h AS (SELECT lang, worst, count(*) AS n FROM wo WHERE good AND NOT base_failed GROUP BY ALL),
+held AS (SELECT lang, sum(n) AS n FROM h GROUP BY lang),
 terms AS (
-  SELECT lang, rule, n, k, sum(CASE WHEN k = 0 THEN n * ln(1 - 0.004) ELSE ln((n - k + 1) / k) + ln(0.004 / (1 - 0.004)) END)
-    OVER (PARTITION BY lang, rule ORDER BY k) AS log_term
-  FROM (SELECT *, unnest(range(0, least(n, greatest(CAST(ceil(n * 0.004) AS BIGINT), 1)) + 1)) AS k FROM held)),
-cdf AS (SELECT lang, rule, k, sum(exp(log_term)) OVER (PARTITION BY lang, rule ORDER BY k) AS p FROM terms),
-allowed AS (SELECT lang, rule, max(k) AS allowed FROM cdf, strata WHERE p <= 0.05 / (n_strata * 5) GROUP BY ALL),
+  SELECT lang, n, k, sum(CASE WHEN k = 0 THEN n * ln(1 - 0.02e0) ELSE ln((n - k + 1) / k) + ln(0.02e0 / (1 - 0.02e0)) END)
+    OVER (PARTITION BY lang ORDER BY k) AS log_term
+  FROM (SELECT *, unnest(range(0, CAST(least(n, greatest(CAST(ceil(n * 0.02e0) AS BIGINT), 1)) + 1 AS BIGINT))) AS k FROM held)),
+cdf AS (SELECT lang, k, sum(exp(log_term)) OVER (PARTITION BY lang ORDER BY k) AS p FROM terms),
+allowed AS (SELECT lang, max(k) AS allowed FROM cdf WHERE p <= 0.05e0 / (SELECT count(*) FROM held) GROUP BY lang),
 tails AS (
-  SELECT lang, rule, score, coalesce(sum(n) OVER (PARTITION BY lang, rule ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rejected
-  FROM (SELECT lang, rule, score, count(*) AS n FROM h GROUP BY ALL)),
+  SELECT lang, worst, coalesce(sum(n) OVER (PARTITION BY lang ORDER BY worst DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rejected FROM h),
 cut AS (
-  SELECT t.lang, t.rule, min(score) AS cutoff FROM tails t JOIN allowed a ON t.lang IS NOT DISTINCT FROM a.lang AND t.rule = a.rule
-  WHERE rejected <= allowed GROUP BY ALL),
-bad AS (
-  SELECT DISTINCT rid FROM sc JOIN cut ON sc.lang IS NOT DISTINCT FROM cut.lang AND sc.rule = cut.rule WHERE score > cutoff)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.rid IS NULL AS kept
-FROM b LEFT JOIN bad USING (rid)
+  SELECT t.lang, min(worst) AS cutoff FROM tails t JOIN allowed a ON t.lang IS NOT DISTINCT FROM a.lang WHERE rejected <= allowed GROUP BY ALL),
+beyond AS (SELECT rid FROM wo JOIN cut ON wo.lang IS NOT DISTINCT FROM cut.lang WHERE worst > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b.base_failed, NOT b.base_failed AND beyond.rid IS NULL AS kept
+FROM b LEFT JOIN beyond USING (rid)
 """
 
 OP6 = r"""
@@ -141,22 +167,10 @@ SELECT conv_id, turn, role,
 FROM m LEFT JOIN parent USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn) LEFT JOIN c USING (conv_id, turn)
 """
 
-OP10 = r"""
-WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t FROM documents),
-k AS (SELECT source, lang, t FROM (SELECT *, min(doc_id) OVER (PARTITION BY t) AS first FROM d) WHERE doc_id = first),
-c AS (
-  SELECT source, lang, len(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
-    len(regexp_extract_all(t, '[A-Za-z0-9\x{80}-\x{10FFFF}]+|[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]')) AS pieces FROM k)
-SELECT source, lang, 'words-v1' AS tokenizer, count(*) AS documents, CAST(sum(words) AS BIGINT) AS tokens FROM c GROUP BY ALL
-UNION ALL
-SELECT source, lang, 'pieces-v2', count(*), CAST(sum(pieces) AS BIGINT) FROM c GROUP BY ALL
-"""
-
 SQL: dict[str, str] = {
     "op1_warc_chains": OP1,
     "op3_secret_scan": OP3,
     "op4_decontamination": OP4,
     "op5_quality_rules": OP5,
     "op6_quotation_linking": OP6,
-    "op10_token_rollup": OP10,
 }

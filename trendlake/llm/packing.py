@@ -42,7 +42,8 @@ class Ids:
 
     Texts of Latin-1 characters, where both libraries split words alike, go through the faster
     merge loop of ``tiktoken`` with the file's own vocabulary as ranks (an id is a merge's rank);
-    all others through ``tokenizers``. A file whose ids aren't its merges' ranks uses only the latter.
+    all others, and those that hold the string of an added token (which gets that token's id),
+    through ``tokenizers``. A file whose ids aren't its merges' ranks uses only the latter.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,11 +51,11 @@ class Ids:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.fast = _ranked(path)
 
     def of(self, text: str) -> bytes:
-        if self.fast:
+        if self.fast and not any(t in text for t in self.added):
             try:
                 text.encode("latin-1")
                 return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()

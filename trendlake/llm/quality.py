@@ -1,32 +1,29 @@
 """Quality rules with risk-controlled thresholds (DataFrame functions only).
 
 Each document gets whole-text counts, a fixed base test, and scores in thousandths of which a
-higher one is worse. The cutoff of a score is chosen per stratum (language) on labelled
-holdouts: among the good documents of the stratum that pass the base test, the number rejected
-may not exceed the largest ``k`` for which the exact binomial test still shows a false rejection
-rate of at most ``risk``: ``P[Bin(n, risk) <= k] <= delta`` (the Clopper-Pearson bound of k of n
-is then at most ``risk``). Cutoffs of one score are tried from lax to strict up to the first
-failure, which needs no correction; over scores and strata ``delta`` is divided by their number
-(Bonferroni) and ``risk`` by the number of scores, so that the union of the rules holds the
-bound too.
-
-That split is the contract of the query and its SQL (``quality_rules``); it leaves a language
-without any cutoff unless it has some 1,500 labelled good documents. ``keep_good``, the pipeline's
-stage, spends the bound once per stratum (``nested_rules``): a document's rank is the largest, over
-the scores, of the lift of its score, the logarithm of how much more often documents labelled bad
-reach that score than unlabelled ones do (both pass the base test; never less than the lift of a
-smaller score). Good documents choose no lift, so the ranks are one nested rule for them, tested at
-``risk``. One of its scores is toxicity: the sum, over the whole text, of the weights of the distinct
-words of a lexicon. A weight is the log-odds of a word in documents labelled toxic and of good
-quality against unlabelled ones; the lexicon is fitted on about FIT_DOCS of each at most, chosen by
-hash of the id, and holds the LEXICON words that tell most, of those more frequent in toxic documents
-than chance explains. Without toxic labels the score is 0. ``delta`` is divided by the strata of the holdout plus one; strata too small for any
-cutoff form a pool with a bound of its own, which holds for the pool as a whole and also serves
-strata without labels. Without bad labels a lift tells how rare a score is; without unlabelled
-documents lifts tell nothing apart and nothing is rejected but by the base test.
+higher one is worse. The scores make one nested rule: a document's rank is the largest, over the
+scores, of the lift of its score, the logarithm of how much more often documents labelled bad reach
+that score than unlabelled ones do (both pass the base test; never less than the lift of a smaller
+score). Good documents choose no lift, so for them the ranks are a fixed rule.
+
+The cutoff of the rank is chosen per stratum (language) on the labelled holdout: among the good
+documents of the stratum that pass the base test, the number rejected may not exceed the largest
+``k`` for which the exact binomial test still shows a false rejection rate of at most ``risk``:
+``P[Bin(n, risk) <= k] <= delta`` (the Clopper-Pearson bound of k of n is then at most ``risk``).
+Cutoffs are tried from lax to strict up to the first failure, which needs no correction; over the
+strata ``delta`` is divided by their number (Bonferroni). A stratum too small for any rejection
+(under 217 good documents with four strata), or without labels, has no cutoff.
+
+One of the scores is toxicity: the sum, over the whole text, of the weights of the distinct words
+of a lexicon. A weight is the log-odds of a word in documents labelled toxic and of good quality
+against unlabelled ones; the lexicon is fitted on about FIT_DOCS of each at most, chosen by hash of
+the id, and holds the LEXICON words that tell most, of those more frequent in toxic documents than
+chance explains. Without toxic labels the score is 0. Without bad labels a lift tells how rare a
+score is; without unlabelled documents lifts tell nothing apart and nothing is rejected but by the
+base test.
 
 Defined results: a null or empty text has no words and fails the base test. Documents of a
-stratum (null included) without a cutoff, or pool, are judged by the base test alone. Repeated document
+stratum (null included) without a cutoff are judged by the base test alone. Repeated document
 rows are judged alike; a document with several label rows is good only if all of them say so.
 Labels of unknown documents and null label ids count nothing. Empty tables give no rows, or no
 cutoffs.
@@ -51,7 +48,6 @@ LEXICON = 256
 FIT_DOCS = 20_000
 MIN_TOXIC = 5  # documents labelled toxic that a word of the lexicon is in, at least
 TOXICITY = "__toxicity"
-SCORES = ("symbols", "dup_lines", "repeats", "long_words", "short_words")
 
 
 def _rate(part: Column, whole: Column) -> Column:
@@ -144,50 +140,6 @@ def good_documents(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null").groupBy("doc_id").agg(good.alias("good")).where("good = 1").select("doc_id")
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """One row per stratum: ``stratum``, the holdout's size and a cutoff per score (null: none)."""
-    held = measured.where(~base_failed()).join(good_documents(labels), "doc_id").select(
-        F.col(stratum).alias("stratum"),
-        F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("score")) for k, v in scores().items()])).alias("x"),
-    )
-    # at most SCORE_MAX + 1 rows per stratum and rule from here on
-    counts = held.groupBy("stratum", "x.rule", "x.score").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy("stratum", "rule")
-    above = group.orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    tails = counts.select(
-        "stratum", "rule", "score",
-        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("rejected"),
-        F.sum("n").over(group).alias("held"),
-    )
-    strata = counts.select("stratum").distinct().agg(F.count(F.lit(1)).alias("n"))
-    sizes = tails.groupBy("stratum", "rule").agg(F.max("held").alias("held"))
-    share = sizes.crossJoin(F.broadcast(strata)).withColumn("delta", F.lit(delta) / (F.col("n") * len(SCORES)))  # one row
-    allowed = share.select("stratum", "rule", max_rejections(F.col("held"), risk / len(SCORES), F.col("delta")).alias("allowed"))
-    t, a = tails.alias("t"), allowed.alias("a")
-    same = F.col("t.stratum").eqNullSafe(F.col("a.stratum")) & (F.col("t.rule") == F.col("a.rule"))
-    chosen = t.join(a, same).select("t.*", "a.allowed").groupBy("stratum").agg(
-        F.max("held").alias("held"),
-        *[F.min(F.when((F.col("rule") == r) & (F.col("rejected") <= F.col("allowed")), F.col("score"))).alias(f"cut_{r}") for r in SCORES],
-    )
-    return chosen
-
-
-def judge(measured: DataFrame, chosen: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``measured`` with ``base_failed`` and ``kept``."""
-    m, c = measured.withColumns({f"s_{k}": v for k, v in scores().items()}).alias("m"), chosen.alias("c")
-    joined = m.join(c, F.col(f"m.{stratum}").eqNullSafe(F.col("c.stratum")), "left")
-    beyond = F.lit(False)
-    for r in SCORES:
-        beyond = beyond | F.coalesce(F.col(f"s_{r}") > F.col(f"cut_{r}"), F.lit(False))
-    return joined.select("m.*", base_failed().alias("base_failed"), (~base_failed() & ~beyond).alias("kept"))
-
-
-def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """Every document row with its counts, ``base_failed`` and ``kept``."""
-    measured = common.materialize(measure(docs), "quality")
-    return judge(measured, cutoffs(measured, labels, "lang", risk, delta))
-
-
 def label_kinds(labels: DataFrame) -> DataFrame:
     """Per labelled document: ``good`` (see good_documents) and ``bad`` (a row of poor quality or toxic)."""
     rows = labels.where("doc_id is not null").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("x"))
@@ -257,27 +209,20 @@ def lifts(measured: DataFrame, rules: dict[str, Column]) -> dict[str, list[int]]
     return found
 
 
-def nested_cutoffs(ranked: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """From the holdout's ``stratum`` and ``worst``: pooled, stratum (null in the pool), held, allowed and cutoff."""
+def cutoffs(ranked: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """From the holdout's ``stratum`` and ``worst``: stratum, held, allowed (-1: none) and cutoff (null: none)."""
     counts = common.materialize(ranked.groupBy(F.col(stratum).alias("stratum"), "worst").agg(F.count(F.lit(1)).alias("n")), "ranks")
-    sizes = counts.groupBy("stratum").agg(F.sum("n").alias("held"))
-    share = F.lit(delta / (sizes.count() + 1))
-    c, o = counts.alias("c"), sizes.select("stratum", (max_rejections(F.col("held"), risk, share) < 0).alias("pooled")).alias("o")
-    named = c.join(o, F.col("c.stratum").eqNullSafe(F.col("o.stratum"))).groupBy(
-        "pooled", F.when(~F.col("pooled"), F.col("c.stratum")).alias("stratum"), "worst"
-    ).agg(F.sum("n").alias("n"))
-    group = Window.partitionBy("pooled", "stratum")
+    share = F.lit(delta / max(1, counts.select("stratum").distinct().count()))
+    group = Window.partitionBy("stratum")  # at most a row per rank
     above = group.orderBy(F.col("worst").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    tails = named.select(
-        "pooled", "stratum", "worst", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("rejected"), F.sum("n").over(group).alias("held")
-    )
-    tested = tails.groupBy("pooled", "stratum").agg(F.max("held").alias("held"), F.collect_list(F.struct("worst", "rejected")).alias("steps"))
+    tails = counts.select("stratum", "worst", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("rejected"), F.sum("n").over(group).alias("held"))
+    tested = tails.groupBy("stratum").agg(F.max("held").alias("held"), F.collect_list(F.struct("worst", "rejected")).alias("steps"))
     allowed = tested.withColumn("allowed", max_rejections(F.col("held"), risk, share))
     cutoff = F.array_min(F.transform(F.filter("steps", lambda x: x["rejected"] <= F.col("allowed")), lambda x: x["worst"]))
-    return allowed.select("pooled", "stratum", "held", "allowed", cutoff.alias("cutoff"))
+    return allowed.select("stratum", "held", "allowed", cutoff.alias("cutoff"))
 
 
-def nested_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """Every document row with its counts, ``good`` and ``bad``, ``base_failed``, ``worst`` (rank) and ``kept``."""
     rules = scores() | {"toxicity": F.col(TOXICITY)}
     scored = docs.withColumn(TOXICITY, toxicity(lexicon(docs, labels)))
@@ -285,14 +230,13 @@ def nested_rules(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     # of fixed size, whatever the corpus
     tables = {k: F.split(F.lit(",".join(map(str, v))), ",").cast("array<int>") for k, v in lifts(measured, rules).items()}
     ranked = measured.withColumn("worst", F.greatest(*[tables[k][rules[k]] for k in rules]))
-    chosen = nested_cutoffs(ranked.where(~base_failed() & F.col("good")), "lang", risk, delta)
-    pool = chosen.where("pooled").select(F.col("cutoff").alias("pool"))  # one row or none
-    r, c = ranked.alias("r"), chosen.where("not pooled").alias("c")
-    joined = r.join(c, F.col("r.lang").eqNullSafe(F.col("c.stratum")), "left").join(F.broadcast(pool), F.lit(True), "left")
-    beyond = F.coalesce(F.col("worst") > F.coalesce("c.cutoff", "pool"), F.lit(False))
+    chosen = cutoffs(ranked.where(~base_failed() & F.col("good")), "lang", risk, delta)
+    r, c = ranked.alias("r"), chosen.alias("c")
+    joined = r.join(c, F.col("r.lang").eqNullSafe(F.col("c.stratum")), "left")
+    beyond = F.coalesce(F.col("worst") > F.col("c.cutoff"), F.lit(False))
     return joined.select("r.*", base_failed().alias("base_failed"), (~base_failed() & ~beyond).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """``docs`` without the documents that the nested rules reject."""
-    return common.keep_rows(docs, nested_rules(docs, labels, risk, delta).where(~F.col("kept")), "left_anti")
+    """``docs`` without the documents that the rules reject."""
+    return common.keep_rows(docs, quality_rules(docs, labels, risk, delta).where(~F.col("kept")), "left_anti")

@@ -84,7 +84,7 @@ def secret_scan(docs: DataFrame, repository: Column | None = None, owner: Column
     In ``documents`` an owner is a source, and a repository one language section of a source.
     """
     owner = F.col("source") if owner is None else owner
-    repository = F.concat_ws("/", "source", "lang") if repository is None else repository
+    repository = F.struct("source", "lang") if repository is None else repository
     scanned = common.materialize(scan(docs), "secrets")
     verdicts = ownership(scanned, repository, owner).select("value_hash", "verdict")
     each = (

@@ -11,27 +11,36 @@ it again, after a failure or by mistake, replaces the same files with the same r
 that it reads is that of smaller batch numbers. A committed batch is not written again, and a
 different content under its number is refused.
 
+A document is known by its id and its text's hash, so rows that share an id, or have none, keep
+their own counts, and totals are sums over all rows.
+
 Defined results: a change of kind ``insert`` or ``revise`` sets a document's count under a
 tokenizer, whether or not there was one; ``delete`` with a null tokenizer takes away all of its
-counts, and of an unknown document nothing. Of several counts for one document and tokenizer in
-a batch the largest row (tokens, source, lang) holds, and deletes come before counts. Null ids,
+counts, and of an unknown document nothing. Several counts for one document and tokenizer in a
+batch are so many copies of it, which all count, and deletes come before counts. Null ids, hashes,
 sources, languages and tokens (as 0) are values like others. An empty batch commits nothing but
 its number; the totals of no batch are empty.
 """
 
 from __future__ import annotations
 
+import base64
+from collections.abc import Callable
+from functools import lru_cache
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import common
+from trendlake.llm import common, packing
 from trendlake.sinks.writers import path_exists
 
-CHANGE = "doc_id long, kind string, source string, lang string, tokenizer string, tokens long"
-LEDGER = "doc_id long, source string, lang string, tokenizer string, docs long, tokens long"
+CHANGE = "doc_id long, text_hash long, kind string, source string, lang string, tokenizer string, tokens long"
+LEDGER = "doc_id long, text_hash long, source string, lang string, tokenizer string, docs long, tokens long"
 ROLLUP = "source string, lang string, tokenizer string, docs long, tokens long"
 COMMIT = "batch long, n long, checksum long"
 BASE = "base"
+DOCUMENT = ["doc_id", "text_hash"]
 
 
 def _read(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
@@ -54,7 +63,7 @@ def _ledger(spark: SparkSession, root: str, batches: list[int]) -> DataFrame:
 
 
 def _held(ledger: DataFrame) -> DataFrame:
-    sums = ledger.groupBy("doc_id", "source", "lang", "tokenizer").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+    sums = ledger.groupBy(*DOCUMENT, "source", "lang", "tokenizer").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
     return sums.where("docs <> 0 or tokens <> 0")
 
 
@@ -67,15 +76,15 @@ def _same(columns: list[str]):
 
 def deltas(changes: DataFrame, held: DataFrame) -> DataFrame:
     """Signed ledger rows that bring what is ``held`` to what ``changes`` say."""
-    latest = F.max(F.struct(F.coalesce("tokens", F.lit(0).cast("long")).alias("tokens"), "source", "lang")).alias("x")
-    sets = changes.where("kind <> 'delete'").groupBy("doc_id", "tokenizer").agg(latest).select("doc_id", "x.source", "x.lang", "tokenizer", "x.tokens")
-    gone = changes.where("kind = 'delete'").select("doc_id", "tokenizer").distinct()
-    whole = gone.where("tokenizer is null").select("doc_id")
-    single = gone.where("tokenizer is not null").union(sets.select("doc_id", "tokenizer")).distinct()
+    counted = (F.count(F.lit(1)).alias("docs"), F.sum(F.coalesce("tokens", F.lit(0).cast("long"))).alias("tokens"))
+    sets = changes.where("kind <> 'delete'").groupBy(*DOCUMENT, "source", "lang", "tokenizer").agg(*counted)
+    gone = changes.where("kind = 'delete'").select(*DOCUMENT, "tokenizer").distinct()
+    whole = gone.where("tokenizer is null").select(*DOCUMENT)
+    single = gone.where("tokenizer is not null").union(sets.select(*DOCUMENT, "tokenizer")).distinct()
     h = held.alias("h")
-    away = h.join(whole.alias("c"), _same(["doc_id"]), "left_semi").union(h.join(single.alias("c"), _same(["doc_id", "tokenizer"]), "left_semi")).distinct()
-    minus = away.select("doc_id", "source", "lang", "tokenizer", (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
-    return minus.union(sets.select("doc_id", "source", "lang", "tokenizer", F.lit(1).cast("long").alias("docs"), "tokens"))
+    away = h.join(whole.alias("c"), _same(DOCUMENT), "left_semi").union(h.join(single.alias("c"), _same([*DOCUMENT, "tokenizer"]), "left_semi")).distinct()
+    minus = away.select(*DOCUMENT, "source", "lang", "tokenizer", (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
+    return minus.union(sets)
 
 
 def commit(spark: SparkSession, root: str, batch: int, changes: DataFrame) -> bool:
@@ -113,30 +122,54 @@ def totals(spark: SparkSession, root: str) -> DataFrame:
     return sums.where("documents <> 0 or tokens <> 0")
 
 
-def document_feed(docs: DataFrame) -> list[DataFrame]:
-    """Three batches of changes made from whole documents, for two counters of tokens.
+@lru_cache(maxsize=8)
+def counter(path: str) -> Callable[[str], int]:
+    """Counts the tokens of a text by the vocabulary file at ``path``: ``tiktoken`` ranks, or a file of ``tokenizers``."""
+    if not path.endswith(".tiktoken"):
+        ids = packing.ids_of(path)
+        return lambda text: len(ids.of(text)) // 4
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+    encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: len(encoding.encode_ordinary(text))
+
+
+def token_counts(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
+    """doc_id, text_hash, source, lang and a column of token counts of the whole text per tokenizer (name: path)."""
+    paths = list(tokenizers.values())
+
+    def count(texts: pd.Series) -> pd.Series:
+        counters = [counter(p) for p in paths]
+        return pd.Series([[c(t) for c in counters] for t in texts], dtype=object)
+
+    counted = docs.select("doc_id", common.text_hash().alias("text_hash"), "source", "lang", F.pandas_udf(count, "array<long>")(common.whole_text()).alias("n"))
+    return counted.select("doc_id", "text_hash", "source", "lang", *[F.get("n", F.lit(i)).alias(name) for i, name in enumerate(tokenizers)])
+
+
+def document_feed(docs: DataFrame, tokenizers: dict[str, str]) -> list[DataFrame]:
+    """Three batches of changes made from whole documents, for two tokenizer versions.
 
-    Batch 1 inserts every document with a first count, by single spaces. Batch 2 revises all of
-    them to words between white space, and inserts the second counter's runs of letters and
-    digits or single other characters. Batch 3 deletes exact copies of a text with a smaller id.
+    Batch 1 inserts every document with its count by the first tokenizer. Batch 2 revises all of
+    them to count an end token too, and inserts the counts of the second tokenizer. Batch 3 deletes
+    the copies of a text: all rows of it but those of its smallest id (null last).
     """
-    text = common.whole_text()
-    counted = docs.select(
-        "doc_id", "source", "lang", F.md5(text).alias("same"),
-        (F.length(text) - F.length(F.replace(text, F.lit(" "))) + 1).cast("long").alias("spaces"),
-        F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long").alias("words"),
-        F.size(F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9\x{80}-\x{10FFFF}]+|[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]"), F.lit(0))).cast("long").alias("pieces"),
-    )
-    counted = common.materialize(counted, "counted")
-
-    def change(kind: str, tokenizer: str | None, tokens: str | None, of: DataFrame = counted) -> DataFrame:
-        count = F.col(tokens) if tokens else F.lit(None)
-        return of.select("doc_id", F.lit(kind).alias("kind"), "source", "lang", F.lit(tokenizer).cast("string").alias("tokenizer"), count.cast("long").alias("tokens"))
-
-    first = counted.groupBy("same").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = counted.join(first, "same").where("doc_id > first")
+    old, new = tokenizers
+    counted = common.materialize(token_counts(docs, tokenizers), "counted")
+
+    def change(kind: str, tokenizer: str | None, tokens: F.Column | None, of: DataFrame = counted) -> DataFrame:
+        count = F.lit(None) if tokens is None else tokens
+        return of.select(*DOCUMENT, F.lit(kind).alias("kind"), "source", "lang", F.lit(tokenizer).cast("string").alias("tokenizer"), count.cast("long").alias("tokens"))
+
+    # written, so that a text in very many documents is split among tasks by the join
+    ids = counted.select(*DOCUMENT).distinct()
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("least")
+    first = common.materialize(ids.groupBy("text_hash").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "firsts")
+    copies = counted.join(first, "text_hash").where(~F.col("doc_id").eqNullSafe(F.col("least.doc_id")))
     return [
-        change("insert", "words-v1", "spaces"),
-        change("revise", "words-v1", "words").union(change("insert", "pieces-v2", "pieces")),
+        change("insert", old, F.col(old)),
+        change("revise", old, F.col(old) + 1).union(change("insert", new, F.col(new))),
         change("delete", None, None, copies),
     ]
