@@ -68,13 +68,13 @@ def removed_lines(docs, edits=1, min_chars=20, min_copies=2, spare=None):
 def repeated_spans(docs, chunks, min_bytes):
     """{(doc_id, start, stop, bytes, first_doc_id)} of (doc_id, text) with distinct ids; chunks(text) gives (start, stop, bytes, digest)."""
     first, out = {}, set()
-    cut = {d: chunks(t or "") for d, t in docs}
+    cut, whole = {d: chunks(t or "") for d, t in docs}, {d: len(t or "") for d, t in docs}
     for d in sorted(cut):
         run = None
         for start, stop, size, digest in [*cut[d], (None, None, 0, object())]:
             holder = first.setdefault(digest, (d, start))
             if holder == (d, start):
-                if run and run[2] >= min_bytes:
+                if run and (run[2] >= min_bytes or run[:2] == [0, whole[d]]):
                     out.add((d, *run))
                 run = None
             else:
