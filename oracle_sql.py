@@ -509,7 +509,7 @@ planned_facts AS (SELECT * FROM facts WHERE trending_date IN (SELECT trending_da
 
 
 def _incremental_oracles() -> dict[str, str]:
-    return {
+    found = {
         "incremental_dates": with_ctes(*GOLD_BASE, SCENARIO, body="SELECT * FROM plan"),
         "incremental_velocity": with_ctes(*GOLD_BASE, SCENARIO, VELOCITY, body="""
 SELECT * FROM velocity WHERE trending_date IN (SELECT trending_date FROM plan)"""),
@@ -519,6 +519,10 @@ FROM facts
 WHERE trending_date IN ((SELECT MIN(trending_date) FROM facts),
                         (SELECT MAX(trending_date) FROM facts),
                         (SELECT CAST(date_trunc('month', MIN(trending_date)) - INTERVAL 1 MONTH AS DATE) FROM facts))"""),
+        "dq_sampled": with_ctes(*BASE, body="\nUNION ALL\n".join(
+            f"SELECT '{name}' AS name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(count_if({rule}) AS BIGINT) AS n_exact, TRUE AS covered FROM silver_stats"
+            for name, rule in (("null_video_id", "video_id IS NULL"), ("null_title", "title IS NULL"), ("null_views", "views IS NULL"),
+                               ("zero_views", "views = 0"), ("hd", "definition = 'hd'"), *((f"tier_{t}", f"views_tier = '{t}'") for t in TIER_NAMES)))),
         "whole_run": _whole_run(),
         "quarantine_replay": with_ctes(LINES, RAW_STATS, body=f"""
 SELECT stage, region, CAST(count_if(read) AS BIGINT) AS n_rows, CAST(COUNT(DISTINCT CASE WHEN read THEN video_id END) AS BIGINT) AS n_videos,
@@ -560,6 +564,8 @@ WHERE NOT EXISTS (SELECT 1 FROM updates u
 UNION ALL
 SELECT * FROM updates"""),
     }
+    found["gold_by_name"] = found["incremental_gold"]
+    return found
 
 
 FACT_CRITICAL = ("video_id", "title", "channel_title", "category_id", "views", "likes", "region",

@@ -10,8 +10,6 @@ from trendlake.functions.metrics import (
     VIEWS_TIERS,
     engagement_rate,
     exact_mean,
-    hd_percentage,
-    integral_mean,
     like_ratio,
     momentum,
     normalize_definition,
@@ -23,7 +21,7 @@ from trendlake.functions.metrics import (
 
 __all__ = [
     "DEFAULT_MOMENTUM", "DEFAULT_TIER", "MOMENTUM_BANDS", "TIER_NAMES", "UNKNOWN_CATEGORY",
-    "VIEWS_TIERS", "engagement_rate", "exact_mean", "hd_percentage", "integral_mean",
+    "VIEWS_TIERS", "engagement_rate", "exact_mean",
     "like_ratio", "momentum", "normalize_definition", "norm_region", "pct", "share_pct",
     "tier_count", "to_bool", "to_double", "to_long", "to_ts", "views_tier", "zero_if_null",
 ]

@@ -92,23 +92,11 @@ def exact_mean(c: str | Column, scale: int) -> Column:
     return F.try_divide(total, F.count(x).cast("double"))
 
 
-def integral_mean(c: str | Column) -> Column:
-    """Mean of an integer column: exact long sum divided once (order-free)."""
-    x = col(c)
-    return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double"))
-
-
 def share_pct(part: str | Column, whole: str | Column, scale: int = 2) -> Column:
     """round(part / whole * 100, scale); null when whole is zero (no ANSI error)."""
     return F.round(F.try_divide(col(part), col(whole)) * 100, scale)
 
 
-def hd_percentage(definition: str | Column = "definition", ids: str | Column = "video_id") -> Column:
-    """Aggregate: share of rows in HD among counted ids, in percent, 2 dp."""
-    hd = F.count_if(col(definition) == F.lit("hd"))
-    return F.round(F.try_divide(hd, F.count(col(ids))) * 100, 2)
-
-
 def tier_count(tier: str, tier_col: str | Column = "views_tier") -> Column:
     """Aggregate: rows in one tier (a fixed-column pivot)."""
     return F.count_if(col(tier_col) == F.lit(tier))

@@ -47,6 +47,21 @@ def partition_days(spark: SparkSession, path: str) -> set[tuple[str, dt.date]]:
     return found
 
 
+def catalog_days(spark: SparkSession, table: str) -> set[tuple[str, dt.date]]:
+    """(region, date) partitions of a table as its catalog has them; none for an unknown table. No file is
+    listed, so what was written since the table's last refresh isn't seen (and planned again)."""
+    if not spark.catalog.tableExists(table):
+        return set()
+    found = set()
+    for (spec,) in spark.sql(f"SHOW PARTITIONS {table}").collect():  # bounded by the days
+        values = dict(unquote(part).split("=", 1) for part in spec.split("/"))
+        try:
+            found.add((values["region"], dt.date.fromisoformat(values[DATE])))
+        except ValueError:  # the null date
+            continue
+    return found
+
+
 def dated_regions(spark: SparkSession, path: str) -> set[tuple[str, dt.date]]:
     """(region, date) pairs in a table of a row per pair, partitioned by trending_date alone."""
     if not path_exists(spark, path):

@@ -9,13 +9,15 @@ the result can be compared value for value with an independent SQL engine.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlake.operators import clean, dq, evolution, flatten, gold, incremental, landing, lookup
+from trendlake.functions.metrics import TIER_NAMES
+from trendlake.operators import clean, dq, evolution, flatten, gold, incremental, landing, lookup, sampling
 from trendlake.plans import analyst, jobs, lifetime, sketches, velocity
 from trendlake.plans.gold import GOLD_BUILDERS, build_gold, build_velocity, gold_facts
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, silver_run_metrics
@@ -278,16 +280,16 @@ def q_category_write(spark, sf):
     return _public(spark.read.schema(SILVER_CATS).parquet(path))
 
 
-def _two_runs(spark, sf):
+def _two_runs(spark, sf, catalog=None):
     """Gold after two runs of the job: the first over the earlier state of Silver, the second
     when all of it is there and the first's "today" has grown."""
     f, early, latest = _scenario(spark, sf)
     full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), writers.write_scratch(silver_cats(spark, sf), "cats")
     keys = ["video_id", "region", "trending_date"]
     paths = _lake(spark, sf, full.join(early.select(*keys), keys, "left_semi"), cats)
-    jobs.silver_to_gold(spark, paths, latest, RUN_TS)
+    jobs.silver_to_gold(spark, paths, latest, RUN_TS, catalog=catalog)
     _write_silver(paths, full)
-    second = jobs.silver_to_gold(spark, paths, latest, RUN_TS)
+    second = jobs.silver_to_gold(spark, paths, latest, RUN_TS, catalog=catalog)
     return paths, second
 
 
@@ -318,6 +320,13 @@ def q_late_region(spark, sf):
     return _public(spark.read.parquet(paths.gold("category_analytics")).select(*CATEGORY_COLUMNS))
 
 
+def q_gold_by_name(spark, sf):
+    """The same two runs planned from the catalog's partitions of registered tables, Gold read by its name (K8, I2)."""
+    prefix = f"gold_{uuid.uuid4().hex[:8]}_"
+    _two_runs(spark, sf, prefix)
+    return _public(spark.table(f"{prefix}trending_analytics").select(*TRENDING_COLUMNS))
+
+
 def _velocity_runs(spark, sf, *states):
     """Velocity as written after a run for each state of Silver (a filter on its full rows, and the planned days)."""
     full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), silver_cats(spark, sf)
@@ -498,6 +507,17 @@ def q_dq_invalid_values(spark, sf):
     return dq.invalid_values(silver_stats(spark, sf), dq.FACT_TABLE, cfg)
 
 
+def q_dq_sampled(spark, sf):
+    """Counts of rows with some properties: exact, and whether the interval from a seeded stratified
+    sample (a tenth of the rows of all but small region-days) covers them (S8)."""
+    stats = writers.write_scratch(silver_stats(spark, sf).select(*sampling.KEY, "title", "views", "definition", "views_tier"), "sampled")
+    made = {f"null_{c}": F.col(c).isNull() for c in ("video_id", "title", "views")} | {"zero_views": F.col("views") == 0, "hd": F.col("definition") == "hd"}
+    made |= {f"tier_{t}": F.col("views_tier") == t for t in TIER_NAMES}
+    exact = stats.agg(*[F.count_if(p).alias(k) for k, p in made.items()]).unpivot([], list(made), "name", "n_exact")
+    found = sampling.sampled_counts(stats, made, 0.1, 50).join(exact, "name")
+    return found.select("name", "n_rows", "n_exact", F.col("n_exact").between(F.col("low"), F.col("high")).alias("covered"))
+
+
 def q_dq_prewrite(spark, sf):
     s = silver_stats(spark, sf)
     return s.agg(*dq.prewrite_warnings(s))
@@ -557,6 +577,7 @@ def registry() -> dict[str, Query]:
         "late_region": q_late_region,
         "incremental_velocity": q_incremental_velocity,
         "backfill_dates": q_backfill_dates,
+        "gold_by_name": q_gold_by_name,
         "quarantine_replay": q_quarantine_replay,
         "schema_versions": q_schema_versions,
         "whole_run": q_whole_run,
@@ -575,6 +596,7 @@ def registry() -> dict[str, Query]:
         "dq_verdict": q_dq_verdict,
         "dq_invalid_values": q_dq_invalid_values,
         "dq_prewrite": q_dq_prewrite,
+        "dq_sampled": q_dq_sampled,
         "dq_staleness": q_dq_staleness,
     }
     for i in range(1, 9):

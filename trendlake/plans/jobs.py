@@ -163,12 +163,18 @@ def silver_to_gold(
     run_date: dt.date,
     run_ts: dt.datetime,
     dates_override=None,
+    catalog: str | None = None,
 ) -> RunResult:
+    """Gold's planned days. With ``catalog``, a prefix of table names, what Gold has is asked of the catalog, and its
+    tables are registered, or refreshed, after they are written."""
     prepare_session(spark)
     silver_days = incremental.partition_days(spark, paths.silver_stats)
     if not silver_days:
         return RunResult("silver_to_gold", "failed", {"error": "clean_statistics is empty"})
-    existing = {t: incremental.partition_days(spark, paths.gold(t)) for t in GOLD_BUILDERS}
+    if catalog is None:
+        existing = {t: incremental.partition_days(spark, paths.gold(t)) for t in GOLD_BUILDERS}
+    else:
+        existing = {t: incremental.catalog_days(spark, catalog + t) for t in GOLD_BUILDERS}
     existing |= {
         "channel_days": lifetime.merged_days(spark, paths.state("channel_days")),
         "daily_sketches": incremental.dated_regions(spark, paths.state("daily_sketches")),
@@ -201,6 +207,9 @@ def silver_to_gold(
         made = sketches.daily_sketches(gold.restrict_dates(stats, plans["daily_sketches"]))
         writers.write_partitions(made, paths.state("daily_sketches"), sketches.PARTITIONS, "daily_sketches")
     written["video_velocity"] = _run_velocity(spark, paths, stats, cats, plans["video_velocity"], existing["video_velocity"], silver_days, run_date, run_ts, dates_override, metrics)
+    for table, rows in written.items() if catalog is not None else ():
+        if rows:
+            writers.register_table(spark, catalog + table, paths.gold(table))
     status = "ok" if any(written.values()) else "noop"
     return RunResult("silver_to_gold", status, metrics)
 
