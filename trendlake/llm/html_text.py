@@ -3,9 +3,9 @@
 A page is read once, left to right, into blocks: text between block-level tags, with the share of
 it in links, its heading mark and where it stands. Then
 
-1. each block is classified by itself: with most of its text in links it is bad; a short one is
+1. each block is classified by itself: with much of its text in links it is bad; a short one is
    ambiguous; of the others those with many stop words are good if long and near-good if not, and
-   those with few are bad. The stop words are those of the language that has most of them on the
+   those with few are bad if they have any link, else ambiguous too. The stop words are those of the language that has most of them on the
    page; a page with hardly any is of another language, and its blocks are judged by length and
    links alone.
 2. ambiguous (short) and near-good blocks inherit the label of the nearest decided neighbours on
@@ -13,10 +13,10 @@ it in links, its heading mark and where it stands. Then
    and of equally near ones the good one for near-good blocks, else the bad one.
 
 Where a block stands goes before both passes: menus, page headers, footers, sidebars, notices,
-adverts, forms, reader comments and hidden parts, by element, role, class or id, are bad. Of
-marked-up articles the pass 1 rules are milder (a block is bad only for its links, else ambiguous
-where it is not good), an undecided block without decided neighbours is good, and where they hold
-the page's text, nothing outside them is taken; the same goes for ``main``.
+adverts, forms, reader comments and hidden parts, by element, role, class or id, are bad and are
+no one's neighbours. Of marked-up articles the pass 1 rules are milder (a block is bad only for its
+links, else ambiguous where it is not good), and where they hold the page's text, nothing outside
+them is taken; the latter goes for ``main`` too.
 
 Defined results: a null or empty html, and one without good blocks, has an empty text. Broken
 markup is read as far as it goes: unclosed elements end with those around them, an unclosed
@@ -277,7 +277,7 @@ def _decide(block: Block, words: list[str], stop: frozenset[str] | None) -> str:
     if stop is not None:
         share = sum(map(stop.__contains__, words)) / max(1, len(words))
         if share < LOW:
-            return "near-good" if article else "bad"
+            return "near-good" if article else "bad" if block.linked else "short"
         if share < HIGH:
             return "near-good"
     return "good" if len(block.text) >= LONG else "near-good"
@@ -295,7 +295,7 @@ def _inherit(group: list[Block]) -> None:
         if block.heading and k < len(decided):
             sides = [(0, first[decided[k]])]
         if not sides:
-            block.label = "good" if block.level == ARTICLE or label == "near-good" else "bad"
+            block.label = "bad" if block.linked and label == "short" and block.level != ARTICLE else "good"
         elif len({x for _, x in sides}) == 1:
             block.label = sides[0][1]
         else:
@@ -311,8 +311,7 @@ def labelled(page: str) -> list[Block]:
     for b, w in zip(found, words):
         b.label = "bad" if b.dropped else _decide(b, w, stop)
     for level in (BODY, MAIN, ARTICLE):
-        # what is dropped inside an article doesn't make its neighbours bad
-        _inherit([b for b in found if b.level == level and not (b.dropped and level)])
+        _inherit([b for b in found if b.level == level and not b.dropped])
     for level in (ARTICLE, MAIN):
         held = sum(len(b.text) for b in found if b.level >= level and b.label == "good")
         other = sum(len(b.text) for b in found if b.level < level and b.label == "good")
