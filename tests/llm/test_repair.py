@@ -85,10 +85,9 @@ def found_audits(df):
 
 
 @needs_data
-@pytest.mark.parametrize("block", [3, 4096])
-def test_audits_equal_the_plain_version(spark, block):
+def test_audits_equal_the_plain_version(spark):
     rows = common.table(spark, SF, "conversations")
-    got = found_audits(conversation_repair.audited(rows, conversation_repair.damaged(rows), block))
+    got = found_audits(catalog.op11_conversation_repair(spark, SF))
     assert got == plain_audit([(r.conv_id, r.turn, r.role, r.text) for r in rows.collect()])
 
 
@@ -106,7 +105,7 @@ def test_audits_of_awkward_rows(spark, damage):
         talk += [(conv, t, rnd.choice(["user", "assistant", "user", "assistant", "system", None, "x"]), rnd.choice(["Yes.", "No", "", "Why?", f"w{t}!"])) for t in range(rnd.randrange(1, 30))]
     df = spark.createDataFrame([(*r, 1, "k", 2) for r in talk], "conv_id long, turn long, role string, text string, pos int, c string, step int")
     rows = conversation_repair.damaged(df) if damage else df
-    got = found_audits(conversation_repair.audited(df, rows, 7))
+    got = found_audits(conversation_repair.audited(df, rows, 7))  # several blocks
     assert got == plain_audit(talk, damage)
     none = df.where("false")
     assert conversation_repair.audited(none, conversation_repair.damaged(none)).count() == 0
