@@ -433,6 +433,22 @@ FROM velocity GROUP BY momentum"""),
     return o
 
 
+def _gold_published() -> str:
+    """Rows and a total per version, table, region and day. The first version is Gold of the earlier Silver; as days that
+    aren't planned again had all their rows there, the second is Gold of all of it."""
+    parts = []
+    for version, src in ((1, "early"), (2, "facts")):
+        for table, keys in (("trending_analytics", "region"), ("channel_analytics", "channel_title"), ("category_analytics", "category_name, category_id")):
+            parts.append(f"""
+SELECT CAST({version} AS INTEGER) AS version, '{table}' AS table_name, region, trending_date, COUNT(*) AS n_rows, CAST(SUM(v) AS BIGINT) AS total
+FROM (SELECT region, trending_date, SUM(views) AS v FROM {src} GROUP BY region, trending_date, {keys}) GROUP BY region, trending_date""")
+        parts.append(f"""
+SELECT CAST({version} AS INTEGER), 'video_velocity', region, trending_date, COUNT(*), CAST(SUM(views - prev) AS BIGINT)
+FROM (SELECT *, lag(views) OVER (PARTITION BY video_id, region ORDER BY trending_date) AS prev FROM {src})
+WHERE prev IS NOT NULL GROUP BY region, trending_date""")
+    return with_ctes(*GOLD_BASE, SCENARIO, body="\nUNION ALL".join(parts))
+
+
 def oracle_queries() -> dict[str, str]:
     return _oracles()
 
@@ -565,6 +581,7 @@ UNION ALL
 SELECT * FROM updates"""),
     }
     found["gold_by_name"] = found["incremental_gold"]
+    found["gold_published"] = _gold_published()
     return found
 
 

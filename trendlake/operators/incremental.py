@@ -26,6 +26,11 @@ def distinct_dates(df: DataFrame) -> DataFrame:
     return df.select(F.col(DATE).cast("date").alias(DATE)).where(F.col(DATE).isNotNull()).distinct()
 
 
+def partition_values(path: str, levels: int) -> list[str]:
+    """Values in the last ``levels`` parts of a path of ``column=value`` folders; a file's name gives ''."""
+    return [unquote(part.partition("=")[2]) for part in path.split("/")[-levels:]]
+
+
 def partition_days(spark: SparkSession, path: str) -> set[tuple[str, dt.date]]:
     """(region, date) partitions with data files in a table partitioned by (region,
     trending_date). The files are the ground truth, as in the key listing the reference
@@ -39,7 +44,7 @@ def partition_days(spark: SparkSession, path: str) -> set[tuple[str, dt.date]]:
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = set()
     for status in fs.globStatus(pattern) or []:
-        region, day = (unquote(part.partition("=")[2]) for part in str(status.getPath()).split("/")[-3:-1])
+        region, day, _ = partition_values(str(status.getPath()), 3)
         try:
             found.add((region, dt.date.fromisoformat(day)))
         except ValueError:  # __HIVE_DEFAULT_PARTITION__ (null date)

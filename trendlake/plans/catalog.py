@@ -9,6 +9,7 @@ the result can be compared value for value with an independent SQL engine.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from trendlake.functions.metrics import TIER_NAMES
 from trendlake.operators import clean, dq, evolution, flatten, gold, incremental, landing, lookup, sampling
 from trendlake.plans import analyst, jobs, lifetime, sketches, velocity
 from trendlake.plans.gold import GOLD_BUILDERS, build_gold, build_velocity, gold_facts
+from trendlake.plans.publish import PublishedGold
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, silver_run_metrics
 from trendlake.schemas import (
     BRONZE_STATS,
@@ -280,16 +282,16 @@ def q_category_write(spark, sf):
     return _public(spark.read.schema(SILVER_CATS).parquet(path))
 
 
-def _two_runs(spark, sf, catalog=None):
+def _two_runs(spark, sf, catalog=None, publish=False):
     """Gold after two runs of the job: the first over the earlier state of Silver, the second
     when all of it is there and the first's "today" has grown."""
     f, early, latest = _scenario(spark, sf)
     full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), writers.write_scratch(silver_cats(spark, sf), "cats")
     keys = ["video_id", "region", "trending_date"]
     paths = _lake(spark, sf, full.join(early.select(*keys), keys, "left_semi"), cats)
-    jobs.silver_to_gold(spark, paths, latest, RUN_TS, catalog=catalog)
+    jobs.silver_to_gold(spark, paths, latest, RUN_TS, catalog=catalog, publish=publish)
     _write_silver(paths, full)
-    second = jobs.silver_to_gold(spark, paths, latest, RUN_TS, catalog=catalog)
+    second = jobs.silver_to_gold(spark, paths, latest, RUN_TS, catalog=catalog, publish=publish)
     return paths, second
 
 
@@ -327,6 +329,21 @@ def q_gold_by_name(spark, sf):
     return _public(spark.table(f"{prefix}trending_analytics").select(*TRENDING_COLUMNS))
 
 
+def q_gold_published(spark, sf):
+    """The same two runs, each published as one: both versions of the four tables, as their readers see them, by
+    region and day (K5, C5)."""
+    paths, _ = _two_runs(spark, sf, publish=True)
+    out = []
+    for version in (1, 2):
+        tables = PublishedGold(spark, paths.published, version)
+        for table, measure in (("trending_analytics", "total_views"), ("channel_analytics", "total_views"),
+                               ("category_analytics", "total_views"), ("video_velocity", "view_delta")):
+            rows = tables.read(table).groupBy("region", "trending_date")
+            out.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(measure).cast("long").alias("total")).withColumns(
+                {"version": F.lit(version), "table_name": F.lit(table)}))
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def _velocity_runs(spark, sf, *states):
     """Velocity as written after a run for each state of Silver (a filter on its full rows, and the planned days)."""
     full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), silver_cats(spark, sf)
@@ -578,6 +595,7 @@ def registry() -> dict[str, Query]:
         "incremental_velocity": q_incremental_velocity,
         "backfill_dates": q_backfill_dates,
         "gold_by_name": q_gold_by_name,
+        "gold_published": q_gold_published,
         "quarantine_replay": q_quarantine_replay,
         "schema_versions": q_schema_versions,
         "whole_run": q_whole_run,

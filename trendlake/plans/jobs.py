@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from trendlake.operators import clean, dq, flatten, gold, incremental, landing
 from trendlake.plans import lifetime, sketches, velocity
 from trendlake.plans.gold import GOLD_BUILDERS, gold_facts
+from trendlake.plans.publish import PublishedGold
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, merge_silver
 from trendlake.schemas import BRONZE_STATS, GOLD_PARTITION_KEYS, SILVER_CATS, SILVER_STATS, STATS_PARTITIONS
 from trendlake.session import prepare_session
@@ -54,6 +55,10 @@ class LakePaths:
     def gold(self, table: str) -> str:
         return self._p("gold", table)
 
+    @property
+    def published(self) -> str:
+        return self._p("gold_published")
+
     def state(self, table: str) -> str:
         return self._p("state", table)
 
@@ -164,14 +169,22 @@ def silver_to_gold(
     run_ts: dt.datetime,
     dates_override=None,
     catalog: str | None = None,
+    publish: bool = False,
 ) -> RunResult:
     """Gold's planned days. With ``catalog``, a prefix of table names, what Gold has is asked of the catalog, and its
-    tables are registered, or refreshed, after they are written."""
+    tables are registered, or refreshed, after they are written. With ``publish``, the run's tables come into view
+    together (``plans.publish``), under ``paths.published`` instead of ``paths.gold``."""
+    if publish and catalog is not None:
+        raise ValueError("published tables are read through their manifest, not the catalog")
     prepare_session(spark)
+    published = PublishedGold(spark, paths.published) if publish else None
+    target = published.staged if published else paths.gold
     silver_days = incremental.partition_days(spark, paths.silver_stats)
     if not silver_days:
         return RunResult("silver_to_gold", "failed", {"error": "clean_statistics is empty"})
-    if catalog is None:
+    if published:
+        existing = {t: published.days(t) for t in GOLD_BUILDERS}
+    elif catalog is None:
         existing = {t: incremental.partition_days(spark, paths.gold(t)) for t in GOLD_BUILDERS}
     else:
         existing = {t: incremental.catalog_days(spark, catalog + t) for t in GOLD_BUILDERS}
@@ -180,7 +193,7 @@ def silver_to_gold(
         "daily_sketches": incremental.dated_regions(spark, paths.state("daily_sketches")),
     }
     plans = incremental.plan_date_sets(silver_days, existing, run_date, dates_override)
-    if not any(plans[t] for t in GOLD_BUILDERS):
+    if not any(plans.values()):
         return RunResult("silver_to_gold", "noop", {"planned": {}})
     metrics: dict = {"planned": {t: [str(d) for d in plans[t]] for t in GOLD_BUILDERS}}
     stats = spark.read.schema(SILVER_STATS).parquet(paths.silver_stats)
@@ -199,14 +212,22 @@ def silver_to_gold(
         cube = writers.write_scratch(gold.day_cube(facts), "day-cube")
         for table, build in daily.items():
             rows = build(facts, run_ts, cube=gold.restrict_dates(cube, plans[table]))
-            written[table] = _write_gold(paths, table, rows)
+            written[table] = _write_gold(target(table), table, rows)
+    written["video_velocity"], done = _run_velocity(spark, paths, stats, cats, plans["video_velocity"], existing["video_velocity"], silver_days, run_date, run_ts, dates_override, published)
+    metrics |= {"velocity": done} if done else {}
+    if published:
+        rebuilt = {t: set(plans[t]) for t in daily} | {"video_velocity": {dt.date.fromisoformat(d) for d in done.get("days", ())}}
+        states = {velocity.STATE_NAME: done["state"]} if done else {}
+        if done or any(rebuilt.values()):
+            metrics["version"] = published.publish(rebuilt, states)
+    # Beside Gold, and planned for themselves: days that a dead run hasn't merged are planned again.
+    if dates:
         channels = gold.restrict_dates(cube, plans["channel_days"]).select("region", "trending_date", "channel_title").distinct()
         rebuilt = {(r, d) for r, d in silver_days if d in plans["channel_days"]}
         lifetime.merge_days(spark, paths.state("channel_days"), channels, rebuilt)
     if plans["daily_sketches"]:
         made = sketches.daily_sketches(gold.restrict_dates(stats, plans["daily_sketches"]))
         writers.write_partitions(made, paths.state("daily_sketches"), sketches.PARTITIONS, "daily_sketches")
-    written["video_velocity"] = _run_velocity(spark, paths, stats, cats, plans["video_velocity"], existing["video_velocity"], silver_days, run_date, run_ts, dates_override, metrics)
     for table, rows in written.items() if catalog is not None else ():
         if rows:
             writers.register_table(spark, catalog + table, paths.gold(table))
@@ -214,16 +235,16 @@ def silver_to_gold(
     return RunResult("silver_to_gold", status, metrics)
 
 
-def _run_velocity(spark, paths, stats, cats, planned, existing, silver_days, run_date, run_ts, dates_override, metrics) -> int:
-    state = velocity.snapshot_state(spark, paths.state("last_snapshots"))
+def _run_velocity(spark, paths, stats, cats, planned, existing, silver_days, run_date, run_ts, dates_override, published) -> tuple[int, dict]:
+    path = published.staged("video_velocity") if published else paths.gold("video_velocity")
+    # A published state has a folder of its own: its versions are the manifest's to name.
+    state_path = f"{paths.published}/{velocity.STATE_NAME}" if published else paths.state(velocity.STATE_NAME)
+    state = velocity.snapshot_state(spark, state_path, published and published.state_version(velocity.STATE_NAME))
     forced = planned if dates_override is not None else {run_date}
     todo = velocity.plan_velocity(planned, silver_days, state.applied(), existing, forced)
     if not todo:
-        return 0
-    rows, metrics["velocity"] = velocity.run_velocity(
-        spark, paths.gold("video_velocity"), paths.state("last_snapshots"), stats, cats, todo, silver_days, run_ts
-    )
-    return rows
+        return 0, {}
+    return velocity.run_velocity(spark, path, state_path, stats, cats, todo, silver_days, run_ts, published)
 
 
 def _dimension(spark: SparkSession, paths: LakePaths, metrics: dict) -> DataFrame | None:
@@ -239,9 +260,9 @@ def _dimension(spark: SparkSession, paths: LakePaths, metrics: dict) -> DataFram
         return None
 
 
-def _write_gold(paths: LakePaths, table: str, df: DataFrame) -> int:
+def _write_gold(path: str, table: str, df: DataFrame) -> int:
     # An empty frame writes nothing and leaves every partition as it was.
-    return writers.write_partitions(df, paths.gold(table), GOLD_PARTITION_KEYS, table)
+    return writers.write_partitions(df, path, GOLD_PARTITION_KEYS, table)
 
 
 # ----------------------------------------------------------------------- whole run (C5)

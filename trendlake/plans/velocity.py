@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from trendlake.operators import gold
 from trendlake.plans.gold import build_velocity, gold_facts
+from trendlake.plans.publish import PublishedGold
 from trendlake.schemas import GOLD_PARTITION_KEYS, VELOCITY_COLUMNS
 from trendlake.sinks import writers
 from trendlake.sinks.state import VersionedState
@@ -29,12 +30,13 @@ from trendlake.sinks.state import VersionedState
 SNAPSHOT = "struct<trending_date:date,views:bigint,likes:bigint>"
 STATE = f"video_id string, region string, last {SNAPSHOT}, before {SNAPSHOT}"
 KEYS = ("video_id", "region")
+STATE_NAME = "last_snapshots"
 
 Days = Collection[tuple[str, dt.date]]
 
 
-def snapshot_state(spark: SparkSession, path: str) -> VersionedState:
-    return VersionedState(spark, path, STATE)
+def snapshot_state(spark: SparkSession, path: str, upto: int | None = None) -> VersionedState:
+    return VersionedState(spark, path, STATE, upto)
 
 
 def _snapshot() -> F.Column:
@@ -120,17 +122,21 @@ def first_days(dates: Collection[dt.date], silver_days: Days, applied: dict) ->
 
 def run_velocity(
     spark: SparkSession, path: str, state_path: str, stats: DataFrame, cats: DataFrame | None,
-    dates: list[dt.date], silver_days: Days, run_ts: dt.datetime,
+    dates: list[dt.date], silver_days: Days, run_ts: dt.datetime, published: PublishedGold | None = None,
 ) -> tuple[int, dict]:
-    """Build and write the velocity of ``dates``, then commit the state. Returns rows written and what was done."""
-    state = snapshot_state(spark, state_path)
+    """Build and write the velocity of ``dates``, then commit the state. Returns rows written and what was done.
+
+    With ``published``, the earlier rows and the state are those of that version, and ``path`` is the run's own folder.
+    """
+    state = snapshot_state(spark, state_path, published and published.state_version(STATE_NAME))
     applied, rows = state.applied(), state.rows()
     firsts = first_days(dates, silver_days, applied) if rows is not None else None
     if firsts is not None:
         pairs = writers.write_scratch(forward_pairs(gold_facts(gold.restrict_dates(stats, dates), cats), rows, firsts), "velocity-pairs")
         made, new, done = gold.velocity_of(pairs.where("not old"), run_ts), next_state(pairs), set(dates)
     else:
-        written = writers.read_parquet_or_none(spark, path) if rows is not None else None
+        written = published.read("video_velocity") if published else writers.read_parquet_or_none(spark, path)
+        written = written if rows is not None else None
         done = set(dates) | (following_days(stats, written, dates) if rows is not None else set())
         made = build_velocity(stats, cats, sorted(done), run_ts)
         merged = set(applied) | {(r, d) for r, d in silver_days if d in dates}
@@ -138,8 +144,8 @@ def run_velocity(
     n = writers.write_partitions(made, path, GOLD_PARTITION_KEYS, "video_velocity")
     counts = _written(spark, path, done)
     known = set(applied) | {(r, d) for r, d in silver_days if d in dates}
-    state.commit(new, {k: counts.get(k, 0) if k[1] in done else applied[k] for k in known})
-    return n, {"mode": "late" if firsts is None and rows is not None else "first" if rows is None else "forward", "days": [str(d) for d in sorted(done)]}
+    version = state.commit(new, {k: counts.get(k, 0) if k[1] in done else applied[k] for k in known})
+    return n, {"state": version, "mode": "late" if firsts is None and rows is not None else "first" if rows is None else "forward", "days": [str(d) for d in sorted(done)]}
 
 
 def _written(spark: SparkSession, path: str, days: Collection[dt.date]) -> dict[tuple[str, dt.date], int]:

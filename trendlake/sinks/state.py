@@ -18,10 +18,13 @@ APPLIED = "region string, trending_date date, n long"
 
 
 class VersionedState:
-    """The table under ``path`` with rows of ``schema``."""
+    """The table under ``path`` with rows of ``schema``.
 
-    def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    With ``upto``, versions after it don't count: they are what a run left that hasn't published them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, upto: int | None = None) -> None:
+        self.spark, self.path, self.schema, self.upto = spark, path.rstrip("/"), schema, upto
 
     def versions(self) -> list[int]:
         """Marked versions, ascending."""
@@ -29,14 +32,15 @@ class VersionedState:
         pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*/marked/_SUCCESS")
         fs = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         found = (fs.globStatus(pattern) or []) if path_exists(self.spark, self.path) else []
-        return sorted(int(str(s.getPath()).split("/")[-3].partition("=")[2]) for s in found)
+        numbers = sorted(int(str(s.getPath()).split("/")[-3].partition("=")[2]) for s in found)
+        return [n for n in numbers if self.upto is None or n <= self.upto]
 
     def _folder(self, version: int, part: str) -> str:
         return f"{self.path}/version={version}/{part}"
 
-    def rows(self) -> DataFrame | None:
-        """Rows of the latest version; None before the first."""
-        found = self.versions()
+    def rows(self, version: int | None = None) -> DataFrame | None:
+        """Rows of ``version``, or of the latest one; None before the first."""
+        found = [version] if version is not None else self.versions()
         return self.spark.read.schema(self.schema).parquet(self._folder(found[-1], "rows")) if found else None
 
     def applied(self) -> dict[tuple[str, dt.date], int]:
