@@ -154,13 +154,16 @@ def lexicon(docs: DataFrame, labels: DataFrame) -> dict[str, int]:
     rows = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"), F.min(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("well")
     )
-    known = docs.select("doc_id", "text").join(rows, "doc_id", "left")
-    known = known.where("toxic is null or (toxic and well)").select("doc_id", "text", F.coalesce("toxic", F.lit(False)).alias("toxic"))
+    known = docs.select("doc_id").join(rows, "doc_id", "left")  # ids alone are shuffled, no texts
+    known = known.where("toxic is null or (toxic and well)").select("doc_id", F.coalesce("toxic", F.lit(False)).alias("toxic"))
     share = {bool(r["toxic"]): FIT_DOCS / r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = 1 << 30
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
     chosen = known.where(F.when(F.col("toxic"), spot < int(share.get(True, 0) * parts)).otherwise(spot < int(share.get(False, 0) * parts)))
-    sets = common.materialize(chosen.select("toxic", F.array_distinct(decontam.words(common.whole_text())).alias("words")), "words")
+    ids = common.materialize(chosen.distinct(), "fit-ids").alias("i")  # about FIT_DOCS of each kind at most
+    ids = F.broadcast(ids) if common.small(ids) else ids
+    texts = docs.alias("d").join(ids, F.col("d.doc_id").eqNullSafe(F.col("i.doc_id"))).select("i.toxic", "d.text")
+    sets = common.materialize(texts.select("toxic", F.array_distinct(decontam.words(common.whole_text())).alias("words")), "words")
     size = {bool(r["toxic"]): r["n"] for r in sets.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, other = size.get(True, 0), size.get(False, 0)
     seen = sets.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
