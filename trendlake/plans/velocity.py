@@ -145,7 +145,8 @@ def run_velocity(
     counts = _written(spark, path, done)
     known = set(applied) | {(r, d) for r, d in silver_days if d in dates}
     version = state.commit(new, {k: counts.get(k, 0) if k[1] in done else applied[k] for k in known})
-    return n, {"state": version, "mode": "late" if firsts is None and rows is not None else "first" if rows is None else "forward", "days": [str(d) for d in sorted(done)]}
+    named = {"state": version} if published else {}
+    return n, named | {"mode": "late" if firsts is None and rows is not None else "first" if rows is None else "forward", "days": [str(d) for d in sorted(done)]}
 
 
 def _written(spark: SparkSession, path: str, days: Collection[dt.date]) -> dict[tuple[str, dt.date], int]:
