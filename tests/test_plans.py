@@ -3,6 +3,7 @@
 import datetime as dt
 
 from trendlake.operators import gold
+from trendlake.plans import catalog
 from trendlake.plans.gold import build_velocity, gold_facts
 from trendlake.plans.silver import build_silver_statistics
 from trendlake.sinks import writers
@@ -43,3 +44,16 @@ def test_daily_builders_read_facts_once_without_distinct_or_objects(spark, tmp_p
     plan = _plan(gold.day_cube(facts))
     assert "Expand" not in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
     assert "Expand" not in _plan(gold.trending_analytics(facts))
+
+
+def test_metrics_are_not_shuffled_for_the_dedup(spark, tmp_path):
+    rows = flat_rows(dt.date(2026, 5, 18))
+    plan = _plan(build_silver_statistics(spark.createDataFrame(rows, FLAT)).select("video_id", "engagement_rate"))
+    lines = plan.splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange" in line)  # the tree prints parents first
+    assert any("engagement_rate" in line for line in lines[:exchange]) and not any("engagement_rate" in line for line in lines[exchange:])
+
+
+def test_facts_are_not_shuffled_by_category(spark):
+    plan = _plan(catalog.facts(spark, "/root/testdata/sf0.001"))
+    assert "SortMergeJoin [category_id" not in plan and "BroadcastHashJoin [category_id" in plan
