@@ -57,3 +57,8 @@ def test_metrics_are_not_shuffled_for_the_dedup(spark, tmp_path):
 def test_facts_are_not_shuffled_by_category(spark):
     plan = _plan(catalog.facts(spark, "/root/testdata/sf0.001"))
     assert "SortMergeJoin [category_id" not in plan and "BroadcastHashJoin [category_id" in plan
+
+
+def test_channels_are_rolled_up_where_the_cube_was_made(spark, tmp_path):
+    plan = _plan(gold.channel_aggregates(gold_facts(_silver(spark, tmp_path), None)))
+    assert plan.count("Exchange hashpartitioning") == 2  # for the dedup, then by channel and day
