@@ -62,3 +62,10 @@ def test_facts_are_not_shuffled_by_category(spark):
 def test_channels_are_rolled_up_where_the_cube_was_made(spark, tmp_path):
     plan = _plan(gold.channel_aggregates(gold_facts(_silver(spark, tmp_path), None)))
     assert plan.count("Exchange hashpartitioning") == 2  # for the dedup, then by channel and day
+
+
+def test_scenarios_evaluate_silver_once(spark, monkeypatch):
+    made, real = [], catalog.silver_stats
+    monkeypatch.setattr(catalog, "silver_stats", lambda *a: made.append(a) or real(*a))
+    plan = _plan(catalog.q_incremental_velocity(spark, "/root/testdata/sf0.001"))
+    assert len(made) == 1 and "lineitem.parquet" not in plan  # the rest reads what was written
