@@ -69,3 +69,19 @@ def test_scenarios_evaluate_silver_once(spark, monkeypatch):
     monkeypatch.setattr(catalog, "silver_stats", lambda *a: made.append(a) or real(*a))
     plan = _plan(catalog.q_incremental_velocity(spark, "/root/testdata/sf0.001"))
     assert len(made) == 1 and "lineitem.parquet" not in plan  # the rest reads what was written
+
+
+def test_silver_is_deduplicated_where_parts_were_joined(spark):
+    plan = _plan(catalog.silver_stats(spark, "/root/testdata/sf0.001"))
+    # orders and customers, both by customer; they and line items by order; line items and parts by video
+    assert plan.count("Exchange hashpartitioning") == 6 and plan.count("hashpartitioning(video_id") == 1
+    assert "SortMergeJoin [video_id" in plan  # at any size
+
+
+def test_metrics_are_made_behind_the_writers_shuffle(spark, monkeypatch):
+    made, real = {}, writers.write_partitions
+    monkeypatch.setattr(writers, "write_partitions", lambda df, path, cols, name, *finish: made.update({name: (df, *finish)}) or real(df, path, cols, name, *finish))
+    back = catalog.q_silver_write(spark, "/root/testdata/sf0.001")
+    narrow, _ = made["silver_stats"]
+    assert not {"like_ratio", "engagement_rate", "views_tier", "_job_name"} & set(narrow.columns)
+    assert {"like_ratio", "engagement_rate", "views_tier"} <= set(back.columns) and back.where("views > 0 and likes > 0 and like_ratio is null").count() == 0

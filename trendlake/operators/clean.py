@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from trendlake.functions import casts, metrics
 
 COUNTER_COLUMNS = ("views", "likes", "dislikes", "comment_count", "favorite_count")
+METRIC_COLUMNS = ("like_ratio", "engagement_rate", "views_tier")
 
 
 def _as_timestamp(df: DataFrame, name: str):

@@ -275,8 +275,12 @@ def _lake(spark, sf, stats, cats):
 
 
 def _write_silver(paths, stats):
-    stamped = clean.add_provenance(stats, RUN_TS, "catalog").select(*SILVER_STATS_COLUMNS)
-    return writers.write_partitions(stamped, paths.silver_stats, ["region", "trending_date"], "silver_stats")
+    """Silver by the real writer; metrics and provenance are made behind its shuffle."""
+    def finish(rows):
+        return clean.add_provenance(clean.add_metrics(rows), RUN_TS, "catalog").select(*SILVER_STATS_COLUMNS)
+
+    narrow = stats.drop(*clean.METRIC_COLUMNS, "_processed_at", "_job_name")
+    return writers.write_partitions(narrow, paths.silver_stats, ["region", "trending_date"], "silver_stats", finish)
 
 
 def q_silver_write(spark, sf):

@@ -10,7 +10,7 @@ the write itself, not from an extra ``count()`` job.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ def write_partitions(
     path: str,
     partition_cols: Sequence[str],
     name: str = "rows",
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Dynamic-overwrite ``df`` into ``path`` partitioned by ``partition_cols``.
 
@@ -48,12 +49,14 @@ def write_partitions(
     touched). Rows are clustered by the partition columns with a ``REBALANCE`` hint: each
     output directory gets files from few tasks (no small-file explosion), while AQE splits
     a skewed partition (a hot region-day) into advisory-size pieces instead of giving it
-    to one task.
+    to one task. ``finish`` makes what follows from a row's own columns behind that shuffle,
+    so that it needn't travel.
     """
     obs = Observation(f"write_{name}_{uuid.uuid4().hex[:8]}")  # names must be unique
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    spread = observed.hint("rebalance", *partition_cols)
     (
-        observed.hint("rebalance", *partition_cols)
+        (finish(spread) if finish else spread)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

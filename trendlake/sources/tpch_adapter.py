@@ -18,12 +18,15 @@ One order is one ingestion envelope (at most a handful of items), which keeps la
 JSON documents bounded however large the tables grow.
 
 Join plan: nation and region are fixed-size (25 and 5 rows by the TPC-H definition) and
-are broadcast. lineitem -> orders and orders -> customer join two tables that both grow
-with the scale factor; they carry a ``merge`` hint so that neither the fact table nor
-orders is ever chosen as a broadcast build side (at small scale the size estimate would
-otherwise broadcast line items, collecting the fact table to the driver). part and
-supplier are left to the size-based choice. Only the columns used are read, so every
-scan carries a pruned ReadSchema.
+are broadcast, last, so that keys and not region names are shuffled. lineitem -> orders and
+orders -> customer join two tables that both grow with the scale factor; they carry a
+``merge`` hint so that neither the fact table nor orders is ever chosen as a broadcast
+build side (at small scale the size estimate would otherwise broadcast line items,
+collecting the fact table to the driver). supplier is left to the size-based choice. part
+is joined after it by the video id itself, at any size with a ``merge`` hint: line items
+move while they are narrow, and what groups them by video (the dedup first) finds them in
+place. All of a part's line items meet in one task for it. Only the columns used are read,
+so every scan carries a pruned ReadSchema.
 """
 
 from __future__ import annotations
@@ -54,23 +57,24 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment"
     )
-    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select(
-        "c_custkey", "c_mktsegment", "region"
-    )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    ords = orders.join(cust.hint("merge"), orders.o_custkey == cust.c_custkey).select(
-        "o_orderkey", "o_orderdate", "c_mktsegment", "region"
+    ords = orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey).select(
+        "o_orderkey", "o_orderdate", "c_mktsegment", "c_nationkey"
     )
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_shipdate",
     )
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    part = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("part_id"), "p_name", "p_brand", "p_type"
+    )
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    sold = lines.join(ords.hint("merge"), lines.l_orderkey == ords.o_orderkey)
     return (
-        lines.join(ords.hint("merge"), lines.l_orderkey == ords.o_orderkey)
-        .join(part, lines.l_partkey == part.p_partkey)
-        .join(supplier, lines.l_suppkey == supplier.s_suppkey)
+        sold.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+        .withColumn("video_id", F.col("l_partkey").cast("string"))
+        .join(part.hint("merge"), F.col("video_id") == F.col("part_id"))
+        .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
     )
 
 
@@ -85,7 +89,7 @@ def raw_statistics(spark: SparkSession, sf_dir: str, lines: DataFrame | None = N
     ts = _ts("l_shipdate")
     views = F.when(F.col("l_quantity") == 1, F.lit(0.0)).otherwise(F.floor(price * price / 50))
     return lines.select(
-        F.col("l_partkey").cast("string").alias("video_id"),
+        F.col("video_id"),
         F.col("region"),
         F.col("p_name").alias("title"),
         F.col("s_name").alias("channel_title"),
