@@ -3,8 +3,8 @@
 import datetime as dt
 
 from trendlake.operators import gold
-from trendlake.plans import catalog
-from trendlake.plans.gold import build_velocity, gold_facts
+from trendlake.plans import catalog, velocity
+from trendlake.plans.gold import GOLD_INPUT_COLUMNS, build_pairs, build_velocity, gold_facts
 from trendlake.plans.silver import build_silver_statistics
 from trendlake.sinks import writers
 
@@ -85,3 +85,22 @@ def test_metrics_are_made_behind_the_writers_shuffle(spark, monkeypatch):
     narrow, _ = made["silver_stats"]
     assert not {"like_ratio", "engagement_rate", "views_tier", "_job_name"} & set(narrow.columns)
     assert {"like_ratio", "engagement_rate", "views_tier"} <= set(back.columns) and back.where("views > 0 and likes > 0 and like_ratio is null").count() == 0
+
+
+def test_velocity_runs_find_videos_in_place(spark):
+    stats = catalog._velocity_stats(spark, "/root/testdata/sf0.001")
+    days = {r[0] for r in stats.select("trending_date").distinct().collect()}
+    assert "Exchange" not in _plan(build_pairs(stats, None))
+    late = _plan(build_pairs(stats, None, [max(days)]).hint("rebalance"))
+    assert "LeftSemi" in late and "hashpartitioning(video_id" not in late
+    assert "Exchange" not in _plan(velocity.last_two(gold_facts(stats, None)))
+    assert stats.columns == list(GOLD_INPUT_COLUMNS)
+
+
+def test_velocity_makes_growth_behind_the_writers_shuffle(spark, tmp_path, monkeypatch):
+    stats, made, real = _silver(spark, tmp_path), {}, writers.write_partitions
+    monkeypatch.setattr(writers, "write_partitions", lambda df, path, cols, name, *finish: made.update({name: df}) or real(df, path, cols, name, *finish))
+    pairs = {(r.region, r.trending_date) for r in stats.select("region", "trending_date").distinct().collect()}
+    n, _ = velocity.run_velocity(spark, str(tmp_path / "velocity"), str(tmp_path / "state"), stats, None, sorted({d for _, d in pairs}), pairs, dt.datetime(2026, 5, 20))
+    assert n == spark.read.parquet(str(tmp_path / "velocity")).count() > 0
+    assert not {"momentum", "view_growth_pct", "views_per_day"} & set(made["video_velocity"].columns) and "LeftSemi" not in _plan(made["video_velocity"])

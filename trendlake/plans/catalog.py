@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.functions.metrics import TIER_NAMES
-from trendlake.operators import clean, dq, evolution, flatten, gold, incremental, landing, lookup, sampling
+from trendlake.operators import clean, dedup, dq, evolution, flatten, gold, incremental, landing, lookup, sampling
 from trendlake.plans import analyst, jobs, lifetime, sketches, velocity
-from trendlake.plans.gold import GOLD_BUILDERS, build_gold, build_velocity, gold_facts
+from trendlake.plans.gold import GOLD_BUILDERS, GOLD_INPUT_COLUMNS, build_gold, build_velocity, gold_facts
 from trendlake.plans.publish import PublishedGold
 from trendlake.plans.silver import build_silver_categories, build_silver_statistics, silver_run_metrics
 from trendlake.schemas import (
@@ -362,11 +362,20 @@ def q_gold_published(spark, sf):
     return functools.reduce(DataFrame.unionByName, out)
 
 
-def _velocity_runs(spark, sf, *states):
-    """Velocity as written after a run for each state of Silver (a filter on its full rows, and the planned days)."""
-    full, cats = writers.write_scratch(silver_stats(spark, sf), "full"), dimension(spark, sf)
+def _velocity_stats(spark, sf):
+    """The columns of Silver that Gold reads, written once, by video: each run groups them so. Metrics are made again
+    from the counters."""
+    narrow = silver_stats(spark, sf).select(*GOLD_INPUT_COLUMNS).drop(*clean.METRIC_COLUMNS)
+    return clean.add_metrics(writers.write_bucketed(narrow, "full", "video_id", dedup.STATS_KEYS)).select(*GOLD_INPUT_COLUMNS)
+
+
+def _velocity_runs(spark, sf, states):
+    """Velocity as written after a run for each of ``states`` of Silver, given its latest day (a filter on its full
+    rows, and the planned days)."""
+    full, cats = _velocity_stats(spark, sf), dimension(spark, sf)
+    latest = full.agg(F.max("trending_date")).first()[0]
     gold_path, state_path = scratch_dir(spark, "velocity"), scratch_dir(spark, "snapshots")
-    for held, planned in states:
+    for held, planned in states(latest):
         stats = full.where(held)
         pairs = {(r.region, r.trending_date) for r in stats.select("region", "trending_date").distinct().collect()}  # bounded by the days
         days = sorted({d for _, d in pairs if planned(d)})
@@ -381,15 +390,17 @@ def _latest(spark, sf):
 def q_velocity_daily(spark, sf):
     """Velocity after the latest day came to an earlier state, by the last-snapshot table: the run
     reads that day only (I8, W7)."""
-    latest = _latest(spark, sf)
-    return _velocity_runs(spark, sf, (F.col("trending_date") < F.lit(latest), lambda d: True), (F.lit(True), lambda d: d == latest))
+    return _velocity_runs(spark, sf, lambda latest: (
+        (F.col("trending_date") < F.lit(latest), lambda d: True), (F.lit(True), lambda d: d == latest)))
 
 
 def q_velocity_late_day(spark, sf):
     """The same when a day in the middle arrives last, after the days that look back to it."""
-    latest = _latest(spark, sf)
-    late = (latest.replace(day=1) - dt.timedelta(days=62)).replace(day=1)
-    return _velocity_runs(spark, sf, (F.col("trending_date") != F.lit(late), lambda d: True), (F.lit(True), lambda d: d == late))
+    def states(latest):
+        late = (latest.replace(day=1) - dt.timedelta(days=62)).replace(day=1)
+        return (F.col("trending_date") != F.lit(late), lambda d: True), (F.lit(True), lambda d: d == late)
+
+    return _velocity_runs(spark, sf, states)
 
 
 def q_channel_with_lifetime(spark, sf):

@@ -53,11 +53,16 @@ def build_velocity(
     silver_stats: DataFrame, silver_categories: DataFrame | None, dates: Collection | None = None, run_ts=None
 ) -> DataFrame:
     """Velocity of ``dates`` (None = every date) straight from Silver, as the job builds it."""
+    return gold.velocity_of(build_pairs(silver_stats, silver_categories, dates), run_ts)
+
+
+def build_pairs(silver_stats: DataFrame, silver_categories: DataFrame | None, dates: Collection | None = None) -> DataFrame:
+    """What velocity of ``dates`` is made of (``gold.velocity_pairs``), straight from Silver."""
     if dates is not None and not dates:
         silver_stats = silver_stats.limit(0)
         dates = None
     facts = gold_facts(velocity_history(silver_stats, dates), silver_categories)
-    return gold.video_velocity(facts, dates, run_ts)
+    return gold.velocity_pairs(facts, dates)
 
 
 def build_gold(facts: DataFrame, dates: Iterable | DataFrame | None = None, run_ts=None, tables: Iterable = GOLD_BUILDERS) -> dict[str, DataFrame]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendlake.operators import gold
-from trendlake.plans.gold import build_velocity, gold_facts
+from trendlake.plans.gold import build_pairs, gold_facts
 from trendlake.plans.publish import PublishedGold
 from trendlake.schemas import GOLD_PARTITION_KEYS, VELOCITY_COLUMNS
 from trendlake.sinks import writers
@@ -133,15 +133,17 @@ def run_velocity(
     firsts = first_days(dates, silver_days, applied) if rows is not None else None
     if firsts is not None:
         pairs = writers.write_scratch(forward_pairs(gold_facts(gold.restrict_dates(stats, dates), cats), rows, firsts), "velocity-pairs")
-        made, new, done = gold.velocity_of(pairs.where("not old"), run_ts), next_state(pairs), set(dates)
+        made, new, done = pairs.where("not old and earlier.views is not null").drop("old"), next_state(pairs), set(dates)
     else:
         written = published.read("video_velocity") if published else writers.read_parquet_or_none(spark, path)
         written = written if rows is not None else None
         done = set(dates) | (following_days(stats, written, dates) if rows is not None else set())
-        made = build_velocity(stats, cats, sorted(done), run_ts)
+        every = done >= {d for _, d in silver_days}  # then no video need be picked out
+        made = build_pairs(stats, cats, None if every else sorted(done))
         merged = set(applied) | {(r, d) for r, d in silver_days if d in dates}
         new = refreshed_state(stats, rows, dates, merged)
-    n = writers.write_partitions(made, path, GOLD_PARTITION_KEYS, "video_velocity")
+    # growth is made behind the shuffle by region and day
+    n = writers.write_partitions(made, path, GOLD_PARTITION_KEYS, "video_velocity", lambda rows: gold.velocity_of(rows, run_ts))
     counts = _written(spark, path, done)
     known = set(applied) | {(r, d) for r, d in silver_days if d in dates}
     version = state.commit(new, {k: counts.get(k, 0) if k[1] in done else applied[k] for k in known})

@@ -81,10 +81,23 @@ def observed_rows(obs: Observation, key: str = "rows") -> int:
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: one evaluation, no lineage."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, order: Sequence[str]) -> DataFrame:
+    """``write_scratch`` in as many buckets of ``key`` as a shuffle has partitions, sorted by ``order``.
+
+    What groups or joins the rows by the key finds them in place, however often they are read.
+    The table is external, of a name of its own, in the scratch folder.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").bucketBy(buckets, key).sortBy(*order).option("path", scratch_dir(spark, name)).saveAsTable(table, format="parquet")
+    return spark.table(table)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (any scheme)."""
     jvm = spark.sparkContext._jvm
