@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from trendlake.operators import gold
-from trendlake.plans import catalog, velocity
-from trendlake.plans.gold import GOLD_INPUT_COLUMNS, build_pairs, build_velocity, gold_facts
+from trendlake.plans import catalog, jobs, velocity
+from trendlake.plans.gold import GOLD_INPUT_COLUMNS, build_pairs, build_velocity, gold_facts, single_rows
 from trendlake.plans.silver import build_silver_statistics
 from trendlake.sinks import writers
 
@@ -104,3 +106,25 @@ def test_velocity_makes_growth_behind_the_writers_shuffle(spark, tmp_path, monke
     n, _ = velocity.run_velocity(spark, str(tmp_path / "velocity"), str(tmp_path / "state"), stats, None, sorted({d for _, d in pairs}), pairs, dt.datetime(2026, 5, 20))
     assert n == spark.read.parquet(str(tmp_path / "velocity")).count() > 0
     assert not {"momentum", "view_growth_pct", "views_per_day"} & set(made["video_velocity"].columns) and "LeftSemi" not in _plan(made["video_velocity"])
+
+
+def test_rows_of_a_run_are_deduplicated_where_they_lie(spark, tmp_path):
+    stats = _silver(spark, tmp_path)
+    rows = stats.unionByName(stats.where("video_id = 'v1'").withColumns({"views": F.col("views") + 1, "ingestion_id": F.lit("z")}))
+    rows = rows.unionByName(stats.limit(1).withColumn("region", F.lit(None).cast("string"))).unionByName(stats.limit(2))
+    single = single_rows(rows)
+    want = gold_facts(rows, None)
+    assert sorted(map(str, gold_facts(single, None, redup=False).select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert want.count() < rows.count()
+    plan = _plan(single_rows(stats))
+    assert plan.index("LeftAnti") < plan.index("Window") and plan.count("Exchange hashpartitioning") == 1  # for repeated rows alone
+
+
+def test_a_run_keeps_its_cube_dealt_by_channel(spark, tmp_path, monkeypatch):
+    seen, real = {}, gold.channel_analytics
+    monkeypatch.setattr(gold, "channel_analytics", lambda facts, run_ts, cube: seen.update(cube=cube) or real(facts, run_ts, cube))
+    paths = jobs.LakePaths(str(tmp_path))
+    rows = spark.createDataFrame(flat_rows(dt.date(2026, 5, 18)), FLAT)
+    writers.write_partitions(build_silver_statistics(rows), paths.silver_stats, ["region", "trending_date"])
+    jobs.silver_to_gold(spark, paths, dt.date(2026, 5, 18), dt.datetime(2026, 5, 20))
+    assert "Exchange" not in _plan(gold.channel_aggregates(None, seen["cube"]))

@@ -105,6 +105,16 @@ def test_a_late_region_and_a_lost_commit(spark, tmp_lake):
     assert state.versions() == [before[-1], before[-1] + 1]  # two are kept
 
 
+def test_a_region_late_on_all_days_leaves_none_to_follow(spark, tmp_lake, monkeypatch):
+    paths = jobs.LakePaths(tmp_lake)
+    monkeypatch.setattr(velocity, "following_days", lambda *a: pytest.fail("all days are built"))
+    for region in ("us", "gb"):
+        put(spark, paths, [r for d in DAYS[:3] for r in day_rows(d, 0, regions=(region,))])
+        done = jobs.silver_to_gold(spark, paths, DAYS[2], TS).metrics["velocity"]
+    assert done == {"mode": "late", "days": [str(d) for d in DAYS[:3]]}
+    check(spark, paths)
+
+
 def test_a_daily_run_reads_its_days_only(spark, tmp_lake):
     paths = jobs.LakePaths(tmp_lake)
     write_silver(spark, paths, DAYS[:3])
