@@ -331,6 +331,33 @@ def test_links_are_all_pairs_within_the_edits(docs_of, edits, group):
     assert {(bytes(r.a), bytes(r.b)) for r in line_dedup.links(docs_of(docs), edits, 20, group).collect()} == want
 
 
+def test_pairs_beyond_one_edit_leave_before_the_recurrence(spark):
+    rnd = random.Random(11)
+    rows = []
+    for n in range(400):
+        s = "".join(rnd.choice("abé") for _ in range(rnd.randrange(2, 40)))
+        t = mutated(rnd, s, rnd.randrange(0, 4))
+        rows.append((n, s, t, len(s), len(t)))
+    s = "x" * 99 + "ab" + "y" * 99
+    rows += [(400, s, s.replace("ab", "cd"), 200, 200), (401, s, s.replace("ab", "a"), 200, 199), (402, s, s.replace("ab", "😀b"), 200, 200)]
+    got = {r.n for r in line_dedup._agreeing(spark.createDataFrame(rows, "n int, s string, t string, sn int, tn int")).collect()}
+    assert got == {n for n, s, t, *_ in rows if brute.edit_distance(s, t) <= 1}
+    assert 400 not in got and {401, 402} <= got
+
+
+def test_texts_are_read_twice_whatever_the_steps(spark):
+    docs, read = line_rows(7), spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(docs, 2).map(counted), "doc_id long, text string")
+    got = {r.doc_id: (list(r.removed), r.n_edited) for r in line_dedup.decisions(frame).collect()}
+    assert got == brute.removed_lines(docs) and any(edited for _, edited in got.values())
+    assert read.value <= 2 * len(docs)
+
+
 def test_lines_removed(docs_of):
     docs = line_rows(5) + [(d, t) for d, t in AWKWARD if d in (1, 2, 3)] + [(0, "Yes.\nno\n" + "z" * 300), (0, "no\n \n" + "z" * 301 + "\nYes.")]
     docs = [(100 + i, t) for i, (_, t) in enumerate(docs)]

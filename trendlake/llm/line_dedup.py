@@ -13,10 +13,13 @@ Two lines are alike if they are equal or, both being of at least ``min_chars`` c
    segments are single characters (when a group is as large as the alphabet allows). With more
    than one edit the second split is the last, and what it leaves is paired up whatever its size.
 4. Candidates are verified by edit distance with a banded bit-parallel recurrence; for one edit,
-   those of which two or more of 17 segments differ leave before it.
+   those that still differ after their first difference leave before it.
 5. Of each class with at least ``min_copies`` lines the first (by doc_id, null last, then text
    hash and line number) stays; the others are removed.
 
+The texts are split once: every line's place, id and keys are written, and all steps but the
+fetching of candidates' lines read those.
+
 Defined results: a null or empty text has no such line. Blank lines always stay.
 Repeated document rows are judged alike. Lines are compared whole, whatever their length. Empty
 tables give no rows.
@@ -113,20 +116,19 @@ def _pairs(grouped: DataFrame) -> DataFrame:
     return both.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
-def _agreeing(pairs: DataFrame, agree: int) -> DataFrame:
-    """Rows of ``pairs`` whose strings s and t can be one edit apart: all but one of ``agree`` + 1
-    segments of the shorter are in the longer. Comparing substrings is far cheaper than the
-    recurrence, and all that it drops are further apart."""
-    longer = F.length("s") > F.length("t")
-    ends = pairs.withColumns({"x": F.when(longer, F.col("t")).otherwise(F.col("s")), "y": F.when(longer, F.col("s")).otherwise(F.col("t"))})
-    sizes = ends.withColumns({"l": F.length("x"), "more": F.length("y") - F.length("x")}).where(F.col("more") <= 1)
-    parts = f"least({agree + 1}, l)"
-    head, tail = f"t * l div {parts}", f"(t + 1) * l div {parts} + 1"
-    same = (
-        f"substring(x, 1, cast({head} as int)) = substring(y, 1, cast({head} as int)) and "
-        f"substring(x, cast({tail} as int)) = substring(y, cast({tail} as int) + more)"
+def _agreeing(pairs: DataFrame) -> DataFrame:
+    """Rows of ``pairs`` (with the lengths sn and tn of s and t) whose strings can be one edit apart:
+    beyond the first place where they differ, and one edit there, they agree. The place is found by
+    halving, which is far cheaper than the recurrence, and all that this drops are further apart."""
+    # as an array's one element, each end and length is computed once per pair, not wherever it is used
+    ends = "if(sn > tn, struct(t as x, s as y, tn as l, sn - tn as more), struct(s as x, t as y, sn as l, tn - sn as more))"
+    # the code points known to agree grow by falling powers of two
+    agree = (
+        "aggregate(transform(sequence(0, 30), i -> shiftleft(1, 30 - i)), 0, (a, w) -> "
+        "if(w <= e.l - a and substring(e.x, a + 1, w) = substring(e.y, a + 1, w), a + w, a))"
     )
-    return sizes.where(F.expr(f"exists(sequence(0, {parts} - 1), t -> {same})")).select(*pairs.columns)
+    rest = f"exists(array({agree}), a -> substring(e.x, a + 2 - e.more) = substring(e.y, a + 2))"
+    return pairs.where("abs(sn - tn) <= 1").where(F.expr(f"exists(array({ends}), e -> {rest})"))
 
 
 def verified(pairs: DataFrame, edits: int) -> DataFrame:
@@ -165,21 +167,29 @@ def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     return lines.select("*", F.length("line").alias("n")).where(taken).withColumn("id", F.unhex(F.md5("line")))
 
 
+def _keyed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """One written row per line: doc_id, text hash, no, id and the keys k0, k1 and so on, null below ``min_chars``."""
+    keys = [F.expr(f"if(n >= {min_chars}, {sql}, null)").alias(f"k{i}") for i, (sql, _) in enumerate(_segment_keys(edits, 1))]
+    return common.materialize(occurrences(docs).select("doc_id", TEXT_HASH, "no", "id", *keys), "keyed")
+
+
 def _texts(docs: DataFrame, ids: DataFrame, min_chars: int) -> DataFrame:
     """(id, line, n) of the given distinct ids."""
     found = occurrences(docs, min_chars).join(ids, "id", "left_semi")
     return common.materialize(found.groupBy("id").agg(F.first("line").alias("line"), F.first("n").alias("n")), "lines")
 
 
-def links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, group: int = GROUP) -> DataFrame:
-    """Pairs (a, b) of ids of different lines within ``max_edits`` edits, each once."""
+def links(
+    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, group: int = GROUP, keyed: DataFrame | None = None
+) -> DataFrame:
+    """Pairs (a, b) of ids of different lines within ``max_edits`` edits, each once; ``keyed`` are the
+    lines of ``docs`` as ``_keyed`` writes them, if that is done."""
     if min_chars <= max_edits:
         raise ValueError("lines must be longer than the edits allowed")
-    keys = _segment_keys(max_edits, 1)
-    columns = {f"k{i}": F.expr(sql) for i, (sql, _) in enumerate(keys)}
-    distinct = occurrences(docs, min_chars).select("id", *[c.alias(k) for k, c in columns.items()])
-    each = F.array(*[F.struct(F.min(k).alias("key"), F.lit(own).alias("own")) for k, (_, own) in zip(columns, keys)])
-    distinct = distinct.groupBy("id").agg(each.alias("x")).select("id", F.explode("x").alias("x"))
+    keyed = _keyed(docs, max_edits, min_chars) if keyed is None else keyed
+    owns = [own for _, own in _segment_keys(max_edits, 1)]
+    each = F.array(*[F.struct(F.min(f"k{i}").alias("key"), F.lit(own).alias("own")) for i, own in enumerate(owns)])
+    distinct = keyed.where("k0 is not null").groupBy("id").agg(each.alias("x")).select("id", F.explode("x").alias("x"))
     grouped = _grouped(distinct.select("x.key", "id", "x.own"))
     few = [_pairs(grouped.where(F.col("size") <= group))]
     crowded = grouped.where(F.col("size") > group).select("id").distinct()
@@ -198,28 +208,32 @@ def links(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHAR
     pairs = few[0]
     for more in few[1:]:
         pairs = pairs.union(more)
-    text = lines.select("id", "line")
-    both = pairs.distinct().join(text.toDF("a", "s"), "a").join(text.toDF("b", "t"), "b")
+    text = lines.select("id", "line", "n")
+    both = pairs.distinct().join(text.toDF("a", "s", "sn"), "a").join(text.toDF("b", "t", "tn"), "b")
     if max_edits == 1:
-        both = _agreeing(both, FINER * FINER)
+        both = _agreeing(both)
     return common.materialize(verified(both, max_edits).select("a", "b"), "links")
 
 
-def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, keyed: DataFrame | None = None) -> DataFrame:
     """(id, root) of every line that has a different line in its class; the root is the least id."""
-    return components(links(docs, max_edits, min_chars).toDF("u", "v")).toDF("id", "root")
+    return components(links(docs, max_edits, min_chars, keyed=keyed).toDF("u", "v")).toDF("id", "root")
 
 
 def repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_copies: int = MIN_COPIES) -> DataFrame:
     """Every line to remove: doc_id, text hash, no, whether it differs from the line that stays (``edited``), its class
     (``root``) and the document row of the line that stays (``source``)."""
-    found = occurrences(docs).select("doc_id", TEXT_HASH, "no", "id")
+    keyed = _keyed(docs, max_edits, min_chars)
+    found = keyed.select("doc_id", TEXT_HASH, "no", "id")
     counts = found.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    rooted = counts.join(line_classes(docs, max_edits, min_chars), "id", "left").select("id", F.coalesce("root", "id").alias("root"), "n")
-    # ids of classes with too few lines leave here, before the occurrences are joined
+    rooted = counts.join(line_classes(docs, max_edits, min_chars, keyed), "id", "left")
+    # ids of classes with too few lines leave here, those that are their whole class first, before the occurrences are joined
+    rooted = rooted.where(F.col("root").isNotNull() | (F.col("n") >= min_copies)).select("id", F.coalesce("root", "id").alias("root"), "n")
+    rooted = common.materialize(rooted, "rooted")
     sizes = rooted.groupBy("root").agg(F.sum("n").alias("copies")).where(F.col("copies") >= min_copies)
-    member = common.materialize(rooted.join(sizes, "root", "left_semi").select("id", "root"), "members")
-    each = found.join(member, "id")
+    member = rooted.join(sizes, "root", "left_semi").select("id", "root")
+    # written, as it is used twice, and so that the lines of a very common id are split among tasks
+    each = common.materialize(found.join(member, "id"), "each")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(TEXT_HASH), F.col("no"))
     first = each.groupBy("root").agg(F.min(F.struct(place.alias("place"), F.col("id").alias("id"))).alias("first"))
     # written, so that the join has an exchange of its own and the lines of a large class are split among tasks
