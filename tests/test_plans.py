@@ -1,10 +1,11 @@
 """Physical-plan properties the design relies on (checked on the optimized plan)."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
-from trendlake.operators import gold
+from trendlake.operators import gold, landing
 from trendlake.plans import catalog, jobs, velocity
 from trendlake.plans.gold import GOLD_INPUT_COLUMNS, build_pairs, build_velocity, gold_facts, single_rows
 from trendlake.plans.silver import build_silver_statistics
@@ -73,6 +74,29 @@ def test_scenarios_evaluate_silver_once(spark, monkeypatch):
     assert len(made) == 1 and "lineitem.parquet" not in plan  # the rest reads what was written
 
 
+def test_envelopes_run_their_source_once_and_sort_its_rows_once(spark):
+    plan = _plan(catalog.q_flatten_stats(spark, "/root/testdata/sf0.001"))
+    assert "lineitem.parquet" not in plan  # counted and gathered from what was written
+    assert plan.count("SortAggregate") == 1 and plan.count("Sort [") == 1 and "ObjectHashAggregate" not in plan
+    raw = writers.write_scratch(catalog.raw_stats(spark, "/root/testdata/sf0.001"), "raw")
+    assert landing.statistics_pages(raw, kept=True).inputFiles() == raw.inputFiles()  # not written again
+
+
+def test_a_querys_shuffle_files_go_when_it_ends(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        blocks = disk.getAllBlocks()
+        return {blocks.apply(i).name() for i in range(blocks.size()) if blocks.apply(i).isShuffle()}
+
+    before = held()
+    made = writers.write_scratch(spark.range(1000).repartition(4).groupBy((F.col("id") % 10).alias("k")).count(), "counted")
+    end = time.time() + 20
+    while held() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not held() - before and made.count() == 10
+
+
 def test_silver_is_deduplicated_where_parts_were_joined(spark):
     plan = _plan(catalog.silver_stats(spark, "/root/testdata/sf0.001"))
     # orders and customers, both by customer; they and line items by order; line items and parts by video
