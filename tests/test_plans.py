@@ -82,6 +82,39 @@ def test_envelopes_run_their_source_once_and_sort_its_rows_once(spark):
     assert landing.statistics_pages(raw, kept=True).inputFiles() == raw.inputFiles()  # not written again
 
 
+def test_scenarios_find_silver_by_video_and_join_their_source_once(spark):
+    full, cats, f = catalog._silver_once(spark, "/root/testdata/sf0.001")
+    assert "Exchange hashpartitioning" not in _plan(f.select("trending_date", "video_id"))  # deduplicated where it lies
+    early, _ = catalog._scenario(f)
+    keys = ["video_id", "region", "trending_date"]
+    assert "Exchange hashpartitioning" not in _plan(full.join(early.select(*keys).hint("merge"), keys, "left_semi"))
+    plan = _plan(catalog.facts(spark, "/root/testdata/sf0.001"))
+    assert "lineitem.parquet" not in plan and "Exchange hashpartitioning(video_id" not in plan
+
+
+def test_silver_job_makes_metrics_behind_the_writers_shuffle(spark, tmp_lake, monkeypatch):
+    made, real = {}, writers.write_partitions
+    monkeypatch.setattr(writers, "write_partitions", lambda df, path, cols, name, *finish: made.update({name: df}) or real(df, path, cols, name, *finish))
+    paths = jobs.LakePaths(tmp_lake)
+    jobs.land(spark, paths, spark.createDataFrame(flat_rows(dt.date(2026, 5, 18)), FLAT))
+    result = jobs.bronze_to_silver(spark, paths, ("us", "gb"), dt.datetime(2026, 5, 18, 18))
+    assert result.status == "ok" and set(result.metrics["warnings"])
+    assert not {"like_ratio", "engagement_rate", "views_tier", "_job_name"} & set(made["silver_stats"].columns)
+
+
+def test_late_days_compare_the_keys_of_earlier_ones_alone(spark, tmp_path, monkeypatch):
+    stats, made, real = _silver(spark, tmp_path), {}, writers.write_partitions
+    monkeypatch.setattr(writers, "write_partitions", lambda df, path, cols, name, *finish: made.update({name: df}) or real(df, path, cols, name, *finish))
+    late, later = dt.date(2026, 5, 18), dt.date(2026, 5, 19)
+    pairs = {(r.region, r.trending_date) for r in stats.select("region", "trending_date").distinct().collect()}
+    for day, held in ((later, {p for p in pairs if p[1] == later}), (late, pairs)):
+        now = stats.where(F.col("trending_date").isin([d for _, d in held]))
+        done = velocity.run_velocity(spark, str(tmp_path / "velocity"), str(tmp_path / "state"), now, None, [day], held, dt.datetime(2026, 5, 20),
+                                     single=single_rows(gold.restrict_dates(now, [day])))
+    assert done[1]["mode"] == "late" and done[0] == spark.read.parquet(str(tmp_path / "velocity")).count() > 0
+    assert "LeftAnti" in _plan(made["video_velocity"])  # those of several rows, found by their keys, aside
+
+
 def test_a_querys_shuffle_files_go_when_it_ends(spark):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
